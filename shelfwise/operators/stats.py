@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import quoted
 from shelfwise.operators.joins import lookup_join
+from shelfwise.session import settle
 
 ROWS_PER_CHUNK = 50_000
 
@@ -46,11 +47,9 @@ def drop_rare_classes(df: DataFrame, label: str, at_least: int) -> DataFrame:
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """(label, class_weight): rows / (labels * rows of the label)."""
-    counts = _label_counts(df, label)
-    totals = counts.agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_labels"))
-    return counts.join(F.broadcast(totals)).select(  # totals: one row
-        label, (F.col("_rows") / (F.col("_labels") * F.col("_n"))).alias("class_weight")
-    )
+    counts = settle(_label_counts(df, label), "label_counts")
+    rows, labels = counts.agg(F.sum("_n"), F.count(F.lit(1))).first()
+    return counts.select(label, (F.lit(rows) / (F.lit(labels) * F.col("_n"))).alias("class_weight"))
 
 
 def balanced_class_weights(df: DataFrame, label: str) -> DataFrame:
