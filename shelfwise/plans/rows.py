@@ -12,6 +12,7 @@ from shelfwise.operators import cleaning, enrich, headers, joins, sampling, stat
 from shelfwise.plans.bindings import ADDRESS_LABELS, CITY, PRODUCT_NAME, address_labels, drop_rows, product_labels, sales, table
 from shelfwise.plans.registry import query, sales_cte
 from shelfwise.profiles import PROFILES
+from shelfwise.session import settle
 
 DROP_CTE = sales_cte(
     "product_name", "product_code", "address", "city", "region", "branch", "supplier", "sales_quantity"
@@ -112,10 +113,11 @@ FIELDS = ("product_name", "product_code", "address", "city", "region", "branch",
 
 @query(_profile_sql({chain: [new for _, new in case] for chain, case in HEADER_CASES.items()}, FIELDS))
 def standardize_columns(spark, sf_dir):
+    rows = settle(drop_rows(spark, sf_dir), "drop_rows")
     profiled = []
     for chain, case in HEADER_CASES.items():
-        rows = drop_rows(spark, sf_dir, *[old for old, _ in case])
-        profiled.append(_column_profile(headers.standardize_columns(rows, PROFILES[chain]), chain))
+        named = rows.toDF(*[old for old, _ in case])
+        profiled.append(_column_profile(headers.standardize_columns(named, PROFILES[chain]), chain))
     return reduce(DataFrame.unionByName, profiled)
 
 
@@ -133,7 +135,7 @@ def dedupe_names(spark, sf_dir):
 )
 def clean_header(spark, sf_dir):
     rows = drop_rows(spark, sf_dir, "a", "b")
-    matched = rows.toDF(*[headers.clean_header(h) for h in ('﻿"Наименование"', " КОД ")])
+    matched = rows.toDF(*[headers.clean_header(h) for h in ('\ufeff"Наименование"', " КОД ")])
     exported = rows.toDF(*[headers.export_header(h) for h in (" Цена [руб] ", "'Код'()")])
     return _column_profile(matched, "match").unionByName(_column_profile(exported, "export"))
 
