@@ -143,8 +143,8 @@ PRODUCT_LABELS = (
     f"split_part(p_name, ' ', 1) as brand, p_type as product_type, cast({GRAMS} as string) as weight from part"
 )
 ADDRESS_LABELS = (
-    f"select {ADDRESS} as address, {CITY} as city, n_name as region, r_name as branch from supplier "
-    "join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey"
+    f"select {ADDRESS.replace('s_name', 'c_name')} as address, {CITY} as city, n_name as region, r_name as branch "
+    "from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"
 )
 TOWN_LABELS = (
     "select concat('город ', n_name, ' ', lower(c_mktsegment)) as city, n_name as region, r_name as branch "

@@ -15,6 +15,7 @@ from shelfwise.functions.text import literal, quoted, table_name_for
 from shelfwise.operators.cleaning import drop_unnamed_columns, normalize_null_tokens
 from shelfwise.operators.headers import BOM, dedupe_names
 from shelfwise.profiles import ChainProfile
+from shelfwise.session import settle
 
 CSV_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 BAD_ROW, FILE = "_bad_row", "_file"
@@ -136,17 +137,20 @@ def too_many_cells(n_columns: int):
 
 
 def quarantine_bad_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, (file, row) of rows with more cells than the header) of one header group."""
+    """(good rows, (file, row) of rows with more cells than the header) of one header group.
+
+    The files are parsed once and kept: both parts read the parsed rows.
+    """
+    parsed = settle(raw, "parsed")
     bad = too_many_cells(len(_data_columns(raw)))
-    good_rows = raw.filter(~bad).drop(BAD_ROW)
-    return good_rows, raw.filter(bad).select(F.col(FILE).alias("file"), F.col(BAD_ROW).alias("row"))
+    return parsed.filter(~bad).drop(BAD_ROW), parsed.filter(bad).select(F.col(FILE).alias("file"), F.col(BAD_ROW).alias("row"))
 
 
 def _without_bad_rows(raw: DataFrame, mode: str) -> DataFrame:
+    bad = too_many_cells(len(_data_columns(raw)))
     if mode == "quarantine":
-        return quarantine_bad_rows(raw)[0]
+        return raw.filter(~bad).drop(BAD_ROW)
     message = F.concat(F.lit("malformed row in "), F.col(FILE), F.lit(": "), F.col(BAD_ROW))
-    bad = too_many_cells(len(_data_columns(raw)))
     return raw.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True)).drop(BAD_ROW)
 
 
