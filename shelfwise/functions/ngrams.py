@@ -22,13 +22,23 @@ def word_tokens_sql(x: str, stop_words: tuple[str, ...] = ()) -> str:
 
 
 def word_ngrams_sql(tokens: str, low: int, high: int) -> str:
-    if (low, high) == (1, 1):
-        return tokens
-    grams = f"transform(sequence(0, size({tokens}) - n), i -> concat_ws(' ', slice({tokens}, i + 1, n)))"
-    return (
-        f"flatten(transform(sequence({low}, {high}), n -> "
-        f"if(size({tokens}) >= n, {grams}, cast(array() as array<string>))))"
-    )
+    """N-grams of a token array.
+
+    Neighbours are looked up by position: slicing per start would copy the array each time.
+    The outer lambda names the tokens, so that an optimizer that inlines their expression
+    still has them computed once per row.
+    """
+
+    def grams(n: int) -> str:
+        if n == 1:
+            return "words"
+        following = "".join(f", ' ', get(words, i + {k})" for k in range(1, n))
+        joined = f"transform(words, (word, i) -> concat(word{following}))"
+        return f"slice({joined}, 1, greatest(0, size(words) - {n - 1}))"
+
+    sizes = [grams(n) for n in range(low, high + 1)]
+    united = sizes[0] if len(sizes) == 1 else f"concat({', '.join(sizes)})"
+    return f"transform(array({tokens}), words -> {united})[0]"
 
 
 def char_ngrams_sql(x: str, low: int, high: int) -> str:

@@ -65,7 +65,8 @@ def term_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
     """(term, tf, df): occurrences and documents per term.
 
     Each row sends its terms and its distinct terms through one aggregation that combines on
-    the map side, so a term found everywhere costs one row per task.
+    the map side, so a term found everywhere costs one row per task. Exploding with ``outer``
+    keeps Spark from testing the array for emptiness first, which would compute it twice.
     """
 
     def entry(tf: int, df_: int):
@@ -77,8 +78,9 @@ def term_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
         F.transform(F.col(terms), entry(1, 0)), F.transform(F.array_distinct(F.col(terms)), entry(0, 1))
     )
     return (
-        df.select(F.explode(both).alias("e"))
+        df.select(F.explode_outer(both).alias("e"))
         .select("e.*")
+        .filter("term is not null")
         .groupBy("term")
         .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
     )
@@ -122,7 +124,7 @@ def long_features(df: DataFrame, key: str, terms: list[str], features: str = "fe
     vector = F.unwrap_udt(F.col(features))
     cells = df.select(key, vector["indices"].alias("i"), vector["values"].alias("weight"))
     return (
-        cells.select(key, F.explode(F.arrays_zip("i", "weight")).alias("e"))
+        cells.select(key, F.explode_outer(F.arrays_zip("i", "weight")).alias("e"))
         .select(key, "e.i", "e.weight")
         .join(F.broadcast(names), "i")
         .select(key, "term", "weight")

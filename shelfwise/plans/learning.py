@@ -14,14 +14,14 @@ from shelfwise.plans.bindings import PRODUCT_LABELS, address_labels, drop_rows,
 from shelfwise.plans.registry import query, sales_cte
 from shelfwise.plans.rows import DROP_CTE, PACK_SQL, WEIGHT_SQL
 from shelfwise.profiles import MAGNIT
-from shelfwise.session import scratch_path
+from shelfwise.session import scratch_path, spread
 
 TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
 STOPPED = ("гр", "small")
 
 
 def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text", *columns)
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *columns))
 
 
 def _grams_sql(tokens: str, low: int, high: int) -> str:

@@ -12,7 +12,7 @@ from shelfwise.operators import cleaning, enrich, headers, joins, sampling, stat
 from shelfwise.plans.bindings import ADDRESS_LABELS, CITY, PRODUCT_NAME, address_labels, drop_rows, product_labels, sales, table
 from shelfwise.plans.registry import query, sales_cte
 from shelfwise.profiles import PROFILES
-from shelfwise.session import settle
+from shelfwise.session import settle, spread
 
 DROP_CTE = sales_cte(
     "product_name", "product_code", "address", "city", "region", "branch", "supplier", "sales_quantity"
@@ -214,7 +214,7 @@ def packaging_type(spark, sf_dir):
 
 
 def _per_document(spark: SparkSession, sf_dir: str, column) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", column.alias("clean"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", column.alias("clean"))
 
 
 PLACE_SQL = f"trim(regexp_replace(translate(lower(coalesce(text, '')), '.,;:/-«»\"“”', '      '), '{SPACE}+', ' ', 'g'))"

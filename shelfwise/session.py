@@ -50,3 +50,13 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan of few files work for all cores; a scan with enough partitions stays as it is.
+
+    For CPU-heavy row work on small inputs. ``df`` must be a plain scan: its partition count is
+    then known without running anything, and at scale there is no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
