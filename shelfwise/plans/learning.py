@@ -25,11 +25,11 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def _grams_sql(tokens: str, low: int, high: int) -> str:
-    sizes = ", ".join(str(n) for n in range(low, high + 1))
-    return (
-        f"flatten([[array_to_string({tokens}[i:i + n - 1], ' ') for i in range(1, len({tokens}) - n + 2)] "
-        f"for n in [{sizes}]])"
-    )
+    def grams(n: int) -> str:
+        joined = " || ' ' || ".join(f"{tokens}[i + {k}]" for k in range(n))
+        return f"[{joined} for i in range(1, len({tokens}) - {n} + 2)]"
+
+    return f"flatten([{', '.join(grams(n) for n in range(low, high + 1))}])"
 
 
 def _digest(df: DataFrame, array: str) -> DataFrame:
@@ -145,8 +145,15 @@ def _label_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return town_labels(spark, sf_dir) if name in ("region", "branch") else product_labels(spark, sf_dir)
 
 
+_TRAINED: dict[tuple[str, str, str], models.Trained] = {}
+
+
 def _trained(spark: SparkSession, sf_dir: str, name: str) -> models.Trained:
-    return models.train(_label_set(spark, sf_dir, name), _run_spec(name))
+    """The model of a data folder, trained once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _TRAINED:
+        _TRAINED[key] = models.train(_label_set(spark, sf_dir, name), _run_spec(name))
+    return _TRAINED[key]
 
 
 def _report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -196,7 +203,7 @@ _SAVED: dict[tuple[str, str], str] = {}
 
 
 def _model_folder(spark: SparkSession, sf_dir: str) -> str:
-    """All seven models of a data folder, trained and saved once per application."""
+    """All seven models of a data folder, saved once per application."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SAVED:
         folder = scratch_path(spark, "models")
