@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -94,6 +94,11 @@ def multi_line_files(spark: SparkSession, paths: list[str]) -> set[str]:
     return {row["path"] for row in odd.collect()}
 
 
+def file_name() -> Column:
+    """The name of a row's file as it is on disk; Spark's metadata has it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def _same_file(path: str) -> str:
     """Listings and file metadata spell a path differently (``file:/a b``, ``file:///a%20b``)."""
     return re.sub(r"^file:/*", "/", unquote(path))
@@ -105,7 +110,7 @@ def _read_group(spark: SparkSession, paths: list[str], names: tuple[str, ...], m
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
     # Without pruning, whether a row is malformed does not depend on the columns a query uses.
     rows = reader.option("columnPruning", False).csv(paths)
-    return rows.select(*[F.col(quoted(c)) for c in rows.columns], F.col("_metadata.file_name").alias(FILE))
+    return rows.select(*[F.col(quoted(c)) for c in rows.columns], file_name().alias(FILE))
 
 
 def read_raw(spark: SparkSession, paths: list[str], multi_line: bool | None = None) -> list[DataFrame]:
@@ -130,7 +135,7 @@ def _data_columns(raw: DataFrame) -> list[str]:
     return [c for c in raw.columns if c not in (BAD_ROW, FILE)]
 
 
-def too_many_cells(n_columns: int):
+def too_many_cells(n_columns: int) -> Column:
     """True for a malformed row with surplus cells; a row that is merely short is padded with nulls."""
     unquoted = f"regexp_replace({BAD_ROW}, {literal('\"([^\"]|\"\")*\"')}, '')"
     return F.coalesce(F.expr(f"size(split({unquoted}, ';')) > {n_columns}"), F.lit(False))

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise.functions.text import table_name_for
 from shelfwise.profiles import ChainProfile
-from shelfwise.sources.files import CSV_OPTIONS
+from shelfwise.sources.files import CSV_OPTIONS, FILE, file_name
 
 
 def file_stream(
@@ -36,7 +35,7 @@ def file_stream(
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.csv(folder)
-    return rows.select("*", F.col("_metadata.file_name").alias("_file")).withColumn("table_name", table_name_for("_file"))
+    return rows.select("*", file_name().alias(FILE)).withColumn("table_name", table_name_for(FILE))
 
 
 def batch_writer(path: str, load: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
