@@ -95,17 +95,15 @@ def join_article_or_barcode(
 ) -> DataFrame:
     """Match ``left`` to a product table by article, and by barcode where no article matches.
 
-    Two equi-joins instead of an ``OR`` predicate, which would compare all pairs. ``right`` has
-    one row per article and per barcode. Rows without an article go straight to the barcode join.
+    Equi-joins instead of an ``OR`` predicate, which would compare all pairs. ``right`` has one
+    row per article and per barcode. Rows without an article match by barcode.
     """
     details = [c for c in right.columns if c not in (article, barcode)]
     by_article = right.filter(F.col(article).isNotNull()).select(article, *details)
     by_barcode = right.filter(F.col(barcode).isNotNull()).select(barcode, *details)
-    known = right.select(article)
-    keyed = left.filter(F.col(article).isNotNull())
-    unmatched = keyed.join(known, article, "left_anti").unionByName(left.filter(F.col(article).isNull()))
-    first = keyed.join(by_article, article, "inner").withColumn("matched_by", F.lit("article"))
-    second = unmatched.join(by_barcode, barcode, "inner").withColumn("matched_by", F.lit("barcode"))
+    first = lookup_join(left, by_article, [article], "inner").withColumn("matched_by", F.lit("article"))
+    unmatched = lookup_join(left, by_article.select(article), [article], "left_anti")
+    second = lookup_join(unmatched, by_barcode, [barcode], "inner").withColumn("matched_by", F.lit("barcode"))
     return first.unionByName(second)
 
 

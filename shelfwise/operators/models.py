@@ -19,7 +19,10 @@ from shelfwise.functions.text import quoted
 from shelfwise.operators import sampling, stats
 from shelfwise.operators.cleaning import drop_null_labels, filter_min_length
 from shelfwise.operators.features import TextSpec, fit_tfidf
-from shelfwise.session import settle
+from shelfwise.session import settle, spread
+
+# Fewer training rows than this are not worth a task per core.
+ROWS_WORTH_SPREADING = 2000
 
 
 @dataclass(frozen=True)
@@ -162,6 +165,8 @@ def train(df: DataFrame, spec: ModelSpec) -> Trained:
     wanted = ["features", "label_index"] + (["class_weight"] if spec.balanced else [])
     # Learners pass over their rows many times: materialise the vectors once.
     ready = settle(ready.select(*wanted), "features")
+    if ready.count() >= ROWS_WORTH_SPREADING:
+        ready = spread(ready)
     n_labels = len(indexer.labels)
     if n_labels < 2:
         raise ValueError("at least two classes are needed")

@@ -158,7 +158,11 @@ def mixed_barcodes(df: DataFrame) -> DataFrame:
 
 
 def clean_sales(df: DataFrame, tolerance: float = TOLERANCE, first: str = FIRST_DATE, last: str = LAST_DATE) -> DataFrame:
-    """Rows that violate no row rule and whose barcode names one article."""
+    """Rows that violate no row rule and whose barcode names one article.
+
+    Meant for a stored table: on computed columns Spark would work each column out again in
+    every predicate that uses it.
+    """
     broken = " or ".join(f"({p})" for p in row_rules(tolerance, first, last).values())
     return lookup_join(df.filter(f"not ({broken})"), mixed_barcodes(df), ["barcode"], "left_anti")
 

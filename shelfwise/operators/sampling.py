@@ -46,8 +46,18 @@ def mark_smallest_hashes(
         .withColumn("_quota", quota)
         .select(*by, (F.col("_quota") > F.col("_total")).alias("_all"))
     )
-    limits = takes_all.join(cuts, by, "left")
-    placed = lookup_join(hashed, limits, by, "left")
+    if by:
+        placed = lookup_join(hashed, takes_all.join(cuts, by, "left"), by, "left")
+    else:
+        # One group: its limits are three values, no join.
+        cut, everything = cuts.first(), takes_all.first()
+        placed = hashed.withColumns(
+            {
+                "_cut": F.lit(cut["_cut"] if cut else None).cast("string"),
+                "_rest": F.lit(cut["_rest"] if cut else None).cast("bigint"),
+                "_all": F.lit(bool(everything and everything["_all"])),
+            }
+        )
     on_edge = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
     inside = F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)) | F.coalesce(F.col("_all"), F.lit(False))
     ranked = W.partitionBy(*by, "_bucket").orderBy("_hash", *key)
@@ -64,6 +74,5 @@ def stratified_split(df: DataFrame, label: str, key: list[str], test_share: floa
 
 def sample_rows(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows, or all if there are fewer; the same rows for the same seed."""
-    grouped = df.withColumn("_group", F.lit(0))
-    marked = mark_smallest_hashes(grouped, ["_group"], key, F.lit(n).cast("bigint"), seed, "_taken")
-    return marked.filter("_taken").drop("_taken", "_group")
+    marked = mark_smallest_hashes(df, [], key, F.lit(n).cast("bigint"), seed, "_taken")
+    return marked.filter("_taken").drop("_taken")

@@ -10,12 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.schema import STANDARD
+from shelfwise.session import spread
 
-AMOUNT = "cast(cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(4,2))) as decimal(18,2))"
+# Intermediate decimals stay within 18 digits, which Spark computes as whole numbers.
 QUANTITY = "cast(l_quantity as int)"
-COST = "cast(cast(p_retailprice as decimal(12,2)) * cast(0.6 as decimal(2,1)) as decimal(18,4))"
+PAID = "cast(cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2))) as decimal(14,2))"
+UNIT_COST = "cast(cast(p_retailprice as decimal(10,2)) * cast(0.6 as decimal(2,1)) as decimal(12,4))"
+AMOUNT = f"cast({PAID} as decimal(18,2))"
+COST = f"cast({UNIT_COST} as decimal(18,4))"
 GRAMS = "(p_size * 10)"
-SOLD_GRAMS = f"cast({GRAMS} * {QUANTITY} as decimal(12,0))"
+SOLD_GRAMS = f"cast({GRAMS} * {QUANTITY} as decimal(10,0))"
 MONTH = "cast(date_trunc('month', l_shipdate) as date)"
 PRODUCT_NAME = (
     "concat(p_name, ' ', lower(p_type), ' ', case p_type "
@@ -53,7 +57,7 @@ SALES: dict[str, tuple[str, tuple[str, ...]]] = {
     "sales_amount_rub": (AMOUNT, ()),
     "avg_cost_price": (COST, ("part",)),
     "avg_sell_price": (f"cast({AMOUNT} / cast({QUANTITY} as decimal(10,0)) as decimal(18,4))", ()),
-    "margin_amount_rub": (f"cast({AMOUNT} - {COST} * {QUANTITY} as decimal(18,2))", ("part",)),
+    "margin_amount_rub": (f"cast({PAID} - {UNIT_COST} * cast({QUANTITY} as decimal(5,0)) as decimal(18,2))", ("part",)),
     "sales_tons": (f"cast({SOLD_GRAMS} * cast(0.000001 as decimal(7,6)) as decimal(18,3))", ("part",)),
     "sales_weight_kg": (f"cast({SOLD_GRAMS} * cast(0.001 as decimal(4,3)) as decimal(18,3))", ("part",)),
 }
@@ -108,7 +112,8 @@ def sales_sql(fields: tuple[str, ...], binding: dict[str, tuple[str, tuple[str,
 
 def _with_views(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     for name in ("lineitem", "orders", "customer", "part", "supplier", "nation", "region"):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+        rows = table(spark, sf_dir, name)
+        (spread(rows) if name == "lineitem" else rows).createOrReplaceTempView(name)
     return spark.sql(sql)
 
 

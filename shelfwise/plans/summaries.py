@@ -10,6 +10,7 @@ from shelfwise.operators import quality, reports, standard
 from shelfwise.plans.bindings import FIRST_DATE, LAST_DATE, REPORTED, SALES, reported_sales, sales, table
 from shelfwise.plans.registry import query, sales_cte
 from shelfwise.schema import LIMITED, MANDATORY, STANDARD
+from shelfwise.session import settle
 
 ALL_FIELDS = tuple(f.name for f in STANDARD)
 MEASURES = reports.MEASURES
@@ -227,7 +228,8 @@ def check_date_bounds(spark, sf_dir):
 
 @query(f"with {REPORTED_CTE} {_violations_sql(ROW_RULES_SQL)} union all {_uniqueness_sql()}")
 def quality_report(spark, sf_dir):
-    return _rounded(quality.quality_report(reported_sales(spark, sf_dir), first=FIRST_DATE, last=LAST_DATE))
+    record = settle(reported_sales(spark, sf_dir), "record")
+    return _rounded(quality.quality_report(record, first=FIRST_DATE, last=LAST_DATE))
 
 
 BROKEN_SQL = " or ".join(f"coalesce({test}, false)" for test in ROW_RULES_SQL.values())
@@ -240,7 +242,8 @@ BROKEN_SQL = " or ".join(f"coalesce({test}, false)" for test in ROW_RULES_SQL.va
     "group by 1, 2"
 )
 def publish_clear_view(spark, sf_dir):
-    quality.publish_clear_view(reported_sales(spark, sf_dir), "clear_sales", first=FIRST_DATE, last=LAST_DATE)
+    record = settle(reported_sales(spark, sf_dir), "record")
+    quality.publish_clear_view(record, "clear_sales", first=FIRST_DATE, last=LAST_DATE)
     clear = spark.table("clear_sales").groupBy("retail_chain", "product_type")
     return _plain_measures(clear.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(m) for m in MEASURES]))
 
