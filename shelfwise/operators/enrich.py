@@ -74,11 +74,8 @@ def predict_address(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataF
     return _predict_all(with_city, SPECS["city"].output_col, models, ("region", "branch"))
 
 
-def enrich(
-    df: DataFrame, models: Mapping[str, PipelineModel], profile: ChainProfile, rules: str = "compat"
-) -> DataFrame:
-    """Canonical names, pack weight and packaging, product and address predictions."""
-    df = standardize_columns(df, profile, rules)
+def enrich_columns(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
+    """Pack weight and packaging, product and address predictions for canonical columns."""
     if "product_name" not in df.columns:
         return ensure_enrichment_columns(df)
     df = df.withColumns(
@@ -88,3 +85,10 @@ def enrich(
     if "address" not in df.columns:
         return ensure_enrichment_columns(df)
     return predict_address(df, models)
+
+
+def enrich(
+    df: DataFrame, models: Mapping[str, PipelineModel], profile: ChainProfile, rules: str = "compat"
+) -> DataFrame:
+    """Canonical names by the chain's rules, then all enrichment columns."""
+    return enrich_columns(standardize_columns(df, profile, rules), models)

@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer
@@ -199,10 +200,10 @@ def load_models(folder: str, names: tuple[str, ...] = tuple(SPECS)) -> dict[str,
     spark = SparkSession.active()
     try:
         pointers = spark.read.parquet(f"{folder.rstrip('/')}/_current")
-    except Exception as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return {}
-        raise
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
     latest = pointers.groupBy("name").agg(F.max_by("path", "saved_at").alias("path"))
     paths = {r["name"]: r["path"] for r in latest.filter(F.col("name").isin(*names)).collect()}
     return {name: PipelineModel.load(path) for name, path in paths.items()}

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.text import table_name_for as table_name_column
 from shelfwise.operators.cleaning import cast_all_to_string
-from shelfwise.plans.bindings import PRODUCT_LABELS, product_labels, sales, table
+from shelfwise.plans import load
+from shelfwise.plans.bindings import PRODUCT_LABELS, drop_rows, product_labels, sales, table
+from shelfwise.plans.learning import GRAMS_SQL, PACK_CASE
 from shelfwise.plans.registry import query, sales_cte
-from shelfwise.profiles import ChainProfile
+from shelfwise.plans.rows import DROP_CTE
+from shelfwise.profiles import MAGNIT, ChainProfile
 from shelfwise.session import scratch_path
 from shelfwise.sources import files, sinks
 from shelfwise.streaming import ingest
@@ -237,3 +240,21 @@ def stream_new_files(spark, sf_dir):
         ingest.stream_new_files(stream, sink, state).awaitTermination()
     loaded = spark.read.parquet(sink)
     return loaded.groupBy("product_name", "article").agg(F.count(F.lit(1)).alias("rows"))
+
+
+LOADED = ChainProfile("loaded", "part-", "loaded", MAGNIT.rules)
+
+
+@query(
+    f"with {DROP_CTE} select product_name, cast(product_code as varchar) as product_code, branch, "
+    f"cast({GRAMS_SQL} as varchar) as weight_extracted_regex, {PACK_CASE} as package_type, '' as city_predicted, "
+    "count(*) as rows from sales group by 1, 2, 3, 4, 5"
+)
+def load_chain(spark, sf_dir):
+    """Drop files of every line item, loaded without models and read back from the sink."""
+    path, sink = scratch_path(spark, "drop"), scratch_path(spark, "sink")
+    headers = ("Наименование", "Артикул", "Адрес", "Город", "Регион", "Филиал")
+    _write_drop(drop_rows(spark, sf_dir, *headers), path)
+    load.load_chain(spark, path, LOADED, {}, sink)
+    columns = ("product_name", "product_code", "branch", "weight_extracted_regex", "package_type", "city_predicted")
+    return spark.read.parquet(sink).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))

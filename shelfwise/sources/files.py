@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions.text import literal, quoted, table_name_for
 from shelfwise.operators.cleaning import drop_unnamed_columns, normalize_null_tokens
-from shelfwise.operators.headers import BOM, dedupe_names
+from shelfwise.operators.headers import BOM, dedupe_names, standardize_columns
 from shelfwise.profiles import ChainProfile
 from shelfwise.session import settle
 
@@ -24,8 +26,13 @@ HEADER_READERS = 16
 
 def discover_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     """(path, name, length, modified) of the files ``prefix*.csv`` directly in a folder."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", f"{prefix}*.csv").load(folder)
-    return _listing(found)
+    literal_folder = re.sub(r"([\[\]{}*?\\])", r"\\\1", folder.rstrip("/"))
+    try:
+        return _listing(spark.read.format("binaryFile").load(f"{literal_folder}/{prefix}*.csv"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, name string, length bigint, modified timestamp")
 
 
 def discover_files_recursive(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,18 +167,23 @@ def _without_bad_rows(raw: DataFrame, mode: str) -> DataFrame:
 
 
 def read_files(
-    spark: SparkSession, paths: list[str], mode: str = "strict", multi_line: bool | None = None
+    spark: SparkSession,
+    paths: list[str],
+    mode: str = "strict",
+    multi_line: bool | None = None,
+    rename: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Cleaned text rows of drop files, with the file name in ``_file``.
 
-    Files may differ in their headers; columns are united by name. ``mode='strict'`` raises on
-    a row with more cells than the header, ``'quarantine'`` leaves such rows out.
+    Files may differ in their headers: each header is renamed by itself, then columns are united
+    by name. ``mode='strict'`` raises on a row with more cells than the header, ``'quarantine'``
+    leaves such rows out.
     """
     parts = []
     for raw in read_raw(spark, paths, multi_line):
         rows = normalize_null_tokens(_without_bad_rows(raw, mode))
         rows = rows.dropna(how="all", subset=[quoted(c) for c in _data_columns(rows)])
-        parts.append(drop_unnamed_columns(rows))
+        parts.append(rename(drop_unnamed_columns(rows)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -183,10 +195,13 @@ def read_chain_csv(
     return read_files(spark, paths, mode, multi_line).drop(FILE)
 
 
-def load_many_files(spark: SparkSession, folder: str, profile: ChainProfile, mode: str = "strict") -> DataFrame:
-    """Rows of every drop file of a chain in one DataFrame, with ``_file`` and ``table_name``."""
+def load_many_files(
+    spark: SparkSession, folder: str, profile: ChainProfile, mode: str = "strict", rules: str = "compat"
+) -> DataFrame:
+    """Rows of every drop file of a chain under canonical names, with ``_file`` and ``table_name``."""
     found = discover_files(spark, folder, profile.file_prefix).select("path").collect()
-    rows = read_files(spark, sorted(r["path"] for r in found), mode)
+    paths = sorted(r["path"] for r in found)
+    rows = read_files(spark, paths, mode, rename=lambda df: standardize_columns(df, profile, rules))
     return rows.withColumn("table_name", table_name_for(FILE))
 
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.plans.load import load_chain
 from shelfwise.profiles import PROFILES
 from shelfwise.sources import files, sinks
 
@@ -48,15 +49,16 @@ def test_files_are_found_by_prefix(spark, drop, tmp_path):
     drop("sub/b.XlsB", "")
     flat = files.discover_files(spark, str(tmp_path), "magnit_")
     assert [r["name"] for r in flat.collect()] == ["magnit_1.csv"]
+    assert files.discover_files(spark, str(tmp_path), "okey_").count() == 0
     deep = {r["name"] for r in files.discover_files_recursive(spark, str(tmp_path)).collect()}
     assert deep == {"magnit_1.csv", "magnit_2.CSV", "Magnit_3.csv", "x5_magnit_4.csv", "magnit_6.CSV", "b.XlsB"}
 
 
 def test_many_files_with_different_headers(spark, drop, tmp_path):
     drop("magnit_Январь 24.csv", "Наименование;Код\nа;1\n")
-    drop("magnit_b.csv", 'Код;Наименование;Город\n2;"б\nв";Омск\n')
+    drop("magnit_b.csv", 'Код;Товар;Город\n2;"б\nв";Омск\n')
     loaded = files.load_many_files(spark, str(tmp_path), PROFILES["magnit"])
-    rows = loaded.select("Наименование", "Код", "Город", "table_name")
+    rows = loaded.select("product_name", "product_code", "city", "table_name")
     assert _rows(rows) == [("а", "1", None, "magnit________24"), ("б\nв", "2", "Омск", "magnit_b")]
 
 
@@ -97,3 +99,25 @@ def test_observed_counts_rows_on_the_way(spark):
     df, seen = sinks.observed(spark.range(7))
     df.write.format("noop").mode("overwrite").save()
     assert seen.get["rows"] == 7
+
+
+def test_load_chain(spark, drop, tmp_path):
+    drop("magnit_a.csv", "Наименование;Адрес\nЧипсы туба 0,15 кг;г.Омск\nСемечки;\n")
+    drop("magnit_b.csv", "Товар;Код\nСухарики 50г;7\n")
+    sink = str(tmp_path / "sink")
+    for _ in range(2):
+        summary = load_chain(spark, str(tmp_path), PROFILES["magnit"], {}, sink)
+        assert {(r["file"], r["rows"]) for r in summary.collect()} == {("magnit_a", 2), ("magnit_b", 1)}
+    rows = spark.read.parquet(sink).select("table_name", "product_name", "weight_extracted_regex", "package_type", "chain")
+    assert _rows(rows) == sorted([
+        ("magnit_a", "Чипсы туба 0,15 кг", "150", "Туба", "magnit"),
+        ("magnit_a", "Семечки", None, "Пакет", "magnit"),
+        ("magnit_b", "Сухарики 50г", "50", "Пакет", "magnit"),
+    ], key=str)
+
+
+def test_load_refuses_colliding_tables(spark, drop, tmp_path):
+    for name in ("magnit_я.csv", "magnit_ю.csv"):
+        drop(name, "Товар\nа\n")
+    with pytest.raises(ValueError, match="same table"):
+        load_chain(spark, str(tmp_path), PROFILES["magnit"], {}, str(tmp_path / "sink"))
