@@ -65,7 +65,7 @@ SALES: dict[str, tuple[str, tuple[str, ...]]] = {
 # The same record as a careless chain would report it: every quality rule finds something.
 REPORTED: dict[str, tuple[str, tuple[str, ...]]] = {
     **SALES,
-    "address": (f"case when s_acctbal >= 0 then {ADDRESS} end", ("store",)),
+    "address": (f"case when s_acctbal >= 2500 then {ADDRESS} end", ("store",)),
     "weight": (f"cast(case when p_type = 'PROMO' then {GRAMS} + p_size else {GRAMS} end as string)", ("part",)),
     "product_level_4": ("case when l_linestatus = 'O' then repeat(p_name, 12) else p_name end", ("part",)),
     "barcode": (
