@@ -69,7 +69,7 @@ REPORTED: dict[str, tuple[str, tuple[str, ...]]] = {
     "weight": (f"cast(case when p_type = 'PROMO' then {GRAMS} + p_size else {GRAMS} end as string)", ("part",)),
     "product_level_4": ("case when l_linestatus = 'O' then repeat(p_name, 12) else p_name end", ("part",)),
     "barcode": (
-        "case when p_type = 'SMALL' then concat('20-', p_brand, '-', cast(p_size as string)) "
+        "case when p_type = 'SMALL' then concat('20-', p_brand) "
         "else lpad(cast(l_partkey as string), 13, '0') end",
         ("part",),
     ),
