@@ -20,6 +20,7 @@ from shelfwise.operators.headers import standardize_columns
 from shelfwise.operators.joins import lookup_join
 from shelfwise.operators.models import PRODUCT_MODELS, SPECS, predict
 from shelfwise.profiles import ChainProfile
+from shelfwise.session import settle
 
 CITY_WORDS = 3
 
@@ -45,12 +46,17 @@ def score_distinct(df: DataFrame, in_col: str, score: Callable[[DataFrame, str],
 
     ``score`` gets the distinct texts and their column name, and keeps that column.
     """
-    keyed = df.withColumn("_text", fill_missing_text(in_col))
-    texts = keyed.select("_text").distinct()
-    return lookup_join(keyed, score(texts, "_text"), ["_text"]).drop("_text")
+    # Named after its source: scores may score another column within.
+    key = f"_text_{in_col}"
+    keyed = df.withColumn(key, fill_missing_text(in_col))
+    texts = keyed.select(key).distinct()
+    return lookup_join(keyed, score(texts, key), [key]).drop(key)
 
 
 def _predict_all(df: DataFrame, in_col: str, models: Mapping[str, PipelineModel], names: tuple[str, ...]) -> DataFrame:
+    if not any(name in models for name in names):
+        return df.withColumns({SPECS[name].output_col: F.lit("") for name in names})
+
     def score(texts: DataFrame, text: str) -> DataFrame:
         for name in names:
             texts = predict(texts, models.get(name), text, SPECS[name].output_col)
@@ -67,11 +73,18 @@ def predict_product(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataF
 def predict_address(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
     """City from the address, then region and branch from the predicted city.
 
-    Region and branch are scored once per predicted city, of which there are at most as many
-    as the city model has classes.
+    All three depend on the address alone, so the chain runs over the distinct addresses, and
+    its second step over the distinct predicted cities; the rows are joined once.
     """
-    with_city = _predict_all(df, "address", models, ("city",))
-    return _predict_all(with_city, SPECS["city"].output_col, models, ("region", "branch"))
+    city = SPECS["city"].output_col
+    if "city" not in models:
+        return _predict_all(df.withColumn(city, F.lit("")), city, models, ("region", "branch"))
+
+    def score(addresses: DataFrame, name: str) -> DataFrame:
+        with_city = settle(predict(addresses, models["city"], name, city), "cities")
+        return _predict_all(with_city, city, models, ("region", "branch"))
+
+    return score_distinct(df, "address", score)
 
 
 def enrich_columns(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:

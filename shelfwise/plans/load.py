@@ -12,6 +12,7 @@ from shelfwise.operators.cleaning import ADDRESS_COLUMNS, PRODUCT_COLUMNS
 from shelfwise.operators.enrich import enrich_columns
 from shelfwise.operators.stats import load_summary
 from shelfwise.profiles import ChainProfile
+from shelfwise.session import settle
 from shelfwise.sources import files, sinks
 
 
@@ -36,6 +37,9 @@ def load_chain(
         raise ValueError("several files map to the same table: " + ", ".join(r["table_name"] for r in collisions))
     rows = files.load_many_files(spark, folder, profile, mode, rules)
     rows, seen = sinks.observed(rows)
+    if models:
+        # Scoring visits the rows several times: parse the text files once.
+        rows = settle(rows, "parsed")
     enriched = sinks.sink_text(enrich_columns(rows, models)).withColumn("chain", F.lit(profile.schema))
     sinks.write_tables(enriched, sink)
     tables = found.select(files.table_name_for("name").alias("table_name"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import enrich, features, models, stats
 from shelfwise.operators.cleaning import ADDRESS_COLUMNS, PRODUCT_COLUMNS
 from shelfwise.operators.features import TextSpec
+from shelfwise.plans.load import load_chain
 from shelfwise.profiles import MAGNIT
 
 random.seed(1)
@@ -143,3 +144,13 @@ def test_class_weights_balance(spark):
     df = spark.createDataFrame([("a",)] * 6 + [("b",)] * 2, "label string")
     sums = stats.balanced_class_weights(df, "label").groupBy("label").agg(F.sum("class_weight").alias("w")).collect()
     assert {r["label"]: r["w"] for r in sums} == {"a": pytest.approx(4.0), "b": pytest.approx(4.0)}
+
+
+def test_load_with_models(spark, trained, places, drop, tmp_path):
+    drop("magnit_a.csv", "Наименование;Адрес\nсемечки лук 80г;г.Пермь\nчипсы сыр 40г;г.Омск\nчипсы сыр 40г;\n")
+    loaded = {"type": trained["type"].model, "city": places["city"].model, "region": places["region"].model}
+    load_chain(spark, str(tmp_path), MAGNIT, loaded, str(tmp_path / "sink"))
+    rows = spark.read.parquet(str(tmp_path / "sink")).filter("address is not null")
+    got = {(r["product_type_predicted"], r["city_predicted"], r["region_predicted"]) for r in rows.collect()}
+    assert got == {("Подсолнечные", "Пермь", "Урал"), ("Картофельные", "Омск", "Сибирь")}
+    assert spark.read.parquet(str(tmp_path / "sink")).count() == 3
