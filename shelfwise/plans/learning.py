@@ -199,18 +199,18 @@ def train_branch(spark, sf_dir):
     return _report(spark, sf_dir, "branch")
 
 
-_SAVED: dict[tuple[str, str], str] = {}
+_FOLDERS: dict[tuple[str, str], str] = {}
+_SAVED: set[tuple[str, str]] = set()
 
 
-def _model_folder(spark: SparkSession, sf_dir: str) -> str:
-    """All seven models of a data folder, saved once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _SAVED:
-        folder = scratch_path(spark, "models")
-        for name in models.SPECS:
+def _loaded(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = tuple(models.SPECS)) -> dict:
+    """Models of a data folder, each trained and saved once per application, then loaded."""
+    folder = _FOLDERS.setdefault((spark.sparkContext.applicationId, sf_dir), scratch_path(spark, "models"))
+    for name in names:
+        if (folder, name) not in _SAVED:
             models.save_model(_trained(spark, sf_dir, name).model, folder, name)
-        _SAVED[key] = folder
-    return _SAVED[key]
+            _SAVED.add((folder, name))
+    return models.load_models(folder, names)
 
 
 @query()
@@ -227,7 +227,7 @@ def save_and_load_model(spark, sf_dir):
 
 @query()
 def predict_product(spark, sf_dir):
-    loaded = models.load_models(_model_folder(spark, sf_dir), models.PRODUCT_MODELS)
+    loaded = _loaded(spark, sf_dir, models.PRODUCT_MODELS)
     rows = enriching.predict_product(sales(spark, sf_dir, "product_name", "product_type", "weight"), loaded)
     return rows.groupBy(
         "product_type", "product_type_predicted", "flavor_predicted", "brand_predicted",
@@ -237,7 +237,7 @@ def predict_product(spark, sf_dir):
 
 @query()
 def predict_address(spark, sf_dir):
-    loaded = models.load_models(_model_folder(spark, sf_dir), ("city", "region", "branch"))
+    loaded = _loaded(spark, sf_dir, ("city", "region", "branch"))
     rows = enriching.predict_address(sales(spark, sf_dir, "address", "city", "region", "branch"), loaded)
     return rows.groupBy(
         "city", "city_predicted", "region", "region_predicted", "branch", "branch_predicted"
@@ -249,7 +249,7 @@ DROP_HEADERS = ("Наименование", "Артикул", "Адрес", "Г
 
 @query()
 def enrich(spark, sf_dir):
-    loaded = models.load_models(_model_folder(spark, sf_dir))
+    loaded = _loaded(spark, sf_dir)
     return enriching.enrich(drop_rows(spark, sf_dir, *DROP_HEADERS), loaded, MAGNIT)
 
 
