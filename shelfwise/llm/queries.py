@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from shelfwise.llm import dialogues, topk
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,11 +27,47 @@ def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_table(spark, sf_dir, "documents"))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return import_module("corpus_pipeline").run(spark, sf_dir)
+def op4_scan_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.licences import scan_licences
+
+    return scan_licences(_table(spark, sf_dir, "documents"))
+
+
+def op5_rotate_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.dialogues import rotate_perspectives
+
+    return rotate_perspectives(_table(spark, sf_dir, "conversations"))
+
+
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.topk import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op1_encode_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.pieces import encode_documents
+
+    return encode_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.phrases import fingerprint_documents
+
+    return fingerprint_documents(_table(spark, sf_dir, "documents"))
+
+
+def op10_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_mix_sources, op3_shard_documents)
+    f.__name__: f for f in (op2_mix_sources, op3_shard_documents, op4_scan_licences, op5_rotate_perspectives, op6_top_k,
+              op1_encode_documents, op9_fingerprint_documents, op10_toxicity_scores)
+}
+COMPARISON_SQL: dict[str, str] = {
+    "op5_rotate_perspectives": dialogues.COMPARISON,
+    "op6_top_k": topk.COMPARISON,
 }
-COMPARISON_SQL: dict[str, str] = {}
