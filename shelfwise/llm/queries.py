@@ -63,9 +63,15 @@ def op10_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.repeats import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op2_mix_sources, op3_shard_documents, op4_scan_licences, op5_rotate_perspectives, op6_top_k,
-              op1_encode_documents, op9_fingerprint_documents, op10_toxicity_scores)
+              op1_encode_documents, op8_remove_repeats, op9_fingerprint_documents, op10_toxicity_scores)
 }
 COMPARISON_SQL: dict[str, str] = {
     "op5_rotate_perspectives": dialogues.COMPARISON,
