@@ -69,9 +69,15 @@ def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"))
 
 
+def op7_join_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.chosen_path import join_near
+
+    return join_near(_table(spark, sf_dir, "documents")).drop("sid")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (op2_mix_sources, op3_shard_documents, op4_scan_licences, op5_rotate_perspectives, op6_top_k,
-              op1_encode_documents, op8_remove_repeats, op9_fingerprint_documents, op10_toxicity_scores)
+              op1_encode_documents, op7_join_near, op8_remove_repeats, op9_fingerprint_documents, op10_toxicity_scores)
 }
 COMPARISON_SQL: dict[str, str] = {
     "op5_rotate_perspectives": dialogues.COMPARISON,
