@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from shelfwise.llm.rolling import Rolling, aranges, mix, pack, sliding_min, unpack
 from shelfwise.session import settle
 
-GRAM = 16
+GRAM = 24
 CHUNK = 1 << 20  # bytes hashed at once; longer texts are hashed in overlapping parts
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 32 << 20
 BLOCK_BYTES = 4 << 20
 LAST = 2**63 - 1
 
@@ -65,14 +65,15 @@ def _hash_runs(depth: int, bits: int):
         rest = ((key << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
         low, high = (content >> np.uint64(48)).astype(np.uint16), (content >> np.uint64(16)).astype(np.uint32)
         table = np.array(ids, np.int64).reshape(-1, 2)
+        name, check = table[:, 1], ((table[:, 0] ^ table[:, 1]) >> 31).astype(np.uint32)
         out: dict[str, list] = {"bucket": [], "runs": []}
         for b in np.flatnonzero(np.diff(cuts)):
             own = order[cuts[b] : cuts[b + 1]]
             used, local = np.unique(doc[own], return_inverse=True)
             out["bucket"].append(int(b))
-            out["runs"].append(
-                pack(table[used], rest[own], low[own], high[own], local.astype(np.uint32), start[own].astype(np.uint32), count[own].astype(np.uint32))
-            )
+            # Differences of what rises, so that the blob packs well.
+            rising = [np.diff(x, prepend=0).astype(np.int32) for x in (local, start[own])]
+            out["runs"].append(pack(name[used], check[used], rest[own], low[own], high[own], *rising, count[own].astype(np.uint32)))
         return pa.record_batch({"bucket": pa.array(out["bucket"], pa.int32()), "runs": pa.array(out["runs"], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,15 +106,14 @@ def _sort_bucket(blocks: int):
     """Second and third pass: runs whose content occurs in an earlier document, and keys of several contents."""
 
     def sort(bucket: pd.DataFrame) -> pd.DataFrame:
-        tables, pieces, at = [], [], 0
+        pieces = []
         for blob in bucket["runs"]:
-            table, rest, low, high, local, start, count = unpack(blob)
-            tables.append(table)
-            pieces.append((rest, high.astype(np.uint64) << np.uint64(16) | low, local + at, start, count))
-            at += len(table)
-        table = np.concatenate(tables)
-        rest, content, local, start, count = (np.concatenate(c) for c in zip(*pieces, strict=True))
-        row, doc = table[local, 0], table[local, 1]
+            name, check, rest, low, high, local, start, count = unpack(blob)
+            local = np.cumsum(local)
+            owner = name[local]
+            row = owner ^ (check[local].astype(np.int64) << 31)
+            pieces.append((rest, high.astype(np.uint64) << np.uint64(16) | low, row, owner, np.cumsum(start), count))
+        rest, content, row, doc, start, count = (np.concatenate(c) for c in zip(*pieces, strict=True))
         order = np.lexsort((doc, content, rest))
         rest, content, row, doc, start, count = (x[order] for x in (rest, content, row, doc, start, count))
         new_key = np.append(True, rest[1:] != rest[:-1])
@@ -134,6 +134,7 @@ def _sort_bucket(blocks: int):
 
 def _to_blocks(row: np.ndarray, blocks: int, chosen: np.ndarray, columns: tuple[np.ndarray, ...]) -> pd.DataFrame:
     chosen = np.flatnonzero(chosen)
+    columns = tuple(x.astype(np.uint32) if x.max(initial=0) < 2**32 and x.min(initial=0) >= 0 else x for x in columns)
     block = row[chosen] % blocks
     order = np.argsort(block, kind="stable")
     chosen, block = chosen[order], block[order]
@@ -146,7 +147,7 @@ def _found(frame: pd.DataFrame, width: int) -> tuple[np.ndarray, ...]:
     """The blobs of a block as columns sorted by row."""
     if not len(frame):
         return tuple(np.empty(0, np.int64) for _ in range(width))
-    columns = [np.concatenate(c) for c in zip(*map(unpack, frame["found"]), strict=True)]
+    columns = [np.concatenate(c).astype(np.int64) for c in zip(*map(unpack, frame["found"]), strict=True)]
     order = np.argsort(columns[0], kind="stable")
     return tuple(c[order] for c in columns)
 
@@ -207,14 +208,16 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, keep: tuple[str, ...] =
     document to each other: they never remove each other's bytes. An empty table gives no rows.
     """
     names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text", "removed"]
-    row: Column = F.xxhash64(F.coalesce("doc_id", F.lit(LAST)), F.coalesce("text", F.lit("")))
+    # Names a row in few bits: rows of one doc_id differ by their text's checksum.
+    check = F.crc32(F.coalesce("text", F.lit("")))
+    row: Column = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).bitwiseXOR(F.shiftleft(check, 31))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"), *keep)
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(6, (total // BUCKET_BYTES).bit_length())
+    bits = max(5, (total // BUCKET_BYTES).bit_length())
     blocks = max(16, total // BLOCK_BYTES)
     block = F.pmod("row", F.lit(blocks)).alias("block")
     runs = rows.select("row", "doc_id", "text").mapInArrow(_hash_runs(min_bytes, bits), "bucket int, runs binary")
-    found = settle(runs.groupBy("bucket").applyInPandas(_sort_bucket(blocks), "block long, found binary"), "repeats-found")
+    found = runs.groupBy("bucket").applyInPandas(_sort_bucket(blocks), "block long, found binary")
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     passed = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *keep))
     result = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed array<long>"
@@ -222,7 +225,6 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, keep: tuple[str, ...] =
     def split(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         """Finish the documents whose runs are all decided; hand on the contents of undecided runs."""
         of, start, count, number = _found(marks, 4)
-        start, count = start.astype(np.int64), count.astype(np.int64)
         first, last = (np.searchsorted(of, texts["row"].to_numpy(), side) for side in ("left", "right"))
         contents: list[bytes | None] = []
         spans: list[np.ndarray] = []
