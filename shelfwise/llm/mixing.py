@@ -170,7 +170,9 @@ def mix_sources(
 
 def _nearer(mixed: DataFrame, cap: int) -> DataFrame:
     """Change one document by one copy in each source where that brings its words nearer to the target."""
-    missing = mixed.groupBy("sid").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("missing"))
+    missing = settle(
+        mixed.groupBy("sid").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("missing")), "mix-missing"
+    )
     off = F.abs(F.col("missing"))
     better = F.abs(F.col("size") - off) < off
     open_ = F.when(F.col("missing") > 0, F.col("copies") < cap).otherwise(F.col("copies") > 0)
