@@ -20,11 +20,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.rolling import Rolling, aranges, mix, pack, sliding_min, unpack
-from shelfwise.session import settle
 
 GRAM = 24
 CHUNK = 1 << 20  # bytes hashed at once; longer texts are hashed in overlapping parts
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 BLOCK_BYTES = 4 << 20
 LAST = 2**63 - 1
 
@@ -184,11 +183,11 @@ def _whole_letters(data: bytes, spans: np.ndarray) -> np.ndarray:
 
 
 def _finish(texts: pd.DataFrame, spans_of, keep: bool) -> pd.DataFrame:
-    out = texts.drop(columns=["block", "row", "text", "contents", "spans"], errors="ignore")
+    out = texts.drop(columns=["block", "row", "text"])
     rows = []
-    for number, (row, text) in enumerate(zip(texts["row"], texts["text"], strict=True)):
+    for number, text in enumerate(texts["text"]):
         data = (text or "").encode()
-        spans = spans_of(number, row)
+        spans = spans_of(number)
         kept = _kept(data, spans)
         cut = _kept(data, _whole_letters(data, spans)).decode() if keep and len(spans) else text if keep else None
         rows.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), cut, spans.ravel().tolist()))
@@ -213,7 +212,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, keep: tuple[str, ...] =
     row: Column = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).bitwiseXOR(F.shiftleft(check, 31))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"), *keep)
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(5, (total // BUCKET_BYTES).bit_length())
+    bits = max(6, (total // BUCKET_BYTES).bit_length())
     blocks = max(16, total // BLOCK_BYTES)
     block = F.pmod("row", F.lit(blocks)).alias("block")
     runs = rows.select("row", "doc_id", "text").mapInArrow(_hash_runs(min_bytes, bits), "bucket int, runs binary")
@@ -221,78 +220,68 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, keep: tuple[str, ...] =
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     passed = ", ".join(f"`{c}` {kinds[c]}" for c in ("doc_id", *keep))
     result = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text string, removed array<long>"
+    by_block = rows.withColumn("block", block).groupBy("block")
 
     def split(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-        """Finish the documents whose runs are all decided; hand on the contents of undecided runs."""
+        """One row with the sure spans of a block, and the contents of undecided runs by document."""
         of, start, count, number = _found(marks, 4)
-        first, last = (np.searchsorted(of, texts["row"].to_numpy(), side) for side in ("left", "right"))
-        contents: list[bytes | None] = []
-        spans: list[np.ndarray] = []
-        for text, doc_id, a, b in zip(texts["text"], texts["doc_id"], first, last, strict=True):
-            open_ = np.flatnonzero(number[a:b] >= 0) + a
-            sure = np.flatnonzero(number[a:b] < 0) + a
-            spans.append(_union(start[sure], start[sure] + count[sure] - 1 + min_bytes))
-            if not len(open_):
-                contents.append(None)
-                continue
-            data = (text or "").encode()
-            size = count[open_] - 1 + min_bytes
-            joined = b"".join(data[s : s + n] for s, n in zip(start[open_], size, strict=True))
-            contents.append(pack(number[open_], start[open_], size, joined))
-        decided = np.array([c is None for c in contents], bool)
-        done = _finish(texts[decided], lambda i, _, kept=[s for s, d in zip(spans, decided, strict=True) if d]: kept[i], keep_text)
-        done = done.assign(row=texts["row"][decided], block=texts["block"][decided])
-        rest = texts[~decided].assign(
-            n_bytes=0,
-            n_removed=0,
-            n_spans=0,
-            contents=[c for c in contents if c is not None],
-            spans=[s.ravel().tolist() for s, d in zip(spans, decided, strict=True) if not d],
-        )
-        return pd.concat([done.assign(decided=True), rest.assign(decided=False)], ignore_index=True)[columns]
-
-    columns = ["decided", "block", "row", "text", "contents", "spans", "doc_id", *keep, *names]
-    schema = f"decided boolean, block long, row long, text string, contents binary, spans array<long>, {passed}, {result}"
-
-    def split_typed(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-        texts = texts.astype({"doc_id": "Int64", **{c: "Int64" for c in keep if kinds[c] in ("bigint", "int")}})
-        out = split(texts, marks)
-        for c in ("text", "contents", "spans", "kept_sha256", "kept_text", "removed"):
-            out[c] = out[c].astype(object).where(out[c].notna(), None)
-        return out
-
-    by_block = rows.withColumn("block", block).groupBy("block")
-    parts = settle(by_block.cogroup(found.groupBy("block")).applyInPandas(split_typed, schema), "repeats-split")
-    open_ = parts.filter("not decided")
-    dealt = open_.select("row", "doc_id", "contents").mapInArrow(_deal_contents(bits), "bucket int, contents binary")
+        sure = number < 0
+        spans = [_union(start[own], start[own] + count[own] - 1 + min_bytes) for own in _by_row(of, sure)]
+        names = np.repeat(np.unique(of[sure]), [len(s) for s in spans])
+        both = np.concatenate(spans) if spans else np.empty((0, 2), np.int64)
+        out: list[tuple] = [(None, None, None, pack(names, both[:, 0], both[:, 1]))] if len(names) else []
+        undecided = dict(zip(np.unique(of[~sure]).tolist(), _by_row(of, ~sure), strict=True))
+        for row, doc, text in zip(texts["row"].tolist(), texts["doc_id"].tolist(), texts["text"], strict=True):
+            own = undecided.pop(row, None)  # of repeated rows, one speaks for all
+            if own is not None:
+                data = (text or "").encode()
+                size = count[own] - 1 + min_bytes
+                joined = b"".join(data[s : s + n] for s, n in zip(start[own], size, strict=True))
+                out.append((row, LAST if pd.isna(doc) else int(doc), pack(number[own], start[own], size, joined), None))
+        frame = pd.DataFrame(out, columns=["row", "doc", "contents", "found"], dtype=object)
+        at = texts["block"].iloc[0] if len(texts) else marks["block"].iloc[0]
+        return frame.assign(block=int(at))[["block", "row", "doc", "contents", "found"]]
+
+    parts = by_block.cogroup(found.groupBy("block")).applyInPandas(
+        split, "block long, row long, doc long, contents binary, found binary"
+    )
+    dealt = parts.filter("contents is not null").select("row", "doc", "contents").mapInArrow(
+        _deal_contents(bits), "bucket int, contents binary"
+    )
     more = dealt.groupBy("bucket").applyInPandas(_sort_contents(min_bytes, blocks), "block long, found binary")
+    marked = parts.filter("found is not null").select("block", "found").unionByName(more)
+    whole = [c for c in keep if kinds[c] in ("bigint", "int")]
 
     def join(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         of, start, end = _found(marks, 3)
         first, last = (np.searchsorted(of, texts["row"].to_numpy(), side) for side in ("left", "right"))
-        known = [np.array(list(s), np.int64).reshape(-1, 2) for s in texts["spans"]]
 
-        def spans_of(i: int, _: int) -> np.ndarray:
+        def spans_of(i: int) -> np.ndarray:
             own = slice(first[i], last[i])
-            return _union(np.append(known[i][:, 0], start[own]), np.append(known[i][:, 1], end[own]))
+            return _union(start[own], end[own])
 
-        texts = texts.astype({"doc_id": "Int64", **{c: "Int64" for c in keep if kinds[c] in ("bigint", "int")}})
+        texts = texts.astype({c: "Int64" for c in ("doc_id", *whole)})
         return _finish(texts, spans_of, keep_text)[["doc_id", *keep, *names]]
 
-    waiting = open_.select("block", "row", "text", "spans", "doc_id", *keep)
-    joined = waiting.groupBy("block").cogroup(more.groupBy("block")).applyInPandas(join, f"{passed}, {result}")
-    out = parts.filter("decided").select("doc_id", *keep, *names).unionByName(joined)
+    # The texts are shuffled once: both passes over the blocks read the same exchange.
+    out = by_block.cogroup(marked.groupBy("block")).applyInPandas(join, f"{passed}, {result}")
     return out if keep_text else out.drop("kept_text")
 
 
+def _by_row(of: np.ndarray, chosen: np.ndarray) -> list[np.ndarray]:
+    """The chosen positions of each row that has some; ``of`` is sorted."""
+    at = np.flatnonzero(chosen)
+    return np.split(at, np.flatnonzero(np.diff(of[at])) + 1) if len(at) else []
+
+
 def _deal_contents(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, columns, data = [], [], []
-            for row, doc_id, blob in zip(batch["row"].to_pylist(), batch["doc_id"].to_pylist(), batch["contents"].to_pylist(), strict=True):
+            for row, doc_id, blob in zip(batch["row"].to_pylist(), batch["doc"].to_pylist(), batch["contents"].to_pylist(), strict=True):
                 number, start, size, joined = unpack(blob)
                 columns.append((np.full(len(number), len(ids)), number, start, size))
-                ids.append((row, LAST if doc_id is None else doc_id))
+                ids.append((row, doc_id))
                 data.append(joined)
             if not ids:
                 continue
