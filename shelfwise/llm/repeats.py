@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from shelfwise.llm.rolling import Rolling, aranges, mix, pack, sliding_min, unpack
 
 GRAM = 24
-CHUNK = 1 << 20  # bytes hashed at once; longer texts are hashed in overlapping parts
-BUCKET_BYTES = 16 << 20
-BLOCK_BYTES = 4 << 20
+CHUNK = 1 << 19  # bytes hashed at once; longer texts are hashed in overlapping parts
+BUCKET_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 LAST = 2**63 - 1
 
 
@@ -223,31 +223,33 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, keep: tuple[str, ...] =
     by_block = rows.withColumn("block", block).groupBy("block")
 
     def split(texts: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
-        """One row with the sure spans of a block, and the contents of undecided runs by document."""
+        """One row with the sure spans of a block, and the contents of undecided runs by bucket."""
         of, start, count, number = _found(marks, 4)
         sure = number < 0
         spans = [_union(start[own], start[own] + count[own] - 1 + min_bytes) for own in _by_row(of, sure)]
         names = np.repeat(np.unique(of[sure]), [len(s) for s in spans])
         both = np.concatenate(spans) if spans else np.empty((0, 2), np.int64)
-        out: list[tuple] = [(None, None, None, pack(names, both[:, 0], both[:, 1]))] if len(names) else []
+        out: list[tuple] = [(None, None, pack(names, both[:, 0], both[:, 1]))] if len(names) else []
+        ids, columns, data = [], [], []
         undecided = dict(zip(np.unique(of[~sure]).tolist(), _by_row(of, ~sure), strict=True))
         for row, doc, text in zip(texts["row"].tolist(), texts["doc_id"].tolist(), texts["text"], strict=True):
             own = undecided.pop(row, None)  # of repeated rows, one speaks for all
             if own is not None:
-                data = (text or "").encode()
+                whole_text = (text or "").encode()
                 size = count[own] - 1 + min_bytes
-                joined = b"".join(data[s : s + n] for s, n in zip(start[own], size, strict=True))
-                out.append((row, LAST if pd.isna(doc) else int(doc), pack(number[own], start[own], size, joined), None))
-        frame = pd.DataFrame(out, columns=["row", "doc", "contents", "found"], dtype=object)
+                columns.append((np.full(len(own), len(ids)), number[own], start[own], size))
+                ids.append((row, LAST if pd.isna(doc) else int(doc)))
+                data += [whole_text[s : s + n] for s, n in zip(start[own], size, strict=True)]
+        if ids:
+            out += [(bucket, contents, None) for bucket, contents in _deal_contents(ids, columns, b"".join(data))]
+        frame = pd.DataFrame(out, columns=["bucket", "contents", "found"], dtype=object)
         at = texts["block"].iloc[0] if len(texts) else marks["block"].iloc[0]
-        return frame.assign(block=int(at))[["block", "row", "doc", "contents", "found"]]
+        return frame.assign(block=int(at))[["block", "bucket", "contents", "found"]]
 
     parts = by_block.cogroup(found.groupBy("block")).applyInPandas(
-        split, "block long, row long, doc long, contents binary, found binary"
-    )
-    dealt = parts.filter("contents is not null").select("row", "doc", "contents").mapInArrow(
-        _deal_contents(bits), "bucket int, contents binary"
+        split, "block long, bucket int, contents binary, found binary"
     )
+    dealt = parts.filter("contents is not null").select("bucket", "contents")
     more = dealt.groupBy("bucket").applyInPandas(_sort_contents(min_bytes, blocks), "block long, found binary")
     marked = parts.filter("found is not null").select("block", "found").unionByName(more)
     whole = [c for c in keep if kinds[c] in ("bigint", "int")]
@@ -274,35 +276,19 @@ def _by_row(of: np.ndarray, chosen: np.ndarray) -> list[np.ndarray]:
     return np.split(at, np.flatnonzero(np.diff(of[at])) + 1) if len(at) else []
 
 
-def _deal_contents(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, columns, data = [], [], []
-            for row, doc_id, blob in zip(batch["row"].to_pylist(), batch["doc"].to_pylist(), batch["contents"].to_pylist(), strict=True):
-                number, start, size, joined = unpack(blob)
-                columns.append((np.full(len(number), len(ids)), number, start, size))
-                ids.append((row, doc_id))
-                data.append(joined)
-            if not ids:
-                continue
-            table = np.array(ids, np.int64)
-            owner, number, start, size = (np.concatenate(c) for c in zip(*columns, strict=True))
-            joined = np.frombuffer(b"".join(data), np.uint8)
-            offset = np.cumsum(size) - size
-            bucket = number >> 32
-            out: dict[str, list] = {"bucket": [], "contents": []}
-            order = np.argsort(bucket, kind="stable")
-            found, first = np.unique(bucket[order], return_index=True)
-            for b, own in zip(found, np.split(order, first[1:]), strict=True):
-                used, local = np.unique(owner[own], return_inverse=True)
-                content = joined[aranges(offset[own], size[own])].tobytes()
-                out["bucket"].append(int(b))
-                out["contents"].append(pack(table[used], local, number[own], start[own], size[own], content))
-            yield pa.record_batch(
-                {"bucket": pa.array(out["bucket"], pa.int32()), "contents": pa.array(out["contents"], pa.binary())}
-            )
-
-    return run
+def _deal_contents(ids: list[tuple[int, int]], columns: list[tuple[np.ndarray, ...]], data: bytes) -> Iterator[tuple[int, bytes]]:
+    """The contents of a block's undecided runs, packed by the bucket of their keys."""
+    table = np.array(ids, np.int64)
+    owner, number, start, size = (np.concatenate(c) for c in zip(*columns, strict=True))
+    joined = np.frombuffer(data, np.uint8)
+    offset = np.cumsum(size) - size
+    bucket = number >> 32
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    for b, own in zip(found, np.split(order, first[1:]), strict=True):
+        used, local = np.unique(owner[own], return_inverse=True)
+        content = joined[aranges(offset[own], size[own])].tobytes()
+        yield int(b), pack(table[used], local, number[own], start[own], size[own], content)
 
 
 def _sort_contents(depth: int, blocks: int):
