@@ -20,9 +20,9 @@ WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 BITS = 18
 PREFIXES = (4, 5)
-SAMPLE = 3000  # labelled documents of each label that the model is fitted on, at most
+SAMPLE = 1500  # labelled documents of each label that the model is fitted on, at most
 MIN_DOCS = 3  # features of fewer sampled documents are not learned
-STEPS = 300
+STEPS = 150
 RATE = 0.1
 PENALTY = 1e-4
 
@@ -54,17 +54,21 @@ def fit(labelled: list[tuple[str | None, int]]) -> np.ndarray:
         weights[-1] = -3.0
         return weights
     features = _Features()
-    bags = [[_bag(s, features) for s in sentences(text)] for text, _ in labelled]
-    seen = np.zeros(2**BITS, np.int64)
-    for bag in bags:
-        for f in set().union(*bag):
-            seen[f] += 1
+    bags, of_doc, seen = [], [], np.zeros(2**BITS, np.int64)
+    for number, (text, _) in enumerate(labelled):
+        own = [np.fromiter(_bag(s, features), np.int32) for s in sentences(text)]
+        seen[np.unique(np.concatenate(own))] += 1
+        bags += own
+        of_doc += [number] * len(own)
     kept = np.flatnonzero(seen >= MIN_DOCS)
-    number = {f: i for i, f in enumerate(kept)}
-    instances = [(d, [number[f] for f in s if f in number]) for d, bag in enumerate(bags) for s in bag]
-    of_doc = np.array([d for d, _ in instances])
-    column = np.array([f for _, fs in instances for f in fs], np.int64)
-    of_instance = np.repeat(np.arange(len(instances)), [len(fs) for _, fs in instances])
+    place = np.full(2**BITS, -1, np.int32)
+    place[kept] = np.arange(len(kept))
+    of_doc = np.array(of_doc)
+    column = place[np.concatenate(bags)]
+    of_instance = np.repeat(np.arange(len(bags), dtype=np.int32), [len(bag) for bag in bags])[column >= 0]
+    column = column[column >= 0]
+    instances = len(bags)
+    del bags, features
     label = np.array([y for _, y in labelled], float)
     share = np.clip(label.mean(), 0.01, 0.99)
     balance = np.where(label == 1, 0.5 / share, 0.5 / (1 - share))
@@ -72,7 +76,7 @@ def fit(labelled: list[tuple[str | None, int]]) -> np.ndarray:
     theta[-1] = -3.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        z = theta[-1] + np.bincount(of_instance, theta[column], len(instances))
+        z = theta[-1] + np.bincount(of_instance, theta[column], instances)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         # log(1 - p) summed over a document is the log-probability that nothing offends.
         clean = np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(labelled))
