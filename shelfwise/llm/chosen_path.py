@@ -353,12 +353,12 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit("")), *[F.col(c) for c in docs.columns if c != "text"]))
     # Ids are unique in ordinary tables; ids with several rows are settled by the rows' hashes.
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    single = keyed.join(repeated.withColumnRenamed("doc_id", "r"), F.col("doc_id").eqNullSafe(F.col("r")), "left_anti")
-    ids = first.select(F.col("doc_id").alias("r")).distinct()
-    kept = single.join(ids, F.col("doc_id").eqNullSafe(F.col("r")), "left_semi").drop(key)
+    single = keyed.join(repeated.withColumnRenamed("doc_id", "near_id"), F.col("doc_id").eqNullSafe(F.col("near_id")), "left_anti")
+    ids = first.select(F.col("doc_id").alias("near_id")).distinct()
+    kept = single.join(ids, F.col("doc_id").eqNullSafe(F.col("near_id")), "left_semi").drop(key)
     if repeated.isEmpty():
         return kept
-    several = keyed.join(repeated.withColumnRenamed("doc_id", "r"), F.col("doc_id").eqNullSafe(F.col("r")), "left_semi")
+    several = keyed.join(repeated.withColumnRenamed("doc_id", "near_id"), F.col("doc_id").eqNullSafe(F.col("near_id")), "left_semi")
     order = Window.partitionBy("class").orderBy(key)
     named = several.select(key, "text").mapInArrow(_name_rows, f"{key} long, sid long")
     best = (

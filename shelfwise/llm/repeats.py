@@ -349,10 +349,11 @@ def cut_repeats(docs: DataFrame, min_bytes: int = 200) -> DataFrame:
 
     200 bytes are about 35 words, less than any passage of 50. Documents of which nothing is left go.
     """
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    out = remove_repeats(docs, min_bytes, others, keep_text=True)
-    out = out.filter("not (n_removed > 0 and length(kept_text) = 0)").withColumn("text", F.col("kept_text"))
-    if "n_chars" in docs.columns:
-        changed = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    others = {f"carried_{i}": c for i, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    plain = docs.select("doc_id", "text", *[F.col(c).alias(n) for n, c in others.items()])
+    out = remove_repeats(plain, min_bytes, tuple(others), keep_text=True)
+    out = out.filter("not (n_removed > 0 and length(kept_text) = 0)")
+    back = {c: F.col(n) for n, c in others.items()} | {"doc_id": F.col("doc_id"), "text": F.col("kept_text")}
+    if "n_chars" in back:
+        back["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(back["n_chars"])
+    return out.select(*[back[c].cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
