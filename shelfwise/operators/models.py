@@ -213,6 +213,8 @@ def predict(df: DataFrame, model: PipelineModel | None, in_col: str, out_col: st
     """``df`` with the predicted label of ``in_col``; '' if there is no such model."""
     if model is None:
         return df.withColumn(out_col, F.lit(""))
-    source = df.withColumn("text", F.expr(text.fill_missing_sql(quoted(in_col))))
-    kept = [c for c in df.columns if c != out_col]
-    return model.transform(source).select(*[F.col(quoted(c)) for c in kept], F.col("predicted").alias(out_col))
+    # The caller's columns step aside under names that no stage of a model uses.
+    kept = {f"_kept_{i}": c for i, c in enumerate(df.columns) if c != out_col}
+    aside = [F.col(quoted(c)).alias(n) for n, c in kept.items()]
+    source = df.select(*aside, F.expr(text.fill_missing_sql(quoted(in_col))).alias("text"))
+    return model.transform(source).select(*[F.col(n).alias(c) for n, c in kept.items()], F.col("predicted").alias(out_col))

@@ -16,6 +16,11 @@ from shelfwise.session import settle
 from shelfwise.sources import files, sinks
 
 
+def quarantine_path(sink: str) -> str:
+    """Where a load keeps the malformed rows of its files, a folder for each chain."""
+    return f"{sink.rstrip('/')}-quarantine"
+
+
 def load_chain(
     spark: SparkSession,
     folder: str,
@@ -28,6 +33,7 @@ def load_chain(
     """Load all drop files of a chain to ``sink`` and return (file, chunks, rows, added_columns).
 
     One write for all files; each file is a table folder, and loading a file again replaces it.
+    With ``mode="quarantine"`` malformed rows are kept as (file, row) below :func:`quarantine_path`.
     Raises, leaving the files where they are, on a malformed row (unless quarantined), on two
     files for one table, and if the sink does not hold as many rows as were read.
     """
@@ -42,6 +48,9 @@ def load_chain(
         rows = settle(rows, "parsed")
     enriched = sinks.sink_text(enrich_columns(rows, models)).withColumn("chain", F.lit(profile.schema))
     sinks.write_tables(enriched, sink)
+    if mode == "quarantine":
+        paths = [r["path"] for r in found.select("path").collect()]
+        files.bad_rows(spark, paths).write.mode("overwrite").parquet(f"{quarantine_path(sink)}/{profile.schema}")
     tables = found.select(files.table_name_for("name").alias("table_name"))
     stored = spark.read.parquet(sink).filter(F.col("chain") == profile.schema)
     # One row per file on the right: no skew, and only this load's partitions are counted.

@@ -25,13 +25,21 @@ def build_session(app: str = "shelfwise", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def require_local(master: str) -> None:
+    """Raise unless all of Spark runs in this process."""
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir`` if the session names one.
 
-    Only an unset session (tests, a laptop) gets a temporary folder.
+    Only an unset session on this machine alone (tests, a laptop) gets a temporary folder: on a cluster
+    each executor would write to a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        require_local(spark.sparkContext.master)
         folder = tempfile.mkdtemp(prefix="shelfwise-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder

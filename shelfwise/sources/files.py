@@ -24,9 +24,14 @@ BAD_ROW, FILE = "_bad_row", "_file"
 HEADER_READERS = 16
 
 
+def literal_path(path: str) -> str:
+    """A path as a reader takes it that must mean this one file or folder: glob characters are escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def discover_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
     """(path, name, length, modified) of the files ``prefix*.csv`` directly in a folder."""
-    literal_folder = re.sub(r"([\[\]{}*?\\])", r"\\\1", folder.rstrip("/"))
+    literal_folder = literal_path(folder.rstrip("/"))
     try:
         return _listing(spark.read.format("binaryFile").load(f"{literal_folder}/{prefix}*.csv"))
     except AnalysisException as error:
@@ -39,7 +44,7 @@ def discover_files_recursive(spark: SparkSession, folder: str) -> DataFrame:
     """All .csv, .xlsx and .xlsb files below a folder, in any letter case."""
     pattern = "*.{[cC][sS][vV],[xX][lL][sS][xX],[xX][lL][sS][bB]}"
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return _listing(reader.option("pathGlobFilter", pattern).load(folder))
+    return _listing(reader.option("pathGlobFilter", pattern).load(literal_path(folder)))
 
 
 def _listing(found: DataFrame) -> DataFrame:
@@ -75,7 +80,7 @@ def _header_names(line: str) -> list[str]:
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
     """Header names of one file; reads its first line only."""
-    first = spark.read.text(path).first()
+    first = spark.read.text(literal_path(path)).first()
     if first is None:
         raise ValueError(f"{path} is empty")
     return _header_names(first["value"])
@@ -95,7 +100,7 @@ def multi_line_files(spark: SparkSession, paths: list[str]) -> set[str]:
 
     Spark cannot split such a file, so only these are read whole, each by one task.
     """
-    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    lines = spark.read.text([literal_path(p) for p in paths]).select(F.col("_metadata.file_path").alias("path"), "value")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     odd = lines.filter(quotes % 2 == 1).select("path").distinct()
     return {row["path"] for row in odd.collect()}
@@ -116,7 +121,7 @@ def _read_group(spark: SparkSession, paths: list[str], names: tuple[str, ...], m
     reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("header", True).option("multiLine", multi_line)
     reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
     # Without pruning, whether a row is malformed does not depend on the columns a query uses.
-    rows = reader.option("columnPruning", False).csv(paths)
+    rows = reader.option("columnPruning", False).csv([literal_path(p) for p in paths])
     return rows.select(*[F.col(quoted(c)) for c in rows.columns], file_name().alias(FILE))
 
 
@@ -144,7 +149,8 @@ def _data_columns(raw: DataFrame) -> list[str]:
 
 def too_many_cells(n_columns: int) -> Column:
     """True for a malformed row with surplus cells; a row that is merely short is padded with nulls."""
-    unquoted = f"regexp_replace({BAD_ROW}, {literal('\"([^\"]|\"\")*\"')}, '')"
+    # Possessive, without alternatives: a long cell needs no stack.
+    unquoted = f"regexp_replace({BAD_ROW}, {literal('\"[^\"]*+(?:\"\"[^\"]*+)*+\"')}, '')"
     return F.coalesce(F.expr(f"size(split({unquoted}, ';')) > {n_columns}"), F.lit(False))
 
 
@@ -158,6 +164,12 @@ def quarantine_bad_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(~bad).drop(BAD_ROW), parsed.filter(bad).select(F.col(FILE).alias("file"), F.col(BAD_ROW).alias("row"))
 
 
+def bad_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, row) of the rows with more cells than their header, of all files."""
+    parts = [quarantine_bad_rows(raw)[1] for raw in read_raw(spark, paths)]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _without_bad_rows(raw: DataFrame, mode: str) -> DataFrame:
     bad = too_many_cells(len(_data_columns(raw)))
     if mode == "quarantine":

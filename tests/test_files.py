@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.plans.load import load_chain
 from shelfwise.profiles import PROFILES
+from shelfwise.session import require_local
 from shelfwise.sources import files, sinks
 
 DIRTY = (
@@ -121,3 +122,21 @@ def test_load_refuses_colliding_tables(spark, drop, tmp_path):
         drop(name, "Товар\nа\n")
     with pytest.raises(ValueError, match="same table"):
         load_chain(spark, str(tmp_path), PROFILES["magnit"], {}, str(tmp_path / "sink"))
+
+
+def test_bracketed_name_is_its_own_file(spark, drop):
+    paths = [drop("magnit_1.csv", "a;b\n1;2\n"), drop("magnit_[1].csv", "a;b\n3;4\n")]
+    got = {r["a"] for raw in files.read_raw(spark, paths) for r in raw.collect()}
+    assert got == {"1", "3"}
+
+
+def test_long_quoted_cell_in_a_short_row(spark, drop):
+    path = drop("magnit_long.csv", 'a;b;c\n"' + "x;" * 50_000 + '"\n1;2;3;4\n')
+    assert [r["row"] for r in files.bad_rows(spark, [path]).collect()] == ["1;2;3;4"]
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]", "k8s://x"])
+def test_no_temporary_folder_on_a_cluster(master):
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        require_local(master)
+    require_local("local[4]")
