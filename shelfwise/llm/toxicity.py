@@ -21,7 +21,7 @@ SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 BITS = 18
 PREFIXES = (4, 5)
 SAMPLE = 1500  # labelled documents of each label that the model is fitted on, at most
-MIN_DOCS = 3  # features of fewer sampled documents are not learned
+LEAST_Z = 2.4  # features whose smoothed log-odds ratio is fewer standard errors above 0 are not learned
 STEPS = 150
 RATE = 0.1
 PENALTY = 1e-4
@@ -54,13 +54,16 @@ def fit(labelled: list[tuple[str | None, int]]) -> np.ndarray:
         weights[-1] = -3.0
         return weights
     features = _Features()
-    bags, of_doc, seen = [], [], np.zeros(2**BITS, np.int64)
-    for number, (text, _) in enumerate(labelled):
+    bags, of_doc, seen = [], [], np.zeros((2, 2**BITS))
+    for number, (text, mark) in enumerate(labelled):
         own = [np.fromiter(_bag(s, features), np.int32) for s in sentences(text)]
-        seen[np.unique(np.concatenate(own))] += 1
+        seen[mark, np.unique(np.concatenate(own))] += 1
         bags += own
         of_doc += [number] * len(own)
-    kept = np.flatnonzero(seen >= MIN_DOCS)
+    # Only what marks toxic documents beyond chance can make a sentence offend.
+    docs = np.bincount([mark for _, mark in labelled], minlength=2)
+    log_odds = np.log((seen[1] + 0.5) / (docs[1] + 1)) - np.log((seen[0] + 0.5) / (docs[0] + 1))
+    kept = np.flatnonzero(log_odds / np.sqrt((1 / (seen + 0.5)).sum(axis=0)) >= LEAST_Z)
     place = np.full(2**BITS, -1, np.int32)
     place[kept] = np.arange(len(kept))
     of_doc = np.array(of_doc)
