@@ -22,17 +22,15 @@ from shelfwise.operators.models import PRODUCT_MODELS, SPECS, predict
 from shelfwise.profiles import ChainProfile
 from shelfwise.session import settle
 
-CITY_WORDS = 3
-
-
 def extract_city(df: DataFrame, address: str, known: DataFrame, out: str = "city_found") -> DataFrame:
     """City named after the city marker of an address if ``known`` (one column) lists it, else ''.
 
-    Tries the three, two and one words after the marker, longest first.
+    Tries as many words after the marker as the longest known city has, then fewer; the longest wins.
     """
     name = known.columns[0]
-    listed = known.select(normalize_address(name).alias("_known")).filter("_known <> ''").distinct()
-    words = list(range(1, CITY_WORDS + 1))
+    listed = settle(known.select(normalize_address(name).alias("_known")).filter("_known <> ''").distinct(), "cities")
+    longest = listed.agg(F.max(F.size(F.split("_known", " ")))).first()[0] or 1
+    words = list(range(1, longest + 1))
     df = df.withColumns({f"_city{n}": city_after_marker(address, n) for n in words})
     for n in words:
         marked = listed.select(F.col("_known").alias(f"_city{n}"), F.col("_known").alias(f"_hit{n}"))

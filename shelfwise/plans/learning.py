@@ -125,19 +125,7 @@ def stratified_split(spark, sf_dir):
     return split.withColumn("is_test", F.col("is_test").cast("int"))
 
 
-# Models. The registered runs use fewer trees and iterations than the specs name.
-
-RUN_PARAMS = {
-    "boosting": {"trees": 5, "depth": 3},
-    "forest": {"trees": 20, "depth": 10},
-    "logistic": {"iterations": 60},
-}
-
-
-def _run_spec(name: str) -> models.ModelSpec:
-    spec = models.SPECS[name]
-    return spec.with_params(**RUN_PARAMS[spec.learner])
-
+# Models.
 
 def _label_set(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "city":
@@ -152,7 +140,7 @@ def _trained(spark: SparkSession, sf_dir: str, name: str) -> models.Trained:
     """The model of a data folder, trained once per application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _TRAINED:
-        _TRAINED[key] = models.train(_label_set(spark, sf_dir, name), _run_spec(name))
+        _TRAINED[key] = models.train(_label_set(spark, sf_dir, name), models.SPECS[name])
     return _TRAINED[key]
 
 

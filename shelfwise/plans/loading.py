@@ -156,15 +156,15 @@ def ensure_schema(spark, sf_dir):
     return spark.table(sinks.table_id(STAGE, "kinds")).groupBy("p_type").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query("select p_name, p_brand, cast(p_partkey as varchar) as article from part")
+@query("select p_name, p_brand, cast(p_partkey as varchar) as article, 'part.csv' as file from part")
 def ensure_table(spark, sf_dir):
     """An all-text table, filled, then asked for again: its rows stay."""
-    part = table(spark, sf_dir, "part").selectExpr("p_name", "p_brand", "p_partkey as article")
+    part = table(spark, sf_dir, "part").selectExpr("p_name", "p_brand", "p_partkey as article", "'part.csv' as file")
     sinks.ensure_schema(spark, STAGE, scratch_path(spark, STAGE))
     created = f"created_{uuid.uuid4().hex}"
     place = scratch_path(spark, "created")
     sinks.ensure_table(spark, STAGE, created, part.columns, place)
-    sinks.write_append(part, STAGE, created)
+    sinks.write_append(part, STAGE, created, "file")
     sinks.ensure_table(spark, STAGE, created, part.columns, place)
     return spark.table(sinks.table_id(STAGE, created))
 
@@ -180,14 +180,14 @@ def write_replace(spark, sf_dir):
     return spark.table(sinks.table_id(STAGE, "replaced"))
 
 
-@query(LINES_SQL)
+@query(f"select *, l_returnflag || '.csv' as file from ({LINES_SQL}) union all select *, 'again.csv' from ({LINES_SQL})")
 def write_append(spark, sf_dir):
-    """A load that broke off and one that repeats it leave every row once."""
-    lines = _lines(spark, sf_dir)
+    """A load that broke off and one that repeats it leave every row once; equal rows of another file stay."""
+    lines = _lines(spark, sf_dir).withColumn("file", F.concat("l_returnflag", F.lit(".csv")))
     sinks.ensure_schema(spark, STAGE, scratch_path(spark, STAGE))
     sinks.write_replace(lines.filter("l_quantity > 25"), STAGE, "appended", scratch_path(spark, "appended"))
-    for _ in range(2):
-        sinks.write_append(lines, STAGE, "appended")
+    for rows in (lines, lines, lines.withColumn("file", F.lit("again.csv"))):
+        sinks.write_append(rows, STAGE, "appended", "file")
     return spark.table(sinks.table_id(STAGE, "appended"))
 
 

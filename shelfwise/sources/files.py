@@ -218,6 +218,10 @@ def load_many_files(
 
 
 def read_labels(spark: SparkSession, path: str, text: str, label: str) -> DataFrame:
-    """(text, label) of a label file, without copies and incomplete rows."""
-    rows = spark.read.options(**CSV_OPTIONS).option("header", True).csv(path)
+    """(text, label) of a label file or folder, without copies and incomplete rows.
+
+    Read like drop files: line breaks in quotes belong to their cell, and null tokens are no labels.
+    """
+    found = _listing(spark.read.format("binaryFile").load(literal_path(path))).select("path").collect()
+    rows = read_chain_csv(spark, sorted(r["path"] for r in found))
     return rows.select(F.col(quoted(text)), F.col(quoted(label))).dropDuplicates().dropna(how="any")

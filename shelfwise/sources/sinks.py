@@ -57,16 +57,14 @@ def missing_rows(df: DataFrame, present: DataFrame) -> DataFrame:
     return df.exceptAll(present.select(*[F.col(quoted(c)) for c in df.columns]))
 
 
-def write_append(df: DataFrame, chain: str, table: str, file_col: str | None = None) -> None:
-    """Append what the table does not hold yet: a repeated load adds nothing.
+def write_append(df: DataFrame, chain: str, table: str, file_col: str) -> None:
+    """Append what the table does not hold yet of the same files: a repeated load adds nothing.
 
-    With ``file_col``, only stored rows of the same files are compared.
+    ``file_col`` names the file (or load) a row came from. An equal row of another file is a row of its own.
     """
     spark = df.sparkSession
     rows = sink_text(df)
-    present = spark.table(table_id(chain, table))
-    if file_col:
-        present = semi_join(present, rows, [file_col])
+    present = semi_join(spark.table(table_id(chain, table)), rows, [file_col])
     missing_rows(rows, present).write.mode("append").format("parquet").saveAsTable(table_id(chain, table))
 
 

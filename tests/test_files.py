@@ -66,6 +66,8 @@ def test_many_files_with_different_headers(spark, drop, tmp_path):
 def test_labels(spark, drop):
     path = drop("labels.csv", "product_name;brand\nа;Б\nа;Б\nв;\n;Г\n")
     assert _rows(files.read_labels(spark, path, "product_name", "brand")) == [("а", "Б")]
+    broken = drop("broken.csv", 'product_name;brand\n"а\nб";Б\nв;NA\n')
+    assert _rows(files.read_labels(spark, broken, "product_name", "brand")) == [("а\nб", "Б")]
 
 
 def test_export_caps_each_sheet(spark, tmp_path):
@@ -82,6 +84,8 @@ def test_append_keeps_copies_and_repeats_nothing(spark, tmp_path):
     for _ in range(2):
         sinks.write_append(df, "unit", "appended", file_col="file")
     assert _rows(spark.table("unit.appended")) == _rows(df)
+    sinks.write_append(df.limit(1).withColumn("file", F.lit("h")), "unit", "appended", file_col="file")
+    assert spark.table("unit.appended").count() == 4
 
 
 def test_sink_text_is_cut(spark):

@@ -4,6 +4,7 @@ import math
 import random
 import re
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ NAMES = [
     for taste in TASTES
     for n, weight in enumerate((40, 80, 120, 150, 200))
 ]
-SMALL = {"boosting": {"trees": 3, "depth": 2}, "forest": {"trees": 8, "depth": 6}, "logistic": {"iterations": 30}}
+SMALL = {"forest": {"trees": 8, "depth": 6}, "logistic": {"iterations": 30}}
 
 
 def _small(name):
@@ -74,6 +75,12 @@ def places(spark):
     return {"city": city, "region": region}
 
 
+def test_boosting_is_a_learner_to_choose(spark):
+    spec = replace(models.SPECS["type"], learner="boosting", params={"trees": 3, "rate": 0.1, "depth": 2})
+    df = spark.createDataFrame([(n, kind) for n, kind, _ in NAMES], "product_name string, product_type string")
+    assert models.train(df, spec).report.count() == len(KINDS) + 3
+
+
 def test_type_model_beats_the_majority(trained):
     score = stats.accuracy(trained["type"].scored, "label", "predicted").first()["accuracy"]
     assert score > 0.6
@@ -128,10 +135,13 @@ def test_columns_without_inputs(spark):
 
 
 def test_longest_city_wins(spark):
-    df = spark.createDataFrame([("г.Нижний Новгород, ул. 1",), ("г.Омск",), ("г.Нигде",), (None,)], "address string")
-    known = spark.createDataFrame([("Нижний Новгород",), ("Нижний",), ("омск",)], "city string")
+    addresses = ["г.Нижний Новгород, ул. 1", "г.Омск", "г.Нигде", "г.Старый Большой Новый Двор, ул. 2", None]
+    df = spark.createDataFrame([(a,) for a in addresses], "address string")
+    known = spark.createDataFrame([("Нижний Новгород",), ("Нижний",), ("омск",), ("Старый Большой Новый Двор",)], "city string")
     got = {r["address"]: r["city_found"] for r in enrich.extract_city(df, "address", known).collect()}
-    assert got == {"г.Нижний Новгород, ул. 1": "нижний новгород", "г.Омск": "омск", "г.Нигде": "", None: ""}
+    expected = ["нижний новгород", "омск", "", "старый большой новый двор", ""]
+    assert got == dict(zip(addresses, expected, strict=True))
+    assert {r["city_found"] for r in enrich.extract_city(df, "address", known.limit(0)).collect()} == {""}
 
 
 def test_guards(spark):
