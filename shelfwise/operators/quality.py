@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.joins import lookup_join
@@ -115,9 +115,18 @@ def check_date_bounds(df: DataFrame, first: str = FIRST_DATE, last: str = LAST_D
     return count_violations(df, date_rules(first, last))
 
 
-def _key_pairs(df: DataFrame) -> DataFrame:
-    """Row counts per (product_article, barcode): far fewer rows than sales."""
-    return df.groupBy("product_article", "barcode").agg(F.count(F.lit(1)).alias("n"))
+def _key_pairs(df: DataFrame, *counts: Column) -> DataFrame:
+    """Row counts, and others, per (product_article, barcode): far fewer rows than sales."""
+    return df.groupBy("product_article", "barcode").agg(F.count(F.lit(1)).alias("n"), *counts)
+
+
+def _row_report(pairs: DataFrame, names: list[str]) -> DataFrame:
+    """(rule, violations, rows, rate) from the rule counts ``r0``, ``r1`` ... of the key pairs."""
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", *[f"r{i}" for i in range(len(names))])]
+    listed = F.array(
+        *[F.struct(F.lit(n).alias("rule"), F.col(f"r{i}").alias("violations"), F.col("n").alias("rows")) for i, n in enumerate(names)]
+    )
+    return _with_rate(pairs.agg(*sums).select(F.explode(listed).alias("r")).select("r.*"))
 
 
 def check_uniqueness(df: DataFrame) -> DataFrame:
@@ -126,8 +135,10 @@ def check_uniqueness(df: DataFrame) -> DataFrame:
     (rule, violations, rows, rate) where violations and rows count key values. The sales rows
     are aggregated once, to pairs; both keys are checked on those.
     """
-    pairs = settle(_key_pairs(df), "key_pairs")
+    return _unique_report(settle(_key_pairs(df), "key_pairs"))
+
 
+def _unique_report(pairs: DataFrame) -> DataFrame:
     def keys(key: str, other: str) -> DataFrame:
         per_key = (
             pairs.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum("n").alias("n"), F.count(other).alias("others"))
@@ -147,8 +158,11 @@ def check_uniqueness(df: DataFrame) -> DataFrame:
 
 
 def quality_report(df: DataFrame, tolerance: float = TOLERANCE, first: str = FIRST_DATE, last: str = LAST_DATE) -> DataFrame:
-    """All rules: one scan for the row rules, one aggregation per key for uniqueness."""
-    return count_violations(df, row_rules(tolerance, first, last)).unionByName(check_uniqueness(df))
+    """All rules from one pass over the rows: rule counts per (product_article, barcode), summed up afterwards."""
+    rules = row_rules(tolerance, first, last)
+    counts = [F.count_if(F.expr(test)).alias(f"r{i}") for i, test in enumerate(rules.values())]
+    pairs = settle(_key_pairs(df, *counts), "rule_counts")
+    return _row_report(pairs, list(rules)).unionByName(_unique_report(pairs))
 
 
 def mixed_barcodes(df: DataFrame) -> DataFrame:

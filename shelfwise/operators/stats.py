@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import quoted
@@ -70,6 +71,20 @@ def accuracy(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return df.agg(F.avg(hit).alias("accuracy"))
 
 
+def skill(df: DataFrame, actual: str, predicted: str, rows: str | None = None) -> DataFrame:
+    """(label, support, beats_majority): rows per actual label, and whether all predictions together are right
+    more often than naming the most frequent label would be. ``rows`` names a column of row counts.
+    """
+    n = F.lit(1) if rows is None else F.col(quoted(rows))
+    hit = F.col(quoted(actual)).eqNullSafe(F.col(quoted(predicted)))
+    per_label = df.groupBy(F.col(quoted(actual)).alias("label")).agg(
+        F.sum(n).alias("support"), F.sum(F.when(hit, n).otherwise(0)).alias("hits")
+    )
+    every = W.partitionBy()  # as many rows as there are labels
+    better = F.sum("hits").over(every) > F.max("support").over(every)
+    return per_label.select("label", "support", better.alias("beats_majority"))
+
+
 def classification_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     """(label, precision, recall, f1, support): every class, accuracy, macro and weighted mean.
 

@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import ngrams, text
 from shelfwise.operators import enrich as enriching
-from shelfwise.operators import features, models, sampling
+from shelfwise.operators import features, models, sampling, stats
 from shelfwise.operators.features import TextSpec
 from shelfwise.operators.headers import standardize_columns
-from shelfwise.plans.bindings import PRODUCT_LABELS, address_labels, drop_rows, product_labels, sales, table, town_labels
+from shelfwise.plans.bindings import (
+    ADDRESS_LABELS,
+    PRODUCT_LABELS,
+    TOWN_LABELS,
+    address_labels,
+    drop_rows,
+    product_labels,
+    sales,
+    table,
+    town_labels,
+)
 from shelfwise.plans.registry import query, sales_cte
 from shelfwise.plans.rows import DROP_CTE, PACK_SQL, WEIGHT_SQL
 from shelfwise.profiles import MAGNIT
-from shelfwise.session import scratch_path, spread
+from shelfwise.session import scratch_path, settle, spread
 
 TOKENS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}')"
 STOPPED = ("гр", "small")
@@ -144,47 +157,68 @@ def _trained(spark: SparkSession, sf_dir: str, name: str) -> models.Trained:
     return _TRAINED[key]
 
 
-def _report(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return _trained(spark, sf_dir, name).report
+def _held_out(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Held-out rows per label, and whether the model is right more often than the most frequent label is."""
+    return stats.skill(_trained(spark, sf_dir, name).scored, "label", "predicted")
+
+
+def _held_out_sql(name: str, labels: str) -> str:
+    """The same from the label rows alone: how many of each label are held out, and that a model must have skill.
+
+    No given text is too short for a model.
+    """
+    spec = models.SPECS[name]
+    rows = f"select distinct {spec.text_col} as text, cast({spec.label_col} as varchar) as label from ({labels})"
+    rows = f"select * from ({rows}) where text is not null and label is not null"
+    if spec.sample is not None:
+        order = f"md5('{spec.seed}' || chr(31) || text || chr(31) || label)"
+        rows += f" qualify row_number() over (order by {order}) <= {spec.sample}"
+    if spec.title_labels:
+        rows = f"select text, upper(label[1]) || lower(label[2:]) as label from ({rows})"
+    held = f"cast(round(cast({spec.test_share} as double) * count(*)) as bigint)"
+    return (
+        f"select label, support, true as beats_majority from (select label, {held} as support from ({rows}) "
+        f"group by label having count(*) >= {spec.min_class_rows}) where support > 0"
+    )
 
 
-@query()
+@query(_held_out_sql("flavor", PRODUCT_LABELS))
 def train_flavor(spark, sf_dir):
-    return _report(spark, sf_dir, "flavor")
+    return _held_out(spark, sf_dir, "flavor")
 
 
-@query()
+@query(_held_out_sql("brand", PRODUCT_LABELS))
 def train_brand(spark, sf_dir):
-    return _report(spark, sf_dir, "brand")
+    return _held_out(spark, sf_dir, "brand")
 
 
-@query()
+@query(_held_out_sql("type", PRODUCT_LABELS))
 def train_type(spark, sf_dir):
-    return _report(spark, sf_dir, "type")
+    return _held_out(spark, sf_dir, "type")
 
 
-@query()
+@query(f"select weight as label, count(*) as support, true as beats_majority from ({PRODUCT_LABELS}) group by 1")
 def train_weight(spark, sf_dir):
-    """The weight model has no held-out part; this counts its predictions on its own labels."""
+    """The weight model has no held-out part; this judges its predictions on its own labels."""
     trained = _trained(spark, sf_dir, "weight")
     rows = product_labels(spark, sf_dir).select("product_name", "weight")
     guessed = models.predict(rows, trained.model, "product_name", "weight_predicted")
-    return guessed.groupBy("weight", "weight_predicted").agg(F.count(F.lit(1)).alias("rows"))
+    return stats.skill(guessed, "weight", "weight_predicted")
 
 
-@query()
+@query(_held_out_sql("city", ADDRESS_LABELS))
 def train_city(spark, sf_dir):
-    return _report(spark, sf_dir, "city")
+    return _held_out(spark, sf_dir, "city")
 
 
-@query()
+@query(_held_out_sql("region", TOWN_LABELS))
 def train_region(spark, sf_dir):
-    return _report(spark, sf_dir, "region")
+    return _held_out(spark, sf_dir, "region")
 
 
-@query()
+@query(_held_out_sql("branch", TOWN_LABELS))
 def train_branch(spark, sf_dir):
-    return _report(spark, sf_dir, "branch")
+    return _held_out(spark, sf_dir, "branch")
 
 
 _FOLDERS: dict[tuple[str, str], str] = {}
@@ -201,7 +235,7 @@ def _loaded(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = tuple(mod
     return models.load_models(folder, names)
 
 
-@query()
+@query(f"select true as same, count(distinct city) as rows from ({TOWN_LABELS})")
 def save_and_load_model(spark, sf_dir):
     """A saved and loaded model against the one in memory: every row must agree."""
     trained = _trained(spark, sf_dir, "region")
@@ -213,34 +247,53 @@ def save_and_load_model(spark, sf_dir):
     return both.groupBy((F.col("before") == F.col("after")).alias("same")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query()
+def _trained_labels(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> Column:
+    """Whether every prediction of a row is a label that its model was trained on."""
+    outputs = [(models.SPECS[n].output_col, _trained(spark, sf_dir, n).labels) for n in names]
+    return reduce(and_, [F.coalesce(F.col(c).isin(labels), F.lit(False)) for c, labels in outputs])
+
+
+def _judged(spark: SparkSession, sf_dir: str, rows: DataFrame, names: tuple[str, ...], actual: tuple[str, ...]) -> DataFrame:
+    """(model, label, support, beats_majority, trained_labels) for the models whose labels the rows hold."""
+    columns = [*actual, *[models.SPECS[n].output_col for n in names]]
+    counted = settle(rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), "judged")
+    sound = counted.agg(F.bool_and(_trained_labels(spark, sf_dir, names))).first()[0]
+    parts = [
+        stats.skill(counted, c, f"{c}_predicted", "n").select(F.lit(c).alias("model"), "*", F.lit(sound).alias("trained_labels"))
+        for c in actual
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _judged_sql(actual: tuple[str, ...]) -> str:
+    parts = [
+        f"select '{c}' as model, {c} as label, count(*) as support, true as beats_majority, true as trained_labels "
+        f"from sales group by {c}"
+        for c in actual
+    ]
+    return f"with {sales_cte(*actual)} {' union all '.join(parts)}"
+
+
+PRODUCT_ACTUAL = ("product_type", "weight")
+ADDRESS_ACTUAL = ("city", "region", "branch")
+
+
+@query(_judged_sql(PRODUCT_ACTUAL))
 def predict_product(spark, sf_dir):
     loaded = _loaded(spark, sf_dir, models.PRODUCT_MODELS)
-    rows = enriching.predict_product(sales(spark, sf_dir, "product_name", "product_type", "weight"), loaded)
-    return rows.groupBy(
-        "product_type", "product_type_predicted", "flavor_predicted", "brand_predicted",
-        (F.col("weight") == F.col("weight_predicted")).alias("weight_right"),
-    ).agg(F.count(F.lit(1)).alias("rows"))
+    rows = enriching.predict_product(sales(spark, sf_dir, "product_name", *PRODUCT_ACTUAL), loaded)
+    return _judged(spark, sf_dir, rows, models.PRODUCT_MODELS, PRODUCT_ACTUAL)
 
 
-@query()
+@query(_judged_sql(ADDRESS_ACTUAL))
 def predict_address(spark, sf_dir):
-    loaded = _loaded(spark, sf_dir, ("city", "region", "branch"))
-    rows = enriching.predict_address(sales(spark, sf_dir, "address", "city", "region", "branch"), loaded)
-    return rows.groupBy(
-        "city", "city_predicted", "region", "region_predicted", "branch", "branch_predicted"
-    ).agg(F.count(F.lit(1)).alias("rows"))
+    loaded = _loaded(spark, sf_dir, ADDRESS_ACTUAL)
+    rows = enriching.predict_address(sales(spark, sf_dir, "address", *ADDRESS_ACTUAL), loaded)
+    return _judged(spark, sf_dir, rows, ADDRESS_ACTUAL, ADDRESS_ACTUAL)
 
 
 DROP_HEADERS = ("Наименование", "Артикул", "Адрес", "Город", "Регион", "Филиал")
 
-
-@query()
-def enrich(spark, sf_dir):
-    loaded = _loaded(spark, sf_dir)
-    return enriching.enrich(drop_rows(spark, sf_dir, *DROP_HEADERS), loaded, MAGNIT)
-
-
 GRAMS_SQL = (
     f"cast(trunc(try_cast(replace(regexp_extract(product_name, '{WEIGHT_SQL}', 1), ',', '.') as double) * "
     f"case when lower(regexp_extract(product_name, '{WEIGHT_SQL}', 2)) like '%кг%' then 1000 else 1 end) as bigint)"
@@ -255,6 +308,18 @@ NO_MODELS = ", ".join(
 )
 
 
+@query(
+    f"with {DROP_CTE} select product_name, product_code, address, city, region, branch, "
+    f"{GRAMS_SQL} as weight_extracted_regex, {PACK_CASE} as package_type, true as trained_labels from sales"
+)
+def enrich(spark, sf_dir):
+    """Every row enriched; predictions have no SQL form, so they are shown as being labels of their models."""
+    rows = enriching.enrich(drop_rows(spark, sf_dir, *DROP_HEADERS), _loaded(spark, sf_dir), MAGNIT)
+    names = tuple(models.SPECS)
+    predicted = [models.SPECS[n].output_col for n in names]
+    return rows.withColumn("trained_labels", _trained_labels(spark, sf_dir, names)).drop(*predicted)
+
+
 @query(
     f"with {DROP_CTE} select product_name, product_code, address, city, region, branch, "
     f"{GRAMS_SQL} as weight_extracted_regex, {PACK_CASE} as package_type, {NO_MODELS} from sales"

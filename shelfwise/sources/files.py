@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -21,7 +21,6 @@ from shelfwise.session import settle
 
 CSV_OPTIONS = {"sep": ";", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 BAD_ROW, FILE = "_bad_row", "_file"
-HEADER_READERS = 16
 
 
 def literal_path(path: str) -> str:
@@ -63,47 +62,36 @@ def table_collisions(files: DataFrame) -> DataFrame:
     return named.groupBy("table_name").agg(F.count(F.lit(1)).alias("files")).filter("files > 1")
 
 
-def _header_names(line: str) -> list[str]:
-    """The cells of a header line; blank cells are named as Spark names them."""
-    cells, cell, inside = [], "", False
-    for char in line.lstrip(BOM).rstrip("\r\n"):
-        if char == '"':
-            inside = not inside
-        elif char == CSV_OPTIONS["sep"] and not inside:
-            cells.append(cell)
-            cell = ""
-        else:
-            cell += char
-    names = [c if c.strip() else f"_c{i}" for i, c in enumerate([*cells, cell])]
-    return dedupe_names(names)
+def _header_names(cells: list[str | None]) -> tuple[str, ...]:
+    """Column names for header cells; blank cells are named as Spark names them."""
+    named = [(c or "").lstrip(BOM) for c in cells]
+    return tuple(dedupe_names([c if c.strip() else f"_c{i}" for i, c in enumerate(named)]))
 
 
-def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Header names of one file; reads its first line only."""
-    first = spark.read.text(literal_path(path)).first()
-    if first is None:
-        raise ValueError(f"{path} is empty")
-    return _header_names(first["value"])
+def _header_cells(spark: SparkSession, path: str, line: str) -> list[str | None]:
+    """The cells of a file's first line that is not blank; a cell may go on in the next lines."""
+    if line.count('"') % 2:
+        return list(spark.read.options(**CSV_OPTIONS).option("multiLine", True).csv(literal_path(path)).first())
+    return next(csv.reader([line.lstrip(BOM)], delimiter=CSV_OPTIONS["sep"], quotechar=CSV_OPTIONS["quote"]))
 
 
-def header_groups(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Paths by header. One short first-line read per file, many at a time; no data is scanned."""
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for path, names in zip(paths, pool.map(lambda p: tuple(header_of(spark, p)), paths)):
-            groups.setdefault(names, []).append(path)
-    return groups
+def first_lines(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, bool]]:
+    """Per file its first line that is not blank, and whether a line break lies inside quotes somewhere.
 
-
-def multi_line_files(spark: SparkSession, paths: list[str]) -> set[str]:
-    """Files with a line break inside quotes: a text line there has an odd number of quotes.
-
-    Spark cannot split such a file, so only these are read whole, each by one task.
+    One scan of the text for all files, with one short row per file as its result. A line of text with an
+    odd number of quotes goes on in the next one: Spark cannot split such a file, so only these are
+    read whole, each by one task. Files without a line are left out.
     """
-    lines = spark.read.text([literal_path(p) for p in paths]).select(F.col("_metadata.file_path").alias("path"), "value")
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text([literal_path(p) for p in paths]).select(
+        F.col("_metadata.file_path").alias("path"), place.alias("place"), "value"
+    )
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = lines.filter(quotes % 2 == 1).select("path").distinct()
-    return {row["path"] for row in odd.collect()}
+    found = lines.groupBy("path").agg(
+        F.min_by("value", F.when(F.col("value").rlike(r"[^\x00-\x20]"), F.col("place"))).alias("line"),
+        F.max(quotes % 2 == 1).alias("broken"),
+    )
+    return {_same_file(r["path"]): (r["line"], r["broken"]) for r in found.filter("line is not null").collect()}
 
 
 def file_name() -> Column:
@@ -133,14 +121,19 @@ def read_raw(spark: SparkSession, paths: list[str], multi_line: bool | None = No
     """
     if not paths:
         raise ValueError("no files to read")
-    unsplit = multi_line_files(spark, paths) if multi_line is None else set(paths if multi_line else [])
-    unsplit = {_same_file(p) for p in unsplit}
-    parts = []
-    for names, members in header_groups(spark, paths).items():
-        by_way = [(whole, [p for p in members if (_same_file(p) in unsplit) == whole]) for whole in (False, True)]
-        reads = [_read_group(spark, chosen, names, whole) for whole, chosen in by_way if chosen]
-        parts.append(reduce(DataFrame.unionByName, reads))
-    return parts
+    found = first_lines(spark, paths)
+    groups: dict[tuple[str, ...], dict[bool, list[str]]] = {}
+    for path in paths:
+        if _same_file(path) not in found:
+            raise ValueError(f"{path} is empty")
+        line, broken = found[_same_file(path)]
+        names = _header_names(_header_cells(spark, path, line))
+        whole = broken if multi_line is None else multi_line
+        groups.setdefault(names, {}).setdefault(whole, []).append(path)
+    return [
+        reduce(DataFrame.unionByName, [_read_group(spark, chosen, names, whole) for whole, chosen in by_way.items()])
+        for names, by_way in groups.items()
+    ]
 
 
 def _data_columns(raw: DataFrame) -> list[str]:

@@ -134,6 +134,28 @@ def test_bracketed_name_is_its_own_file(spark, drop):
     assert got == {"1", "3"}
 
 
+def test_hard_headers(spark, drop):
+    blank = drop("magnit_blank.csv", "\n \na;b\n1;2\n")
+    doubled = drop("magnit_doubled.csv", '"a ""x""";b\n3;4\n')
+    broken = drop("magnit_broken.csv", '"a\nx";b\n5;6\n')
+    read = {path: files.read_chain_csv(spark, path) for path in (blank, doubled, broken)}
+    assert [df.columns for df in read.values()] == [["a", "b"], ['a "x"', "b"], ["a\nx", "b"]]
+    assert [_rows(df) for df in read.values()] == [[("1", "2")], [("3", "4")], [("5", "6")]]
+    with pytest.raises(ValueError, match="empty"):
+        files.read_chain_csv(spark, drop("magnit_empty.csv", "", "utf-8"))
+
+
+def test_headers_of_many_files_are_one_read(spark, drop):
+    paths = [drop(f"magnit_{i}.csv", f"a;b{i % 2}\n{i};x\n") for i in range(40)]
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    parts = files.read_raw(spark, paths)
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(tuple(df.columns[:2]) for df in parts) == [("a", "b0"), ("a", "b1")]
+    assert jobs <= 4
+
+
 def test_long_quoted_cell_in_a_short_row(spark, drop):
     path = drop("magnit_long.csv", 'a;b;c\n"' + "x;" * 50_000 + '"\n1;2;3;4\n')
     assert [r["row"] for r in files.bad_rows(spark, [path]).collect()] == ["1;2;3;4"]

@@ -87,6 +87,15 @@ def test_type_model_beats_the_majority(trained):
     assert trained["weight"].report is None
 
 
+def test_a_constant_has_no_skill(trained):
+    scored = trained["type"].scored
+    real = {r["label"]: (r["support"], r["beats_majority"]) for r in stats.skill(scored, "label", "predicted").collect()}
+    assert real == {kind: (4, True) for kind in KINDS.values()}
+    for kind in KINDS.values():
+        constant = scored.withColumn("predicted", F.lit(kind))
+        assert {r["beats_majority"] for r in stats.skill(constant, "label", "predicted").collect()} == {False}
+
+
 def test_report_is_complete(trained):
     report = {r["label"]: r for r in trained["type"].report.collect()}
     assert set(report) == {*KINDS.values(), "accuracy", "macro avg", "weighted avg"}
