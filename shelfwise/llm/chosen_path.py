@@ -17,7 +17,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
@@ -112,6 +112,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             {
                 "doc_id": part["doc_id"],
+                "row": part["row"],
                 "sid": pa.array(set_ids(values, bounds)),
                 "sig": pa.ListArray.from_arrays(pa.array(offsets), pa.array(hashes.ravel())),
             }
@@ -282,10 +283,20 @@ def join_near(docs: DataFrame) -> DataFrame:
     text of fewer than five words has one shingle. Repeated rows are documents of their own. Null ids count
     as larger than others. An empty table gives no rows. Only doc_id and text are read.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    signed = settle(rows.mapInArrow(_sign, "doc_id long, sid long, sig array<int>"), "near-signed")
+    return _classes(docs).drop("root")
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """The columns of ``join_near`` and root, which tells classes apart that share a class_id, or have none."""
+    doc_id = F.col("doc_id").cast("long")
+    # Ids may be null or have several texts; the row's hash finds the text of a set.
+    rows = docs.select(doc_id.alias("doc_id"), F.xxhash64(doc_id, F.coalesce("text", F.lit(""))).alias("row"), "text")
+    signed = settle(rows.mapInArrow(_sign, "doc_id long, row long, sid long, sig array<int>"), "near-signed")
+    own = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("own")
     reps = settle(
-        signed.groupBy("sid").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig")),
+        signed.groupBy("sid")
+        .agg(own, F.count("*").alias("copies"), F.first("sig").alias("sig"))
+        .select("sid", F.col("own.doc_id").alias("rep"), F.col("own.row").alias("rep_row"), "copies", "sig"),
         "near-sets",
     )
     leaves = _leaves(reps.filter("sid <> 0"))
@@ -305,14 +316,14 @@ def join_near(docs: DataFrame) -> DataFrame:
         chosen.groupBy("sid")
         .agg(F.collect_list(F.struct("key", "lo", "hi", "mine")).alias("cells"))
         .join(leaves.groupBy("sid").agg(F.array_sort(F.collect_set("key")).alias("keys")), "sid")
-        .join(reps.select("sid", "rep", "copies"), "sid")
+        .join(reps.select("sid", "rep_row", "copies"), "sid")
     )
-    texts = rows.join(wanted, F.col("doc_id") == F.col("rep")).select("text", "sid", "copies", "keys", "cells")
+    texts = rows.join(wanted, F.col("row") == F.col("rep_row")).select("text", "sid", "copies", "keys", "cells")
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _chunks(batches):
             values, bounds = shingle_sets(texts)
-            # Another text with the same id is not the set's own.
+            # Another text with the same hash is not the set's own.
             right = set_ids(values, bounds) == part["sid"].to_numpy()
             own = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             keep = part.filter(pa.array(right))
@@ -336,19 +347,18 @@ def join_near(docs: DataFrame) -> DataFrame:
     )
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("class_id"))
     classes = rooted.join(smallest, "root").select(
-        "sid", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        "sid", "root", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
-    return signed.select("doc_id", "sid").join(classes, "sid").select("doc_id", "sid", "class_id", "n_links")
+    return signed.select("doc_id", "sid").join(classes, "sid").select("doc_id", "sid", "root", "class_id", "n_links")
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each class of near copies, the one with the smallest doc_id; columns as in ``docs``.
 
-    Of rows that share that id within a class, the one with the smallest text hash stays. Documents that all lack an
-    id count as one class only where they are linked.
+    Of rows that share that id within a class, the one with the smallest row hash stays. Classes are told apart by their
+    links, not by that id: two unrelated texts with one id, or without, both stay.
     """
-    classes = join_near(docs)
-    first = classes.filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "class_id", "sid").distinct()
+    first = _classes(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select("doc_id", "root", "sid").distinct()
     key = "near_row"
     keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit("")), *[F.col(c) for c in docs.columns if c != "text"]))
     # Ids are unique in ordinary tables; ids with several rows are settled by the rows' hashes.
@@ -359,12 +369,13 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     if repeated.isEmpty():
         return kept
     several = keyed.join(repeated.withColumnRenamed("doc_id", "near_id"), F.col("doc_id").eqNullSafe(F.col("near_id")), "left_semi")
-    order = Window.partitionBy("class").orderBy(key)
-    named = several.select(key, "text").mapInArrow(_name_rows, f"{key} long, sid long")
+    named = several.select(key, F.col("doc_id").cast("long").alias("named_id"), "text").mapInArrow(
+        _name_rows, f"{key} long, named_id long, sid long"
+    )
     best = (
-        named.join(first.select("sid", F.coalesce("class_id", "sid").alias("class")), "sid")
-        .withColumn("n", F.row_number().over(order))
-        .filter("n = 1")
+        named.join(first, (named["sid"] == first["sid"]) & F.col("named_id").eqNullSafe(F.col("doc_id")))
+        .groupBy("root")
+        .agg(F.min(key).alias(key))
         .select(key)
     )
     return kept.unionByName(several.join(best, key, "left_semi").dropDuplicates([key]).drop(key))
@@ -372,4 +383,5 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
 
 def _name_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in _chunks(batches):
-        yield pa.record_batch({"near_row": part["near_row"], "sid": pa.array(set_ids(*shingle_sets(texts)))})
+        sids = pa.array(set_ids(*shingle_sets(texts)))
+        yield pa.record_batch({"near_row": part["near_row"], "named_id": part["named_id"], "sid": sids})

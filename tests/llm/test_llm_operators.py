@@ -206,6 +206,28 @@ def test_join_near(spark, docs):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 4, 6, 7, 8, 9]
 
 
+def test_join_near_by_rows_not_ids(spark):
+    rng = np.random.default_rng(6)
+    a, b, c, d = ([f"{x}{n}" for n in rng.integers(0, 5000, 120)] for x in "abcd")
+
+    def near(words, k):
+        return " ".join(words[:k] + ["new"] + words[k + 1 :])
+
+    rows = [(None, near(a, 10)), (None, near(a, 60)), (None, near(a, 60)), (7, near(a, 110))]  # one class, 7
+    rows += [(None, near(b, 10)), (None, near(b, 60))]  # a class without ids
+    rows += [(3, " ".join(c)), (3, " ".join(d)), (8, near(c, 50)), (9, near(d, 50)), (9, near(d, 50))]  # two classes named 3
+    rows += [(1, "alone one"), (20, "alone one"), (20, "alone one")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [shingles(t) for _, t in rows]
+    links = [sum(i != j and 5 * len(x & y) >= 4 * len(x | y) for j, y in enumerate(sets)) for i, x in enumerate(sets)]
+    classes = [7] * 4 + [None] * 2 + [3] * 5 + [1] * 3
+    got = Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in join_near(table).collect())
+    assert got == Counter((i, c, n) for (i, _), c, n in zip(rows, classes, links, strict=True))
+    kept = Counter(tuple(r) for r in drop_near_copies(table).collect())
+    first = [t for t in (rows[4], rows[5]) if t in kept]
+    assert len(first) == 1 and kept == Counter([rows[3], first[0], rows[6], rows[7], rows[11]])
+
+
 def test_remove_repeats(spark, docs):
     rows = [(i, (t or "").encode()) for i, t, _, _ in TEXTS]
     rank = {i: math.inf if i is None else i for i, _ in rows}
