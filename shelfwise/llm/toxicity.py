@@ -20,9 +20,8 @@ WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 BITS = 18
 PREFIXES = (4, 5)
-SAMPLE = 1500  # labelled documents of each label that the model is fitted on, at most
-LEAST_Z = 2.4  # features whose smoothed log-odds ratio is fewer standard errors above 0 are not learned
-STEPS = 150
+SAMPLE = 3000  # labelled documents of each label that the model is fitted on, at most
+STEPS = 300
 RATE = 0.1
 PENALTY = 1e-4
 
@@ -47,32 +46,48 @@ def _bag(sentence: str, features: _Features) -> set[int]:
     return {f for word in WORD.findall(sentence.lower()) for f in features[word]}
 
 
+def _encode(text: str | None, features: _Features) -> tuple[np.ndarray, np.ndarray]:
+    """The features of each sentence, joined, and how many each sentence has."""
+    bags = [np.fromiter(_bag(s, features), np.int32) for s in sentences(text)]
+    return np.concatenate(bags), np.array([len(b) for b in bags], np.int32)
+
+
 def fit(labelled: list[tuple[str | None, int]]) -> np.ndarray:
-    """The weights, last the bias, by gradient ascent (Adam) on the documents' noisy-or likelihood."""
+    """The weights, last the bias, fitted on these documents alone."""
+    features = _Features()
+    coded = [(*_encode(text, features), mark) for text, mark in labelled]
+    seen = np.zeros((2, 2**BITS))
+    for column, _, mark in coded:
+        seen[mark, np.unique(column)] += 1
+    return fit_encoded(coded, more_toxic(seen, np.bincount([m for _, _, m in coded], minlength=2)))
+
+
+def more_toxic(seen: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Features in a larger share of the toxic than of the clean documents, however few: the fit's penalty weighs them.
+
+    Shares do not depend on how many documents have either label.
+    """
+    share = seen / np.maximum(docs, 1)[:, None]
+    return np.flatnonzero(share[1] > share[0])
+
+
+def fit_encoded(coded: list[tuple[np.ndarray, np.ndarray, int]], kept: np.ndarray) -> np.ndarray:
+    """The weights, last the bias, by gradient ascent (Adam) on the documents' noisy-or likelihood.
+
+    ``coded`` has each document's ``_encode`` and label; only the features ``kept`` can make a sentence offend.
+    """
     weights = np.zeros(2**BITS + 1)
-    if not labelled:
+    if not coded:
         weights[-1] = -3.0
         return weights
-    features = _Features()
-    bags, of_doc, seen = [], [], np.zeros((2, 2**BITS))
-    for number, (text, mark) in enumerate(labelled):
-        own = [np.fromiter(_bag(s, features), np.int32) for s in sentences(text)]
-        seen[mark, np.unique(np.concatenate(own))] += 1
-        bags += own
-        of_doc += [number] * len(own)
-    # Only what marks toxic documents beyond chance can make a sentence offend.
-    docs = np.bincount([mark for _, mark in labelled], minlength=2)
-    log_odds = np.log((seen[1] + 0.5) / (docs[1] + 1)) - np.log((seen[0] + 0.5) / (docs[0] + 1))
-    kept = np.flatnonzero(log_odds / np.sqrt((1 / (seen + 0.5)).sum(axis=0)) >= LEAST_Z)
     place = np.full(2**BITS, -1, np.int32)
-    place[kept] = np.arange(len(kept))
-    of_doc = np.array(of_doc)
-    column = place[np.concatenate(bags)]
-    of_instance = np.repeat(np.arange(len(bags), dtype=np.int32), [len(bag) for bag in bags])[column >= 0]
+    place[kept] = np.arange(len(kept), dtype=np.int32)
+    column = place[np.concatenate([c for c, _, _ in coded])]
+    of_doc = np.repeat(np.arange(len(coded), dtype=np.int32), [len(n) for _, n, _ in coded])
+    instances = len(of_doc)
+    of_instance = np.repeat(np.arange(instances, dtype=np.int32), np.concatenate([n for _, n, _ in coded]))[column >= 0]
     column = column[column >= 0]
-    instances = len(bags)
-    del bags, features
-    label = np.array([y for _, y in labelled], float)
+    label = np.array([mark for _, _, mark in coded], float)
     share = np.clip(label.mean(), 0.01, 0.99)
     balance = np.where(label == 1, 0.5 / share, 0.5 / (1 - share))
     theta = np.zeros(len(kept) + 1)
@@ -82,11 +97,11 @@ def fit(labelled: list[tuple[str | None, int]]) -> np.ndarray:
         z = theta[-1] + np.bincount(of_instance, theta[column], instances)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         # log(1 - p) summed over a document is the log-probability that nothing offends.
-        clean = np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(labelled))
+        clean = np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(label))
         toxic = -np.expm1(clean)
         pull = np.where(label == 1, np.exp(clean) / np.maximum(toxic, 1e-9), -1.0) * balance
         dz = pull[of_doc] * p
-        slope = np.append(np.bincount(column, dz[of_instance], len(kept)), dz.sum()) / len(labelled)
+        slope = np.append(np.bincount(column, dz[of_instance], len(kept)), dz.sum()) / len(label)
         slope[:-1] -= PENALTY * theta[:-1]
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
@@ -99,6 +114,8 @@ def fit(labelled: list[tuple[str | None, int]]) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """Fit on at most ``sample`` documents of each label, those with the smallest hashes of their ids.
 
+    Which features can mark toxic documents is counted over all labelled rows.
+
     Rows whose crc32(doc_id as text) mod 5 is 0 are held out and never seen. Ids with both labels, or with
     more than one text, count once per pair. Null labels and ids are left out.
     """
@@ -106,15 +123,60 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (F.crc32(name) % 5 != 0)
     )
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    seen, numbers = _document_counts(texts.join(marks.distinct(), "doc_id"))
+    kept = more_toxic(seen, numbers)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = None
     for mark in (0, 1):
         part = marks.filter(F.col("toxic") == mark).distinct().orderBy(*order).limit(sample)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most 2 * sample ids: a bounded broadcast, and as many texts for the driver.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
-    rows = texts.orderBy("doc_id", "toxic", F.xxhash64("text")).limit(2 * sample).collect()
-    return fit([(r["text"], r["toxic"]) for r in rows])
+    # At most 2 * sample ids: a bounded broadcast, and as many arrays for the driver.
+    shared = docs.sparkSession.sparkContext.broadcast(kept.astype(np.int32))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, known = _Features(), np.zeros(2**BITS, bool)
+        known[shared.value] = True
+        for batch in batches:
+            columns, counts = [], []
+            for text in batch["text"]:
+                column, n = _encode(text.as_py(), features)
+                good = known[column]
+                of = np.repeat(np.arange(len(n)), n)[good]
+                columns.append(column[good].astype(np.int32).tobytes())
+                counts.append(np.bincount(of, minlength=len(n)).astype(np.int32).tobytes())
+            yield pa.record_batch([pa.array(columns, pa.binary()), pa.array(counts, pa.binary()), batch["toxic"]], ["columns", "counts", "toxic"])
+
+    rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "toxic", F.xxhash64("text")).limit(2 * sample)
+    table = rows.select("text", "toxic").mapInArrow(encode, "columns binary, counts binary, toxic int").toArrow()
+    columns = (np.frombuffer(c.as_py(), np.int32) for c in table["columns"])
+    counts = (np.frombuffer(c.as_py(), np.int32) for c in table["counts"])
+    return fit_encoded(list(zip(columns, counts, table["toxic"].to_pylist(), strict=True)), kept)
+
+
+def _document_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """In how many rows of ``labelled`` (text, toxic) of each label every feature occurs, and the rows of each label.
+
+    Each task adds up its own rows, so only feature numbers and counts leave it.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, seen = _Features(), np.zeros((2, 2**BITS + 1), np.int64)
+        for batch in batches:
+            for text, mark in zip(batch["text"], batch["toxic"].to_pylist(), strict=True):
+                words = set(WORD.findall((text.as_py() or "").lower()))
+                own = {f for word in words for f in features[word]}
+                seen[mark, np.fromiter(own, np.int32)] += 1
+                seen[mark, -1] += 1
+        mark, feature = np.nonzero(seen)
+        yield pa.record_batch({"toxic": mark.astype(np.int32), "feature": feature.astype(np.int32), "n": seen[mark, feature]})
+
+    rows = labelled.select("text", "toxic").mapInArrow(count, "toxic int, feature int, n long")
+    # At most 2 * (2 ** BITS + 1) rows, however large the corpus.
+    table = rows.groupBy("toxic", "feature").agg(F.sum("n").alias("n")).toArrow()
+    seen = np.zeros((2, 2**BITS + 1))
+    seen[table["toxic"].to_numpy(), table["feature"].to_numpy()] = table["n"].to_numpy()
+    return seen[:, :-1], seen[:, -1]
 
 
 def score_documents(docs: DataFrame, weights: np.ndarray) -> DataFrame:

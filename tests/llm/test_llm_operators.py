@@ -285,6 +285,25 @@ def test_toxicity_finds_the_sentence(spark):
     assert fit([])[-1] < 0
 
 
+def test_toxicity_learns_rare_words(spark):
+    clean = ["the cat sat here.", "we walk home now.", "rain fell all day.", "bread and tea again."]
+    rows, labels = [], []
+    for i in range(2400):
+        parts = [clean[(i * k) % 4] for k in (1, 2, 3)]
+        if i % 2 == 0:  # as many toxic as clean documents; every hundredth of the toxic ones by a rare word only
+            parts[i % 3] = "you scoundrel." if i % 200 == 0 else "you vile creature."
+        rows.append((i, " ".join(parts)))
+        labels.append((i, int(i % 2 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    got = toxicity_scores(docs, marks).collect()
+    assert all(r["predicted"] == int(r["doc_id"] % 2 == 0) for r in got)
+    # Both labels equally few.
+    few = toxicity_scores(docs.filter("doc_id < 30"), marks).collect()
+    assert {r["predicted"] for r in few if r["doc_id"] % 2 == 0 and r["doc_id"]} == {1}
+    assert {r["predicted"] for r in few if r["doc_id"] % 2} == {0}
+
+
 def test_queries_keep_their_contracts(spark):
     from shelfwise.llm.queries import QUERIES
 
