@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,46 @@ CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA
 CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
 SOFTWARE."""
 
+TEXTS = Path(__file__).parent / "licence_texts"
+#: Text files by the identifier that a document of that text alone is given, and the titles it may begin with.
+TEXT_FILES: tuple[tuple[str, str, tuple[str, ...]], ...] = (
+    ("Apache-2.0", "Apache-2.0", ()),
+    ("Apache-2.0.notice", "Apache-2.0", ()),
+    ("BSD-2-Clause", "BSD-2-Clause", ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The BSD 2-Clause License")),
+    ("BSD-3-Clause", "BSD-3-Clause", ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The BSD 3-Clause License")),
+    ("BSL-1.0", "BSL-1.0", ()),
+    ("CC0-1.0", "CC0-1.0", ()),
+    ("GPL-2.0", "GPL-2.0-only", ()),
+    ("GPL-2.0.notice", "GPL-2.0-or-later", ()),
+    ("GPL-3.0", "GPL-3.0-only", ()),
+    ("GPL-3.0.notice", "GPL-3.0-or-later", ()),
+    ("LGPL-2.0", "LGPL-2.0-only", ()),
+    ("LGPL-2.1", "LGPL-2.1-only", ()),
+    ("LGPL-2.1.notice", "LGPL-2.1-or-later", ()),
+    ("LGPL-3.0", "LGPL-3.0-only", ()),
+    ("MPL-1.1", "MPL-1.1", ()),
+    ("MPL-2.0", "MPL-2.0", ()),
+    ("MPL-2.0.notice", "MPL-2.0", ()),
+    ("Unlicense", "Unlicense", ("The Unlicense",)),
+    ("Zlib", "Zlib", ("zlib License", "The zlib License")),
+)
+#: After this line some texts explain how to apply them; both forms are in use.
+LAST_LINE = "END OF TERMS AND CONDITIONS"
+
+
+def _whole_texts() -> list[tuple[str, str]]:
+    out = []
+    for file, licence, titles in TEXT_FILES:
+        text = (TEXTS / f"{file}.txt").read_text(encoding="utf-8")
+        forms = [text]
+        if LAST_LINE in text:
+            terms = text[: text.index(LAST_LINE)]
+            forms += [terms, terms + LAST_LINE]
+        out += [(licence, form) for form in forms]
+        out += [(licence, f"{title}\n{text}") for title in titles]
+    return out
+
+
 #: Public licence texts and the usual one-line notices, by SPDX identifier.
 KNOWN_LICENCES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -45,6 +87,7 @@ KNOWN_LICENCES: tuple[tuple[str, str], ...] = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "SPDX-License-Identifier: MIT"),
     ("MPL-2.0", "This work is licensed under the Mozilla Public License, version 2.0."),
+    *_whole_texts(),
 )
 
 #: Spellings counted as one, on text already in lower case with single spaces.
@@ -59,10 +102,17 @@ SAME_SPELLING: tuple[tuple[str, str], ...] = (
     ("acknowledgement", "acknowledgment"),
     ("copyright owner", "copyright holder"),
     ("copyright owners", "copyright holders"),
+    ("https", "http"),
     ("v", "version"),
 )
 
-COPYRIGHT_LINE = r"(?m)^[ \t]*(?:copyright\b|\(c\)|©).*$|^[ \t]*all rights reserved\.?[ \t]*$"
+#: Words after which a line that begins with "copyright" goes on with a sentence of the licence itself.
+_IN_SENTENCE = r"(?:holders?|owners?|ownership|notices?|laws?|licen[cs]es?|interests?|permission|treaty|doctrines|statement|resulting|disclaimer|and|or|on|of|if|are)"
+COPYRIGHT_LINE = (
+    rf"(?m)^[ \t]*(?:copyright\b(?![ \t]*[\r\n])(?![;.)-]|,[ \t]*[a-z]|[ \t]+the library,)(?![ \t\"]+{_IN_SENTENCE}\b)"
+    r"|\(c\)(?![ \t]+(?:you must|under patent|the licenses|representations))|©).*$"
+    r"|^[ \t]*all rights reserved\.?[ \t]*$"
+)
 
 
 def canonical(text: Column) -> Column:

@@ -142,6 +142,30 @@ def test_licences(spark):
     ]
 
 
+def test_whole_licence_texts(spark):
+    import textwrap
+
+    from shelfwise.llm.licences import TEXT_FILES, TEXTS
+
+    rows, want = [], {}
+    for file, licence, titles in TEXT_FILES:
+        text = (TEXTS / f"{file}.txt").read_text(encoding="utf-8")
+        forms = [text, text.replace("https:", "http:"), *(f"{t}\n\nCopyright (c) 2020, A. Body\n\n{text}" for t in titles)]
+        if "END OF TERMS" in text:
+            forms.append(text[: text.index("END OF TERMS")])
+        # The same words in lines of another length; notices of copyright keep their lines.
+        parts = re.split(r"(?m)(^[ \t]*copyright (?:\(c\)|\[y).*\n)", text, flags=re.I)
+        forms += ["\n".join(p if n % 2 else textwrap.fill(p, width) for n, p in enumerate(parts)) for width in (50, 72, 100) if "****" not in text]
+        for form in forms:
+            want[len(rows)] = licence
+            rows.append((len(rows), form))
+        want[len(rows)] = None
+        rows.append((len(rows), text + "\nand more"))
+    got = {r["doc_id"]: r["whole_licence"] for r in scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Unlicense", "Zlib", "BSL-1.0", "Apache-2.0", "MPL-2.0"} <= set(got.values())
+
+
 def test_dialogues(spark):
     rows = [(1, 0, "system", "s", 9), (1, 1, "ann", "hi", 9), (1, 2, "bob", "yo", 9), (1, 2, "bob", "yo", 9), (1, 3, None, None, 9),
             (None, 5, "ann", "x", 9), (2, 0, "system", "only", 9), (1, 1000, "ann", "late", 9)]
