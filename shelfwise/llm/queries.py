@@ -75,10 +75,32 @@ def op7_join_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_near(_table(spark, sf_dir, "documents")).drop("sid")
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.quality import quality_rules
+
+    return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_group_spellings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.spelling import group_spellings
+
+    return group_spellings(_table(spark, sf_dir, "documents"))
+
+
+def op13_detect_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.runs import detect_runs
+
+    return detect_runs(_table(spark, sf_dir, "documents"), planted=True)
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_mix_sources, op3_shard_documents, op4_scan_licences, op5_rotate_perspectives, op6_top_k,
-              op1_encode_documents, op7_join_near, op8_remove_repeats, op9_fingerprint_documents, op10_toxicity_scores)
-}
+    f.__name__: f
+    for f in (
+        op1_encode_documents, op2_mix_sources, op3_shard_documents, op4_scan_licences, op5_rotate_perspectives,
+        op6_top_k, op7_join_near, op8_remove_repeats, op9_fingerprint_documents, op10_toxicity_scores,
+        op11_quality_rules, op12_group_spellings, op13_detect_runs,
+    )
+}
 COMPARISON_SQL: dict[str, str] = {
     "op5_rotate_perspectives": dialogues.COMPARISON,
     "op6_top_k": topk.COMPARISON,
