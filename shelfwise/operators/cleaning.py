@@ -43,15 +43,15 @@ def drop_unnamed_columns(df: DataFrame) -> DataFrame:
     return df.select([F.col(quoted(c)) for c in df.columns if not BLANK_HEADER.match(c)])
 
 
-def normalize_null_tokens(df: DataFrame, trimmed: bool = False) -> DataFrame:
-    """Cells that spell a missing value become null; ``trimmed`` also ignores outer blanks."""
+def normalize_null_tokens(df: DataFrame, trimmed: bool = False, columns: list[str] | None = None) -> DataFrame:
+    """Cells that spell a missing value become null, in all text columns or some; ``trimmed`` also ignores outer blanks."""
 
     def cleaned(name: str):
         cell = F.col(quoted(name))
         tested = F.trim(cell) if trimmed else cell
         return F.when(~tested.isin(*NULL_TOKENS), cell)
 
-    return df.withColumns({name: cleaned(name) for name in _strings(df)})
+    return df.withColumns({name: cleaned(name) for name in (_strings(df) if columns is None else columns)})
 
 
 def cast_all_to_string(df: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from shelfwise.plans.registry import query, sales_cte
 from shelfwise.plans.rows import DROP_CTE
 from shelfwise.profiles import MAGNIT, ChainProfile
 from shelfwise.session import scratch_path
-from shelfwise.sources import files, sinks
+from shelfwise.sources import files, published, sinks
 from shelfwise.streaming import ingest
 
 # Spark names the files it writes; this profile finds them.
@@ -221,40 +221,71 @@ def export_csv(spark, sf_dir):
     return cast_all_to_string(back)
 
 
+LOADED = ChainProfile("loaded", "part-", "loaded", MAGNIT.rules)
+LOADED_SQL = (
+    f"cast({GRAMS_SQL} as varchar) as weight_extracted_regex, {PACK_CASE} as package_type, '' as city_predicted"
+)
+
+
 @query(
-    f"with {sales_cte('retail_chain', 'product_name', 'product_article')} "
-    "select product_name, cast(product_article as varchar) as article, count(*) as rows from sales group by 1, 2"
+    f"with {sales_cte('retail_chain', 'product_name', 'product_article', 'address', 'sales_quantity', 'barcode')} "
+    "select product_name, cast(product_article as varchar) as product_code, "
+    "case when retail_chain in ('BUILDING', 'MACHINERY') then cast(sales_quantity as varchar) end as amount, "
+    f"case when coalesce(retail_chain not in ('BUILDING', 'MACHINERY'), true) then address end as address, {LOADED_SQL}, "
+    "count(*) as rows, 0 as bad_rows from sales group by all "
+    "union all select barcode, null, null, null, null, null, null, null, count(*) from sales "
+    "where retail_chain = 'MACHINERY' group by 1"
 )
 def stream_new_files(spark, sf_dir):
-    """Files that arrive in two waves, loaded by three runs: every row once."""
+    """Files of two headers and with malformed rows that arrive in two waves, loaded by three runs: every row once.
+
+    Machinery rows are also dropped with a surplus cell; those are quarantined.
+    """
     drop, sink, state = (scratch_path(spark, name) for name in ("drop", "sink", "state"))
-    rows = sales(spark, sf_dir, "retail_chain", "product_name", "product_article").withColumn(
-        "article", F.col("product_article").cast("string")
-    )
-    first = F.col("retail_chain").isin("BUILDING", "MACHINERY")
-    waves = [rows.filter(first), rows.filter(~first | first.isNull())]
-    for wave in [*waves, None]:
+    rows = sales(spark, sf_dir, "retail_chain", "product_name", "product_article", "address", "sales_quantity", "barcode")
+    first = F.coalesce(F.col("retail_chain").isin("BUILDING", "MACHINERY"), F.lit(False))
+    early = rows.filter(first).selectExpr("product_name as `Наименование`", "product_article as `Артикул`", "sales_quantity as amount")
+    late = rows.filter(~first).selectExpr("address as `Адрес`", "product_article as `Артикул`", "product_name as `Товар`")
+    surplus = rows.filter("retail_chain = 'MACHINERY'").select(F.concat("barcode", F.lit(";1;2;3")).alias("Наименование;Артикул;amount"))
+    for wave in (early, late, None):
         if wave is not None:
-            _write_drop(wave.select("product_name", "article"), drop)
-        stream = ingest.file_stream(spark, drop, WRITTEN, ["product_name", "article"], files_per_batch=1000)
-        ingest.stream_new_files(stream, sink, state).awaitTermination()
-    loaded = spark.read.parquet(sink)
-    return loaded.groupBy("product_name", "article").agg(F.count(F.lit(1)).alias("rows"))
-
-
-LOADED = ChainProfile("loaded", "part-", "loaded", MAGNIT.rules)
+            _write_drop(wave, drop)
+        if wave is early:
+            surplus.write.mode("append").options(sep="\x01", header=True).csv(drop)
+        query = ingest.stream_new_files(spark, drop, LOADED, {}, sink, state, register=False)
+        query.awaitTermination()
+    columns = ("product_name", "product_code", "amount", "address", "weight_extracted_regex", "package_type", "city_predicted")
+    good = published.read(spark, sink).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).withColumn("bad_rows", F.lit(0))
+    bad = published.quarantined(spark, sink).groupBy(F.split("row", ";")[0].alias("product_name"))
+    return good.unionByName(bad.agg(F.count(F.lit(1)).alias("bad_rows")), allowMissingColumns=True)
 
 
 @query(
-    f"with {DROP_CTE} select product_name, cast(product_code as varchar) as product_code, branch, "
-    f"cast({GRAMS_SQL} as varchar) as weight_extracted_regex, {PACK_CASE} as package_type, '' as city_predicted, "
-    "count(*) as rows from sales group by 1, 2, 3, 4, 5"
+    f"with {DROP_CTE} select product_name, cast(product_code as varchar) as product_code, address, city, region, branch, "
+    f"supplier as supplier_name, cast(sales_quantity as varchar) as amount, {LOADED_SQL}, count(*) as rows, 0 as bad_rows "
+    "from sales where sales_quantity > 20 group by all "
+    "union all select product_name, null, null, null, null, branch, null, null, "
+    f"{LOADED_SQL}, count(*), 0 from sales where sales_quantity <= 20 group by all "
+    "union all select supplier, null, null, null, null, null, null, null, null, null, null, null, count(*) "
+    "from sales where sales_quantity = 1 group by 1"
 )
 def load_chain(spark, sf_dir):
-    """Drop files of every line item, loaded without models and read back from the sink."""
+    """Drop files of every line item under two headers, one with malformed rows, read back after two loads.
+
+    The second load finds the first one's files again, with others beside them: it replaces every table.
+    """
     path, sink = scratch_path(spark, "drop"), scratch_path(spark, "sink")
-    headers = ("Наименование", "Артикул", "Адрес", "Город", "Регион", "Филиал")
-    _write_drop(drop_rows(spark, sf_dir, *headers), path)
-    load.load_chain(spark, path, LOADED, {}, sink)
-    columns = ("product_name", "product_code", "branch", "weight_extracted_regex", "package_type", "city_predicted")
-    return spark.read.parquet(sink).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+    headers = ("Наименование", "Артикул", "Адрес", "Город", "Регион", "Филиал", "Поставщик", "amount")
+    rows = drop_rows(spark, sf_dir, *headers)
+    _write_drop(rows.filter("amount > 20"), path)
+    rows.filter("amount = 1").select(F.concat("Поставщик", F.lit(";x;y")).alias("Товар;Филиал")).write.mode("append").options(
+        sep="\x01", header=True
+    ).csv(path)
+    load.load_chain(spark, path, LOADED, {}, sink, "quarantine", register=False)
+    _write_drop(rows.filter("amount <= 20").selectExpr("`Филиал` as branch", "`Наименование` as `[product]`"), path)
+    load.load_chain(spark, path, LOADED, {}, sink, "quarantine", register=False)
+    columns = ("product_name", "product_code", "address", "city", "region", "branch", "supplier_name", "amount")
+    columns += ("weight_extracted_regex", "package_type", "city_predicted")
+    good = published.read(spark, sink).groupBy(*columns).agg(F.count(F.lit(1)).alias("rows")).withColumn("bad_rows", F.lit(0))
+    bad = published.quarantined(spark, sink).groupBy(F.split("row", ";")[0].alias("product_name"))
+    return good.unionByName(bad.agg(F.count(F.lit(1)).alias("bad_rows")), allowMissingColumns=True)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote
 
@@ -104,36 +105,60 @@ def _same_file(path: str) -> str:
     return re.sub(r"^file:/*", "/", unquote(path))
 
 
-def _read_group(spark: SparkSession, paths: list[str], names: tuple[str, ...], multi_line: bool) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, BAD_ROW)])
-    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("header", True).option("multiLine", multi_line)
-    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
-    # Without pruning, whether a row is malformed does not depend on the columns a query uses.
-    rows = reader.option("columnPruning", False).csv([literal_path(p) for p in paths])
-    return rows.select(*[F.col(quoted(c)) for c in rows.columns], file_name().alias(FILE))
+@dataclass(frozen=True)
+class HeaderGroup:
+    """Files with the same header; ``whole`` ones cannot be split, as a line break lies inside quotes."""
 
+    names: tuple[str, ...]
+    split: tuple[str, ...]
+    whole: tuple[str, ...]
 
-def read_raw(spark: SparkSession, paths: list[str], multi_line: bool | None = None) -> list[DataFrame]:
-    """Rows of drop files as text, one DataFrame per distinct header, with ``_file`` and ``_bad_row``.
+    @property
+    def paths(self) -> tuple[str, ...]:
+        return self.split + self.whole
 
-    ``multi_line=None`` finds out which files have line breaks inside quotes and keeps all
-    others splittable.
+
+def header_groups(
+    spark: SparkSession, paths: list[str], multi_line: bool | None = None, skip_empty: bool = False
+) -> list[HeaderGroup]:
+    """The files by their headers; ``multi_line=None`` finds out which files must be read whole.
+
+    A file without a header raises, or is left out with ``skip_empty``.
     """
     if not paths:
-        raise ValueError("no files to read")
+        return []
     found = first_lines(spark, paths)
     groups: dict[tuple[str, ...], dict[bool, list[str]]] = {}
     for path in paths:
         if _same_file(path) not in found:
+            if skip_empty:
+                continue
             raise ValueError(f"{path} is empty")
         line, broken = found[_same_file(path)]
         names = _header_names(_header_cells(spark, path, line))
         whole = broken if multi_line is None else multi_line
-        groups.setdefault(names, {}).setdefault(whole, []).append(path)
-    return [
-        reduce(DataFrame.unionByName, [_read_group(spark, chosen, names, whole) for whole, chosen in by_way.items()])
-        for names, by_way in groups.items()
-    ]
+        groups.setdefault(names, {False: [], True: []})[whole].append(path)
+    return [HeaderGroup(names, tuple(ways[False]), tuple(ways[True])) for names, ways in groups.items()]
+
+
+def read_group(spark: SparkSession, group: HeaderGroup) -> DataFrame:
+    """The rows of a header group as text, with ``_file`` and, where a row is malformed, ``_bad_row``."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*group.names, BAD_ROW)])
+    reader = spark.read.schema(schema).options(**CSV_OPTIONS).option("header", True)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_ROW)
+    # Without pruning, whether a row is malformed does not depend on the columns a query uses.
+    reader = reader.option("columnPruning", False)
+    parts = []
+    for whole, paths in ((False, group.split), (True, group.whole)):
+        if paths:
+            rows = reader.option("multiLine", whole).csv([literal_path(p) for p in paths])
+            parts.append(rows.select(*[F.col(quoted(c)) for c in rows.columns], file_name().alias(FILE)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_raw(spark: SparkSession, paths: list[str], multi_line: bool | None = None) -> list[DataFrame]:
+    """Rows of drop files as text, one DataFrame per distinct header; none for no files."""
+    return [read_group(spark, group) for group in header_groups(spark, paths, multi_line)]
 
 
 def _data_columns(raw: DataFrame) -> list[str]:
@@ -160,15 +185,33 @@ def quarantine_bad_rows(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def bad_rows(spark: SparkSession, paths: list[str]) -> DataFrame:
     """(file, row) of the rows with more cells than their header, of all files."""
     parts = [quarantine_bad_rows(raw)[1] for raw in read_raw(spark, paths)]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts, spark.createDataFrame([], "file string, row string"))
 
 
-def _without_bad_rows(raw: DataFrame, mode: str) -> DataFrame:
+def _with_verdict(raw: DataFrame, mode: str) -> DataFrame:
+    """``_bad_row`` is kept where the row has surplus cells, else null; ``mode='strict'`` raises instead."""
+    if mode not in ("strict", "quarantine"):
+        raise ValueError(f"unknown mode {mode!r}")
     bad = too_many_cells(len(_data_columns(raw)))
-    if mode == "quarantine":
-        return raw.filter(~bad).drop(BAD_ROW)
-    message = F.concat(F.lit("malformed row in "), F.col(FILE), F.lit(": "), F.col(BAD_ROW))
-    return raw.filter(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True)).drop(BAD_ROW)
+    verdict = F.when(bad, F.col(BAD_ROW))
+    if mode == "strict":
+        message = F.concat(F.lit("malformed row in "), F.col(FILE), F.lit(": "), F.col(BAD_ROW))
+        verdict = F.when(bad, F.raise_error(message).cast("string"))
+    return raw.withColumn(BAD_ROW, verdict)
+
+
+def prepare(
+    raw: DataFrame, mode: str = "strict", rename: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """One header group cleaned and renamed, with ``_file``, and ``_bad_row`` set on malformed rows.
+
+    Rows without any value and columns without a header are gone.
+    """
+    judged = _with_verdict(raw, mode)
+    data = _data_columns(judged)
+    rows = normalize_null_tokens(judged, columns=data)
+    rows = rows.dropna(how="all", subset=[quoted(c) for c in (*data, BAD_ROW)])
+    return rename(drop_unnamed_columns(rows))
 
 
 def read_files(
@@ -184,12 +227,11 @@ def read_files(
     by name. ``mode='strict'`` raises on a row with more cells than the header, ``'quarantine'``
     leaves such rows out.
     """
-    parts = []
-    for raw in read_raw(spark, paths, multi_line):
-        rows = normalize_null_tokens(_without_bad_rows(raw, mode))
-        rows = rows.dropna(how="all", subset=[quoted(c) for c in _data_columns(rows)])
-        parts.append(rename(drop_unnamed_columns(rows)))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    parts = [prepare(raw, mode, rename) for raw in read_raw(spark, paths, multi_line)]
+    if not parts:
+        raise ValueError("no files to read")
+    united = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return united.filter(F.col(BAD_ROW).isNull()).drop(BAD_ROW)
 
 
 def read_chain_csv(

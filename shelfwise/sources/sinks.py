@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.functions.text import quoted
+from shelfwise.functions.text import literal, quoted
 from shelfwise.operators.cleaning import cast_all_to_string, truncate_strings
 from shelfwise.operators.headers import dedupe_names, export_header
 from shelfwise.operators.joins import semi_join
@@ -40,13 +41,40 @@ def sink_text(df: DataFrame) -> DataFrame:
     return truncate_strings(cast_all_to_string(df))
 
 
+def point_table(spark: SparkSession, chain: str, table: str, columns: list[tuple[str, str]], location: str) -> None:
+    """Let a catalog table read ``location``; it is created if there is none, and its files are left alone.
+
+    With the columns it has, the table changes over in one statement. With others it is made anew, as its columns
+    are part of it.
+    """
+    ensure_schema(spark, chain)
+    name = table_id(chain, table)
+    if spark.catalog.tableExists(name):
+        if spark.table(name).dtypes == columns:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(location)}")
+            spark.catalog.refreshTable(name)
+            return
+        spark.sql(f"DROP TABLE {name}")
+    typed = ", ".join(f"{quoted(c)} {kind}" for c, kind in columns)
+    spark.sql(f"CREATE TABLE {name} ({typed}) USING PARQUET LOCATION {literal(location)}")
+
+
 def write_replace(df: DataFrame, chain: str, table: str, location: str | None = None) -> None:
-    """Replace a chain table by the rows of ``df`` in one write."""
-    ensure_schema(df.sparkSession, chain)
-    writer = sink_text(df).write.mode("overwrite").format("parquet")
-    if location:
-        writer = writer.option("path", location)
-    writer.saveAsTable(table_id(chain, table))
+    """Replace a chain table by the rows of ``df``.
+
+    The rows are written to a folder of their own below ``location`` (default: the warehouse) and counted there;
+    only then the table is pointed at it. A write that fails, or that stores another number of rows than it was
+    given, leaves the table as it was.
+    """
+    spark = df.sparkSession
+    base = location or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{chain}.db/{table}"
+    version = f"{base.rstrip('/')}/version-{uuid.uuid4().hex}"
+    rows, seen = observed(sink_text(df))
+    rows.write.parquet(version)
+    stored = spark.read.schema(rows.schema).parquet(version).count()
+    if stored != seen.get["rows"]:
+        raise ValueError(f"{seen.get['rows']} rows written but {stored} stored in {version}")
+    point_table(spark, chain, table, rows.dtypes, version)
 
 
 def missing_rows(df: DataFrame, present: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from shelfwise.plans.load import load_chain
 from shelfwise.profiles import PROFILES
 from shelfwise.session import require_local
-from shelfwise.sources import files, sinks
+from shelfwise.sources import files, published, sinks
 
 DIRTY = (
     "Наименование;;Код\n"
@@ -112,8 +112,10 @@ def test_load_chain(spark, drop, tmp_path):
     sink = str(tmp_path / "sink")
     for _ in range(2):
         summary = load_chain(spark, str(tmp_path), PROFILES["magnit"], {}, sink)
-        assert {(r["file"], r["rows"]) for r in summary.collect()} == {("magnit_a", 2), ("magnit_b", 1)}
-    rows = spark.read.parquet(sink).select("table_name", "product_name", "weight_extracted_regex", "package_type", "chain")
+        assert {(r["file"], r["rows"], r["chunks"], r["added_columns"]) for r in summary.collect()} == {
+            ("magnit_a", 2, 1, 9), ("magnit_b", 1, 1, 9),
+        }
+    rows = published.read(spark, sink).select("table_name", "product_name", "weight_extracted_regex", "package_type", "chain")
     assert _rows(rows) == sorted([
         ("magnit_a", "Чипсы туба 0,15 кг", "150", "Туба", "magnit"),
         ("magnit_a", "Семечки", None, "Пакет", "magnit"),

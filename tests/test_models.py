@@ -14,6 +14,7 @@ from shelfwise.operators.cleaning import ADDRESS_COLUMNS, PRODUCT_COLUMNS
 from shelfwise.operators.features import TextSpec
 from shelfwise.plans.load import load_chain
 from shelfwise.profiles import MAGNIT
+from shelfwise.sources import published
 
 random.seed(1)
 KINDS = {"чипсы": "Картофельные", "сухарики": "Хлебные", "семечки": "Подсолнечные"}
@@ -169,7 +170,7 @@ def test_load_with_models(spark, trained, places, drop, tmp_path):
     drop("magnit_a.csv", "Наименование;Адрес\nсемечки лук 80г;г.Пермь\nчипсы сыр 40г;г.Омск\nчипсы сыр 40г;\n")
     loaded = {"type": trained["type"].model, "city": places["city"].model, "region": places["region"].model}
     load_chain(spark, str(tmp_path), MAGNIT, loaded, str(tmp_path / "sink"))
-    rows = spark.read.parquet(str(tmp_path / "sink")).filter("address is not null")
+    rows = published.read(spark, str(tmp_path / "sink")).filter("address is not null")
     got = {(r["product_type_predicted"], r["city_predicted"], r["region_predicted"]) for r in rows.collect()}
     assert got == {("Подсолнечные", "Пермь", "Урал"), ("Картофельные", "Омск", "Сибирь")}
-    assert spark.read.parquet(str(tmp_path / "sink")).count() == 3
+    assert published.read(spark, str(tmp_path / "sink")).count() == 3
