@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import re
 import uuid
+import warnings
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from shelfwise.functions import text
 from shelfwise.functions.ngrams import BRAND_STOP_WORDS
 from shelfwise.functions.text import quoted
 from shelfwise.operators import sampling, stats
+from shelfwise.operators.boosting import SoftmaxBoosting
 from shelfwise.operators.cleaning import drop_null_labels, filter_min_length
 from shelfwise.operators.features import TextSpec, fit_tfidf
 from shelfwise.session import settle
@@ -46,8 +48,8 @@ class ModelSpec:
         return replace(self, params={**self.params, **params})
 
 
-# Text treatment and filters of the seven models, and learners that Spark trains in parallel: boosting in
-# one-vs-rest form runs classes x trees x depth jobs one after the other, so flavour and type are multinomial.
+# Text treatment and filters of the seven models, and learners that need few passes: boosting takes trees x depth jobs
+# one after the other, so flavour and type are multinomial here and boosted in ``BOOSTED``.
 SPECS: dict[str, ModelSpec] = {
     s.name: s
     for s in (
@@ -89,6 +91,11 @@ SPECS: dict[str, ModelSpec] = {
     )
 }
 PRODUCT_MODELS = ("flavor", "brand", "weight", "type")
+# Numbers of trees (for each class) and the learning rate of the boosted models.
+BOOSTED: dict[str, ModelSpec] = {
+    name: replace(SPECS[name], learner="boosting", params={"trees": trees, "rate": 0.1, "depth": 2})
+    for name, trees in (("flavor", 1200), ("type", 200))
+}
 
 
 @dataclass
@@ -128,10 +135,7 @@ def learner(spec: ModelSpec, weight_sum: float):
         common["weightCol"] = "class_weight"
     p = spec.params
     if spec.learner == "boosting":
-        trees = GBTClassifier(
-            maxIter=int(p["trees"]), stepSize=p["rate"], maxDepth=int(p.get("depth", 5)), seed=spec.seed, maxMemoryInMB=512
-        )
-        return OneVsRest(classifier=trees, parallelism=8, **common)
+        return SoftmaxBoosting(trees=int(p["trees"]), rate=p["rate"], depth=int(p["depth"]), **common)
     if spec.learner == "forest":
         return RandomForestClassifier(
             numTrees=int(p["trees"]), maxDepth=int(p["depth"]), seed=spec.seed, maxMemoryInMB=512, **common
@@ -191,16 +195,19 @@ def save_model(model: PipelineModel, folder: str, name: str) -> str:
 
 
 def load_models(folder: str, names: tuple[str, ...] = tuple(SPECS)) -> dict[str, PipelineModel]:
-    """The latest saved version of each model; models never saved are left out."""
+    """The latest saved version of each model; a warning names the models never saved, which are left out."""
     spark = SparkSession.active()
     try:
         pointers = spark.read.parquet(f"{folder.rstrip('/')}/_current")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return {}
+        pointers = spark.createDataFrame([], "name string, path string, saved_at timestamp")
     latest = pointers.groupBy("name").agg(F.max_by("path", "saved_at").alias("path"))
     paths = {r["name"]: r["path"] for r in latest.filter(F.col("name").isin(*names)).collect()}
+    missing = [name for name in names if name not in paths]
+    if missing:
+        warnings.warn(f"no saved model in {folder}: {', '.join(missing)}", stacklevel=2)
     return {name: PipelineModel.load(path) for name, path in paths.items()}
 
 

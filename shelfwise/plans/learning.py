@@ -197,6 +197,13 @@ def train_type(spark, sf_dir):
     return _held_out(spark, sf_dir, "type")
 
 
+@query(_held_out_sql("type", PRODUCT_LABELS))
+def train_boosted_type(spark, sf_dir):
+    """The type model by boosting: 200 trees for each class, on the rows that ``train_type`` learns from."""
+    trained = models.train(product_labels(spark, sf_dir), models.BOOSTED["type"])
+    return stats.skill(trained.scored, "label", "predicted")
+
+
 @query(f"select weight as label, count(*) as support, true as beats_majority from ({PRODUCT_LABELS}) group by 1")
 def train_weight(spark, sf_dir):
     """The weight model has no held-out part; this judges its predictions on its own labels."""
