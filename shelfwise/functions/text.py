@@ -7,6 +7,8 @@ DataFrame API (``F.expr``) and a saved ``SQLTransformer`` stage. Regular express
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,9 +28,12 @@ ADDRESS_WORDS = (
     (r"(?U)\bпр-кт\b", "проспект "),
     (r"(?U)\bресп\b", "республика "),
 )
+CITY_MARK = "город"
 CITY_FEATURE_MARK = " natasha:"
 # End of fixed values.
 
+CITY_SEPARATOR = "\x1f"
+
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 EDGE_SPACES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
 CASED_RUNS = r"[\p{Lu}\p{Ll}\p{Lt}]+|[^\p{Lu}\p{Ll}\p{Lt}]+"
@@ -102,12 +107,41 @@ def normalize_brand_label_sql(x: str) -> str:
 def city_after_marker_sql(x: str, words: int = 1) -> str:
     """The ``words`` words that follow the city marker in an address, or ''."""
     more = f"(?: [^ ]+){{{words - 1}}}"
-    pattern = literal(rf"(?U)\bгород ([^ ]+{more})")
+    pattern = literal(rf"(?U)\b{CITY_MARK} ([^ ]+{more})")
     return f"regexp_extract({normalize_address_sql(x)}, {pattern}, 1)"
 
 
-def compose_features_sql(x: str) -> str:
-    return f"concat({normalize_address_sql(x)}, '{CITY_FEATURE_MARK}', {city_after_marker_sql(x)})"
+def city_name_sql(x: str) -> str:
+    """A city as addresses name it behind the marker: normalised, without the marker itself."""
+    return f"regexp_replace({normalize_address_sql(x)}, {literal(f'^{CITY_MARK}(?: |$)')}, '')"
+
+
+def city_prefixes_sql(clean: str, longest: int) -> str:
+    """What follows the city marker in a normalised address: its first ``longest`` words, then fewer, down to one."""
+    rest = f"regexp_extract({clean}, {literal(rf'(?U)\b{CITY_MARK} (.+)')}, 1)"
+    cuts = f"transform(sequence(least({longest}, size(w)), 1), n -> array_join(slice(w, 1, n), ' '))"
+    # The words are bound once, as the only element of an array.
+    return f"flatten(transform(array(split({rest}, ' ')), w -> if(w[0] = '', cast(array() as array<string>), {cuts})))"
+
+
+def listed_city_sql(clean: str, cities: Sequence[str]) -> str:
+    """The longest of ``cities`` that follows the marker in a normalised address, or ''; the list is part of the text."""
+    if not cities:
+        return "''"
+    longest = max(len(c.split(" ")) for c in cities)
+    listed = f"split({literal(CITY_SEPARATOR.join(cities))}, {literal(CITY_SEPARATOR)})"
+    return f"coalesce(get(filter({city_prefixes_sql(clean, longest)}, p -> array_contains({listed}, p)), 0), '')"
+
+
+def compose_features_sql(x: str, cities: Sequence[str] | None = None) -> str:
+    """Without a list, the one word behind the marker counts as the city."""
+    found = city_after_marker_sql(x) if cities is None else listed_city_sql(normalize_address_sql(x), cities)
+    return f"concat({normalize_address_sql(x)}, {literal(CITY_FEATURE_MARK)}, {found})"
+
+
+def compose_clean_sql(clean: str, cities: Sequence[str]) -> str:
+    """The same for an address that is normalised already."""
+    return f"concat({clean}, {literal(CITY_FEATURE_MARK)}, {listed_city_sql(clean, cities)})"
 
 
 def table_name_sql(x: str) -> str:
@@ -157,9 +191,19 @@ def city_after_marker(col: str, words: int = 1) -> Column:
     return F.expr(city_after_marker_sql(quoted(col), words))
 
 
-def compose_features(col: str) -> Column:
-    """Cleaned address followed by the city found in it."""
-    return F.expr(compose_features_sql(quoted(col)))
+def city_name(col: str) -> Column:
+    """A city as addresses name it: normalised, without the marker word."""
+    return F.expr(city_name_sql(quoted(col)))
+
+
+def city_prefixes(col: str, longest: int) -> Column:
+    """Candidates for the city of a normalised address, the longest first."""
+    return F.expr(city_prefixes_sql(quoted(col), longest))
+
+
+def compose_features(col: str, cities: Sequence[str] | None = None) -> Column:
+    """Cleaned address followed by the city found in it: the longest of ``cities``, or one word without a list."""
+    return F.expr(compose_features_sql(quoted(col), cities))
 
 
 def table_name_for(col: str) -> Column:

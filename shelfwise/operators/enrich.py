@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.functions.text import (
-    city_after_marker,
+    city_name,
+    city_prefixes,
     extract_weight_g,
     fill_missing_text,
     normalize_address,
@@ -22,21 +23,24 @@ from shelfwise.operators.models import PRODUCT_MODELS, SPECS, predict
 from shelfwise.profiles import ChainProfile
 from shelfwise.session import settle
 
+
 def extract_city(df: DataFrame, address: str, known: DataFrame, out: str = "city_found") -> DataFrame:
     """City named after the city marker of an address if ``known`` (one column) lists it, else ''.
 
-    Tries as many words after the marker as the longest known city has, then fewer; the longest wins.
+    Each distinct address is normalised once and tried with as many words as the longest known city has, then with
+    fewer, in one join; the longest wins.
     """
-    name = known.columns[0]
-    listed = settle(known.select(normalize_address(name).alias("_known")).filter("_known <> ''").distinct(), "cities")
-    longest = listed.agg(F.max(F.size(F.split("_known", " ")))).first()[0] or 1
-    words = list(range(1, longest + 1))
-    df = df.withColumns({f"_city{n}": city_after_marker(address, n) for n in words})
-    for n in words:
-        marked = listed.select(F.col("_known").alias(f"_city{n}"), F.col("_known").alias(f"_hit{n}"))
-        df = lookup_join(df, marked, [f"_city{n}"])
-    best = F.coalesce(*[F.col(f"_hit{n}") for n in reversed(words)], F.lit(""))
-    return df.withColumn(out, best).drop(*[f"_city{n}" for n in words], *[f"_hit{n}" for n in words])
+    listed = known.select(city_name(known.columns[0]).alias("_tried")).filter("_tried <> ''").distinct()
+    listed = settle(listed, "cities")
+    longest = listed.agg(F.max(F.size(F.split("_tried", " ")))).first()[0] or 1
+
+    def score(addresses: DataFrame, name: str) -> DataFrame:
+        clean = addresses.withColumn("_clean", normalize_address(name))
+        tried = clean.select(name, F.explode(city_prefixes("_clean", longest)).alias("_tried"))
+        hits = lookup_join(tried, listed, ["_tried"], "left_semi")
+        return hits.groupBy(name).agg(F.max_by("_tried", F.length("_tried")).alias(out))
+
+    return score_distinct(df, address, score).fillna("", [out])
 
 
 def score_distinct(df: DataFrame, in_col: str, score: Callable[[DataFrame, str], DataFrame]) -> DataFrame:

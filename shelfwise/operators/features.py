@@ -34,6 +34,7 @@ class TextSpec:
     min_df: int = 1
     max_df: float = 1.0
     max_terms: int = 5000
+    cities: tuple[str, ...] = ()  # of the cleaner "address": the names it looks for
 
     def cleaned_sql(self, x: str) -> str:
         return CLEANERS[self.cleaner](x)
@@ -42,16 +43,23 @@ class TextSpec:
 def text_stages(spec: TextSpec, source: str) -> list[SQLTransformer]:
     """Model stages from the raw text column to ``terms``; intermediate columns stay separate
     projections, so that tokens are computed once per row."""
-    clean = SQLTransformer(statement=f"SELECT *, {spec.cleaned_sql(text.quoted(source))} AS clean FROM __THIS__")
+
+    def column(sql: str, name: str) -> SQLTransformer:
+        return SQLTransformer(statement=f"SELECT *, {sql} AS {name} FROM __THIS__")
+
+    if spec.cleaner == "address":
+        clean = [
+            column(text.normalize_address_sql(text.quoted(source)), "address_clean"),
+            column(text.compose_clean_sql("address_clean", spec.cities), "clean"),
+        ]
+    else:
+        clean = [column(spec.cleaned_sql(text.quoted(source)), "clean")]
     if spec.analyzer == "char":
-        grams = ngrams.char_ngrams_sql("clean", spec.low, spec.high)
-        return [clean, SQLTransformer(statement=f"SELECT *, {grams} AS terms FROM __THIS__")]
-    tokens = ngrams.word_tokens_sql("clean", spec.stop_words)
-    grams = ngrams.word_ngrams_sql("tokens", spec.low, spec.high)
+        return [*clean, column(ngrams.char_ngrams_sql("clean", spec.low, spec.high), "terms")]
     return [
-        clean,
-        SQLTransformer(statement=f"SELECT *, {tokens} AS tokens FROM __THIS__"),
-        SQLTransformer(statement=f"SELECT *, {grams} AS terms FROM __THIS__"),
+        *clean,
+        column(ngrams.word_tokens_sql("clean", spec.stop_words), "tokens"),
+        column(ngrams.word_ngrams_sql("tokens", spec.low, spec.high), "terms"),
     ]
 
 

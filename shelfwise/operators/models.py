@@ -128,6 +128,12 @@ def label_rows(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return stats.non_empty_guard(settle(rows, f"labels_{spec.name}"))
 
 
+def known_cities(df: DataFrame, city: str) -> tuple[str, ...]:
+    """The distinct cities of label rows, as addresses name them: at most one per label, so a list for a model to carry."""
+    names = df.select(text.city_name(city).alias("name")).filter("name <> ''").distinct()
+    return tuple(sorted(r["name"] for r in names.collect()))
+
+
 def learner(spec: ModelSpec, weight_sum: float):
     """The unfitted classifier of a spec over ``features``, ``label_index`` and ``class_weight``."""
     common = {"featuresCol": "features", "labelCol": "label_index", "predictionCol": "prediction"}
@@ -162,6 +168,8 @@ def train(df: DataFrame, spec: ModelSpec) -> Trained:
         held_out = split.filter("is_test").drop("is_test")
         rows = split.filter("not is_test").drop("is_test")
     weighted = stats.balanced_class_weights(rows, "label") if spec.balanced else rows
+    if spec.text_spec.cleaner == "address":
+        spec = replace(spec, text_spec=replace(spec.text_spec, cities=known_cities(rows, "label")))
     stages = fit_tfidf(rows, spec.text_spec, "text")
     indexer = StringIndexer(inputCol="label", outputCol="label_index", stringOrderType="frequencyDesc").fit(rows)
     ready = PipelineModel([*stages, indexer]).transform(weighted)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import text
-from shelfwise.operators import cleaning, enrich, headers, joins, sampling, stats
+from shelfwise.operators import cleaning, enrich, headers, joins, models, sampling, stats
 from shelfwise.plans.bindings import ADDRESS_LABELS, CITY, PRODUCT_NAME, address_labels, drop_rows, product_labels, sales, table
 from shelfwise.plans.registry import query, sales_cte
 from shelfwise.profiles import PROFILES
@@ -301,27 +301,47 @@ def sample_rows(spark, sf_dir):
 
 
 FOUND_SQL = r"regexp_extract(clean, '(?:^| )город ([^ ]+)', 1)"
+# Places whose city has one word or two, and a list that has some cities of either kind.
+PLACED = (
+    "select concat('г.', n_name, case when c_acctbal > 3000 then concat(' ', r_name) else '' end, ', ул. ', c_name) as address "
+    "from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"
+)
+LISTED = (
+    "select concat('город ', n_name) as city from nation where n_nationkey % 3 > 0 union all "
+    "select concat('Город  ', n_name, ' ', r_name) from nation join region on n_regionkey = r_regionkey where n_nationkey % 2 = 0"
+)
+LISTED_CTE = (
+    f"a as (select address, regexp_extract(clean, 'город (.+)', 1) as rest from (select address, {_normalized_sql('address')} "
+    f"as clean from ({PLACED}))), k as (select distinct regexp_replace(regexp_replace(lower(city), ' +', ' '), '^город ', '') "
+    f"as city from ({LISTED})), f as (select address, max_by(city, length(city)) as found from a join k "
+    "on rest = city or starts_with(rest, city || ' ') group by address)"
+)
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    for name in ("customer", "nation", "region"):
+        table(spark, sf_dir, name).createOrReplaceTempView(name)
+    return spark.sql(PLACED), spark.sql(LISTED)
 
 
 @query(
-    f"select address, concat(clean, ' natasha:', {FOUND_SQL}) as full_features from "
-    f"(select address, {_normalized_sql('address')} as clean from ({ADDRESS_LABELS}))"
+    f"with {LISTED_CTE}, c as (select address, concat(clean, ' natasha:', {FOUND_SQL}) as full_features, clean from "
+    f"(select address, {_normalized_sql('address')} as clean from ({PLACED}))) "
+    "select c.address, full_features, concat(clean, ' natasha:', coalesce(found, '')) as listed_features "
+    "from c left join f on c.address = f.address"
 )
 def compose_features(spark, sf_dir):
-    return address_labels(spark, sf_dir).select("address", text.compose_features("address").alias("full_features"))
+    placed, listed = _placed(spark, sf_dir)
+    cities = models.known_cities(listed, "city")
+    both = {"full_features": text.compose_features("address"), "listed_features": text.compose_features("address", cities)}
+    return placed.withColumns(both)
 
 
-@query(
-    f"with a as (select address, {FOUND_SQL} as found from (select address, {_normalized_sql('address')} as clean "
-    f"from ({ADDRESS_LABELS}))), k as (select distinct lower(n_name) as city from nation join customer "
-    "on c_nationkey = n_nationkey where c_mktsegment = 'MACHINERY' and c_acctbal > 5000) "
-    "select address, coalesce(city, '') as city_found from a left join k on found = city"
-)
+@query(f"with {LISTED_CTE} select a.address, coalesce(found, '') as city_found from a left join f on a.address = f.address")
 def extract_city(spark, sf_dir):
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    rich = customer.filter("c_mktsegment = 'MACHINERY' and c_acctbal > 5000")
-    known = rich.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select("n_name")
-    return enrich.extract_city(address_labels(spark, sf_dir).select("address"), "address", known)
+    """Cities of one word and of two, from a list that lacks some: the longest listed one is found."""
+    placed, listed = _placed(spark, sf_dir)
+    return enrich.extract_city(placed, "address", listed)
 
 
 # Statistics.

@@ -106,6 +106,22 @@ def test_address_models(spark, places):
     ]
 
 
+def test_city_model_knows_two_word_cities(spark, tmp_path):
+    cities = ["Нижний Новгород", "Нижний Тагил", "Великий Новгород", "Омск"]
+    rows = [(f"г.{c}, ул. Мира, {i}", f"город {c}") for c in cities for i in range(12)]
+    trained = models.train(spark.createDataFrame(rows, "address string, city string"), _small("city"))
+    assert trained.spec.text_spec.cities == ("великий новгород", "нижний новгород", "нижний тагил", "омск")
+    folder = str(tmp_path / "models")
+    models.save_model(trained.model, folder, "city")
+    loaded = models.load_models(folder, ("city",))["city"]
+    df = spark.createDataFrame([("г.Нижний Тагил, пр-кт Нижний",), ("г.Нижний, ул. 1",), ("Омск",), (None,)], "text string")
+    shown = {r["text"]: r["clean"] for r in loaded.transform(df).select("text", "clean").collect()}
+    assert shown["г.Нижний Тагил, пр-кт Нижний"].endswith(" natasha:нижний тагил")
+    assert shown["г.Нижний, ул. 1"].endswith(" natasha:") and shown["Омск"] == "омск natasha:"
+    score = stats.accuracy(trained.scored, "label", "predicted").first()["accuracy"]
+    assert score > 0.9
+
+
 def test_saved_model_predicts_the_same(spark, trained, tmp_path):
     folder = str(tmp_path / "models")
     with pytest.warns(UserWarning, match="no saved model .*: type, brand"):
