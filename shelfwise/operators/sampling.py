@@ -22,48 +22,76 @@ def mark_smallest_hashes(
 ) -> DataFrame:
     """Flag, per group, the ``quota`` rows with the smallest hash of ``key``.
 
-    ``quota`` may use ``_total``, the row count of the group. A group is never ranked as a
-    whole: rows are counted per hash bucket (on the map side first), the running counts tell in
-    which bucket the quota ends, and only the rows of that one bucket are ranked. ``key`` should
-    identify a row; rows alike in ``key`` and hash are interchangeable.
+    ``quota`` may use ``_total``, the row count of the group. The rows are stored once and then counted per distinct
+    key, on the map side first. Running counts over hash buckets tell in which bucket the quota ends, and only the
+    distinct keys of that bucket are ranked, copies as one key with a count. So a group is known by the key at which
+    its quota ends, and a row is flagged by comparing its key with that one. Of the copies of that last key the first
+    as stored are taken. Rows of a null group are not flagged.
     """
-    hashed = df.withColumn("_hash", key_hash(key, seed)).withColumn(
-        "_bucket", F.substring("_hash", 1, BUCKET_DIGITS)
+    stored = settle(df.withColumn("_hash", key_hash(key, seed)), "hashed")
+    order = ["_hash", *key]
+    copies = settle(stored.groupBy(*dict.fromkeys([*by, *order])).agg(F.count(F.lit(1)).alias("_n")), "copies")
+    ends = settle(_quota_ends(copies, by, order, quota), "quota_ends")
+    file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
+    placed = _with_group(stored.withColumns({"_file": file, "_row": row}), ends, by)
+    position = F.struct(*order)
+    last = F.coalesce(position == F.col("_end"), F.lit(False))
+    inside = F.coalesce(F.col("_all") | (position < F.col("_end")), F.lit(False))
+    if ends.filter("_take < _n").isEmpty():
+        return placed.withColumn(flag, inside | last).select(*df.columns, flag)
+    # Copies of the last key: whole files first, then rows up to one in the file where the number is reached.
+    split = placed.filter(last & (F.col("_take") < F.col("_n")))
+    per_file = split.groupBy(*by, "_take", "_file").agg(F.count(F.lit(1)).alias("_here"))
+    so_far = F.sum("_here").over(W.partitionBy(*by).orderBy("_file").rowsBetween(W.unboundedPreceding, W.currentRow))
+    wanted = settle(
+        per_file.withColumn("_left", F.least("_here", F.col("_take") - so_far + F.col("_here"))).select(*by, "_file", "_here", "_left"),
+        "copies_per_file",
     )
-    counts = settle(hashed.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_n")), "hash_counts")
+    partly = wanted.filter("_left > 0 and _left < _here")
+    rank = F.row_number().over(W.partitionBy(*by, "_file").orderBy("_row"))
+    cut = lookup_join(split, partly.select(*by, "_file", "_left"), [*by, "_file"], "inner").withColumn("_rank", rank)
+    rows = cut.filter("_rank = _left").select(*by, "_file", F.col("_row").alias("_until"))
+    limits = wanted.filter("_left > 0").join(rows, [*by, "_file"], "left")
+    limits = limits.select(*by, "_file", F.coalesce("_until", F.lit(2**62)).alias("_until"))
+    marked = lookup_join(placed, limits, [*by, "_file"])
+    whole = F.col("_take") >= F.col("_n")
+    of_last = last & (whole | F.coalesce(F.col("_row") <= F.col("_until"), F.lit(False)))
+    return marked.withColumn(flag, inside | of_last).select(*df.columns, flag)
+
+
+def _quota_ends(copies: DataFrame, by: list[str], order: list[str], quota: Column) -> DataFrame:
+    """Per group: ``_all`` if its quota covers it, else the key ``_end`` at which it ends and how many of its ``_n`` copies count."""
+    bucketed = copies.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+    counts = settle(bucketed.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_rows")), "hash_counts")
     whole = W.partitionBy(*by)
     running = whole.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    totals = counts.groupBy(*by).agg(F.sum("_rows").alias("_total")).withColumn("_quota", quota)
     cuts = (
-        counts.withColumn("_end", F.sum("_n").over(running))
-        .withColumn("_total", F.sum("_n").over(whole))
+        counts.withColumns({"_until": F.sum("_rows").over(running), "_total": F.sum("_rows").over(whole)})
         .withColumn("_quota", quota)
-        .filter((F.col("_end") - F.col("_n") < F.col("_quota")) & (F.col("_quota") <= F.col("_end")))
-        .select(*by, F.col("_bucket").alias("_cut"), (F.col("_quota") - F.col("_end") + F.col("_n")).alias("_rest"))
+        .filter((F.col("_until") - F.col("_rows") < F.col("_quota")) & (F.col("_quota") <= F.col("_until")))
+        .select(*by, "_bucket", (F.col("_quota") - F.col("_until") + F.col("_rows")).alias("_rest"))
     )
-    takes_all = (
-        counts.groupBy(*by)
-        .agg(F.sum("_n").alias("_total"))
-        .withColumn("_quota", quota)
-        .select(*by, (F.col("_quota") > F.col("_total")).alias("_all"))
+    # One bucket per group: its distinct keys are ranked, whatever their numbers of copies.
+    edge = lookup_join(bucketed, cuts, [*by, "_bucket"], "inner")
+    ranked = W.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    reached = edge.withColumn("_sum", F.sum("_n").over(ranked))
+    at_end = reached.filter((F.col("_sum") - F.col("_n") < F.col("_rest")) & (F.col("_rest") <= F.col("_sum"))).select(
+        *by, F.struct(*order).alias("_end"), "_n", (F.col("_rest") - F.col("_sum") + F.col("_n")).alias("_take")
     )
-    if by:
-        placed = lookup_join(hashed, takes_all.join(cuts, by, "left"), by, "left")
-    else:
-        # One group: its limits are three values, no join.
-        cut, everything = cuts.first(), takes_all.first()
-        placed = hashed.withColumns(
-            {
-                "_cut": F.lit(cut["_cut"] if cut else None).cast("string"),
-                "_rest": F.lit(cut["_rest"] if cut else None).cast("bigint"),
-                "_all": F.lit(bool(everything and everything["_all"])),
-            }
+    groups = totals.select(*by, (F.col("_quota") >= F.col("_total")).alias("_all"))
+    if not by:
+        return groups.crossJoin(F.broadcast(at_end)) if not at_end.isEmpty() else groups.select(
+            "_all", F.lit(None).cast(copies.select(F.struct(*order)).dtypes[0][1]).alias("_end"), F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_take")
         )
-    on_edge = F.coalesce(F.col("_bucket") == F.col("_cut"), F.lit(False))
-    inside = F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False)) | F.coalesce(F.col("_all"), F.lit(False))
-    ranked = W.partitionBy(*by, "_bucket").orderBy("_hash", *key)
-    edge = placed.filter(on_edge).withColumn(flag, F.row_number().over(ranked) <= F.col("_rest"))
-    rest = placed.filter(~on_edge).withColumn(flag, inside)
-    return rest.unionByName(edge).drop("_hash", "_bucket", "_cut", "_rest", "_all")
+    return groups.join(at_end, by, "left").fillna(0, ["_n", "_take"])
+
+
+def _with_group(stored: DataFrame, ends: DataFrame, by: list[str]) -> DataFrame:
+    """Every row with the end of its group; without groups that is one row."""
+    if by:
+        return lookup_join(stored, ends, by)
+    return stored.join(F.broadcast(ends.limit(1)), F.lit(True), "left")
 
 
 def stratified_split(df: DataFrame, label: str, key: list[str], test_share: float, seed: int = 42) -> DataFrame:

@@ -61,6 +61,7 @@ def load_files(
     load = load or published.new_load()
     if not paths:
         return spark.createDataFrame([], SUMMARY)
+    published.open_sink(spark, sink)
     if published.log(spark, sink).filter(F.col("load") == load).isEmpty():
         _load_version(spark, paths, profile, models, sink, mode, rules, load)
     if register:

@@ -363,6 +363,37 @@ def distinct_counts(spark, sf_dir):
     return stats.distinct_counts(sales(spark, sf_dir, "city", "region", "branch"), ["city", "region", "branch"])
 
 
+SKETCHED = ("barcode", "address")
+PERIODS = {"chain": ["retail_chain"], "month": ["sale_year", "sale_month"], "all": []}
+
+
+def _periods_sql() -> str:
+    def part(name: str, by: list[str]) -> str:
+        grouping = f"group by {', '.join(by)}" if by else ""
+        shown = f"concat_ws('/', {', '.join(by)})" if by else "''"
+        counts = ", ".join(f"count(distinct {c}) as {c}, true as {c}_close" for c in SKETCHED)
+        return f"select '{name}' as period, {shown} as value, {counts} from sales {grouping}"
+
+    return " union all ".join(part(*p) for p in PERIODS.items())
+
+
+@query(f"with {sales_cte('retail_chain', 'sale_year', 'sale_month', *SKETCHED)} {_periods_sql()}")
+def distinct_sketches(spark, sf_dir):
+    """One stored table of sketches per chain and month answers per chain, per month and overall, beside exact counts."""
+    rows = settle(sales(spark, sf_dir, "retail_chain", "sale_year", "sale_month", *SKETCHED), "sketched_rows")
+    stored = settle(stats.distinct_sketches(rows, ["retail_chain", "sale_year", "sale_month"], list(SKETCHED)), "sketches")
+    parts = []
+    for name, by in PERIODS.items():
+        exact = rows.groupBy(*by).agg(*[F.countDistinct(c).alias(f"{c}_exact") for c in SKETCHED])
+        counted = stats.united_counts(stored, by, list(SKETCHED))
+        same = reduce(lambda a, b: a & b, [counted[c].eqNullSafe(exact[c]) for c in by], F.lit(True))
+        value = F.concat_ws("/", *[counted[c].cast("string") for c in by])
+        near = [(F.abs(F.col(c) - F.col(f"{c}_exact")) <= 1 + 0.06 * F.col(f"{c}_exact")).alias(f"{c}_close") for c in SKETCHED]
+        joined = counted.join(exact, same)
+        parts.append(joined.select(F.lit(name).alias("period"), value.alias("value"), *[F.col(f"{c}_exact").alias(c) for c in SKETCHED], *near))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query('select p_brand as value, count(*) as "count" from part where p_brand is not null group by 1')
 def value_counts(spark, sf_dir):
     return stats.value_counts(table(spark, sf_dir, "part"), "p_brand")
@@ -467,31 +498,26 @@ def semi_join(spark, sf_dir):
     return joins.semi_join(lines, part.select(F.col("p_partkey").alias("l_partkey")), ["l_partkey"])
 
 
-ARTICLE_CTE = sales_cte("retail_chain", "product_article", "sales_quantity", "sales_amount_rub")
-
-
-def _chain_totals(spark: SparkSession, sf_dir: str, chain: str, prefix: str) -> DataFrame:
-    rows = sales(spark, sf_dir, "retail_chain", "product_article", "sales_quantity", "sales_amount_rub")
-    return (
-        rows.filter(F.col("retail_chain") == chain)
-        .groupBy("product_article")
-        .agg(
-            F.sum("sales_quantity").alias(f"{prefix}_quantity"),
-            F.sum("sales_amount_rub").cast("double").alias(f"{prefix}_amount"),
-        )
-    )
+# A key that many lines share on either side.
+SHARED_KEY = "case when l_linenumber = 1 and l_returnflag = 'R' then -1 else l_partkey end"
 
 
 @query(
-    f"with {ARTICLE_CTE}, t as (select retail_chain, product_article, cast(sum(sales_quantity) as bigint) as q, "
-    "cast(sum(sales_amount_rub) as double) as a from sales group by 1, 2) "
-    "select l.product_article, l.q as left_quantity, l.a as left_amount, r.q as right_quantity, r.a as right_amount "
-    "from t l join t r on l.product_article = r.product_article "
-    "where l.retail_chain = 'BUILDING' and r.retail_chain = 'MACHINERY'"
+    f"with lines as (select {SHARED_KEY} as product_article, l_quantity, l_linestatus from lineitem) "
+    "select l.product_article, count(*) as pairs, cast(sum(l.l_quantity) as bigint) as left_quantity, "
+    "cast(sum(r.l_quantity) as bigint) as right_quantity, cast(sum(l.l_quantity * r.l_quantity) as bigint) as product "
+    "from lines l join lines r on l.product_article = r.product_article "
+    "where l.l_linestatus = 'O' and l.l_quantity > 40 and r.l_linestatus = 'F' and r.l_quantity < 10 group by 1"
 )
 def join_by_key(spark, sf_dir):
-    left = _chain_totals(spark, sf_dir, "BUILDING", "left")
-    return joins.join_by_key(left, _chain_totals(spark, sf_dir, "MACHINERY", "right"), "product_article")
+    """All pairs of unaggregated lines that share a key; the key that many lines share is joined in parts."""
+    lines = table(spark, sf_dir, "lineitem").selectExpr(f"{SHARED_KEY} as product_article", "l_quantity", "l_linestatus")
+    left = lines.filter("l_linestatus = 'O' and l_quantity > 40").selectExpr("product_article", "l_quantity as left_quantity")
+    right = lines.filter("l_linestatus = 'F' and l_quantity < 10").selectExpr("product_article", "l_quantity as right_quantity")
+    joined = joins.join_by_key(left, right, "product_article", cell=20, most_rows=10**12)
+    sums = {c: F.sum(c).cast("bigint").alias(c) for c in ("left_quantity", "right_quantity")}
+    product = F.sum(F.col("left_quantity") * F.col("right_quantity")).cast("bigint").alias("product")
+    return joined.groupBy("product_article").agg(F.count(F.lit(1)).alias("pairs"), *sums.values(), product)
 
 
 @query(

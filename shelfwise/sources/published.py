@@ -63,6 +63,11 @@ def version_counts(spark: SparkSession, sink: str, load: str, part: str = "data"
     return rows.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def open_sink(spark: SparkSession, sink: str) -> None:
+    """Begin an empty log if the sink has none."""
+    spark.createDataFrame([], LOG_SCHEMA).write.mode("ignore").parquet(_folder(sink, "log"))
+
+
 def log(spark: SparkSession, sink: str) -> DataFrame:
     """All publications; empty if there was none."""
     try:

@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
 
-from shelfwise.operators import joins, sampling
+from shelfwise.operators import joins, sampling, stats
 
 random.seed(7)
 KEYS = ["hot"] * 400 + [None] * 100 + [f"k{random.randrange(60)}" for _ in range(700)]
@@ -72,3 +75,94 @@ def test_article_or_barcode(spark):
     right = spark.createDataFrame([(1, "q", "one"), (2, "b", "two")], "product_article int, barcode string, name string")
     got = joins.join_article_or_barcode(left, right).select("product_article", "name", "matched_by").collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, "one", "article"), (None, "two", "barcode"), (9, "two", "barcode")], key=str)
+
+
+def test_several_products_for_one_key_are_refused(spark):
+    left = spark.createDataFrame([(1, "a")], "product_article int, barcode string")
+    right = spark.createDataFrame([(1, "q", "one"), (2, "q", "two")], "product_article int, barcode string, name string")
+    with pytest.raises(ValueError, match="several rows for one barcode"):
+        joins.join_article_or_barcode(left, right)
+
+
+def test_a_look_up_with_repeated_keys_is_refused(big, spark):
+    twice = spark.createDataFrame([("hot", 1), ("hot", 2)], "key string, value int")
+    with pytest.raises(ValueError, match="several rows for one value of key"):
+        joins.hot_split_join(big, twice, ["key"], share=0.2)
+
+
+def test_all_pairs_of_a_hot_key(spark):
+    """Two keys, one null, hold most rows of both sides; copies included."""
+    left = spark.createDataFrame([(("hot" if i % 3 else "warm" if i % 2 else f"k{i}"), i // 4) for i in range(900)] + [(None, 1)], "key string, a int")
+    right = spark.createDataFrame([(("hot" if i % 2 else "warm" if i % 3 else f"k{i}"), i // 5) for i in range(700)] + [(None, 2)], "key string, b int")
+    want = Counter(map(tuple, left.join(right, "key").collect()))
+    for cell in (50, 7, 10**6):
+        joined = joins.join_by_key(left.repartition(3), right.repartition(2), "key", cell=cell)
+        assert joined.columns == ["key", "a", "b"]
+        assert Counter(map(tuple, joined.collect())) == want
+    with pytest.raises(ValueError, match=rf"{sum(want.values())} rows, more than 1000"):
+        joins.join_by_key(left, right, "key", most_rows=1000)
+
+
+def test_a_hot_key_spreads_over_tasks(spark):
+    left = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as key", "1 as a")
+    right = spark.range(3000).selectExpr("if(id % 3 = 0, 'hot', cast(-id as string)) as key", "2 as b")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = joins.join_by_key(left, right, "key", cell=100)
+        per_task = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(per_task) == 1000 * 1000
+    assert max(per_task) < 250_000
+
+
+def test_nested_values_are_measured(spark):
+    flat = spark.range(100).select(F.col("id"))
+    wide = spark.range(100).select(F.array_repeat(F.lit("x" * 50), 40).alias("a"))
+    assert joins.data_bytes(flat) == 1600
+    assert joins.data_bytes(wide) > 100 * 40 * 50
+    vectors = spark.createDataFrame([(Vectors.dense([0.123456789] * 300),)] * 5, ["v"])
+    assert joins.data_bytes(vectors) > 5 * 300 * 8
+
+
+@pytest.mark.parametrize("quota", [0, 1, 250, 399, 400, 401, 650, 900])
+def test_copies_of_the_last_key_are_cut_by_number(spark, quota):
+    """One key holds most rows of a group: exactly the quota is taken, whole keys in the order of their hashes."""
+    rows = [("a", "hot", i) for i in range(400)] + [("a", f"k{i % 90}", i) for i in range(300)] + [("b", f"k{i}", i) for i in range(40)]
+    df = spark.createDataFrame(rows, "g string, k string, v int").repartition(6)
+    out = sampling.mark_smallest_hashes(df, ["g"], ["k"], F.lit(quota), 5, "taken")
+    assert out.columns == ["g", "k", "v", "taken"] and out.count() == len(rows)
+    taken = [r for r in out.collect() if r["taken"]]
+    for group, total in (("a", 700), ("b", 40)):
+        chosen = Counter(r["k"] for r in taken if r["g"] == group)
+        assert sum(chosen.values()) == min(quota, total)
+        sizes = Counter(k for g, k, _ in rows if g == group)
+        rest = quota
+        for k in sorted(sizes, key=lambda k: _digest(5, k)):
+            assert chosen[k] == max(0, min(rest, sizes[k]))
+            rest -= sizes[k]
+    assert len({(r["g"], r["k"], r["v"]) for r in taken}) == len(taken)
+
+
+def test_sample_of_one_key(spark):
+    df = spark.range(1000).selectExpr("'x' as t", "id").repartition(5)
+    assert sampling.sample_rows(df, 333, ["t"]).select("id").distinct().count() == 333
+    assert sampling.sample_rows(df.limit(0), 3, ["t"]).count() == 0
+
+
+def test_stored_sketches_answer_for_any_period(spark):
+    """Each article is sold in two months: counts per month cannot be added up, sketches can be united."""
+    months = "explode(array(id % 4, (id + 1) % 4)) as month"
+    rows = spark.range(20_000).selectExpr("id % 2 as chain", months, "id as article", "cast(null as string) as none")
+    stored = stats.distinct_sketches(rows, ["chain", "month"], ["article", "none"])
+    assert stored.count() == 8
+    for by in (["chain"], ["month"], ["chain", "month"], []):
+        exact = {tuple(r[c] for c in by): r["n"] for r in rows.groupBy(*by).agg(F.countDistinct("article").alias("n")).collect()}
+        got = stats.united_counts(stored, by, ["article", "none"]).collect()
+        assert len(got) == len(exact)
+        for r in got:
+            assert r["article"] == pytest.approx(exact[tuple(r[c] for c in by)], rel=0.05)
+            assert r["none"] == 0
