@@ -42,13 +42,16 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     max_bytes: int = BROADCAST_BYTES,
+    stored: bool = False,
 ) -> DataFrame:
     """Join ``small``, one row per key, to a large table.
 
     ``small`` is materialised once and measured: up to ``max_bytes`` it is broadcast, so that
     ``big`` is not shuffled at all; beyond that the join is shuffled with hot keys split off.
+    ``stored`` says that ``small`` is materialised already.
     """
-    small = settle(small, "lookup")
+    if not stored:
+        small = settle(small, "lookup")
     if data_bytes(small) <= max_bytes:
         return big.join(F.broadcast(small), on, how)
     return hot_split_join(big, small, on, how)
@@ -111,12 +114,12 @@ def join_by_key(left: DataFrame, right: DataFrame, key: str, cell: int = CELL, m
     if hot.isEmpty():
         return left.join(right, key, "inner")
     hot = settle(hot, "hot_keys")
-    cold = [lookup_join(side, hot.select(key), [key], "left_anti") for side in (left, right)]
+    cold = [lookup_join(side, hot.select(key), [key], "left_anti", stored=True) for side in (left, right)]
     # Rows are numbered as they are stored, so a part is the same whenever a task is run again.
     place = F.xxhash64("_metadata.file_name", "_metadata.row_index")
     cut = []
     for side, own, other in ((left, "_l", "_r"), (right, "_r", "_l")):
-        stored = settle(lookup_join(side, hot, [key], "inner"), "hot_rows")
+        stored = settle(lookup_join(side, hot, [key], "inner", stored=True), "hot_rows")
         parted = stored.withColumn(f"{own}_part", F.pmod(place, F.col(f"{own}_parts")))
         copied = parted.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(f"{other}_parts") - 1)))
         cut.append(copied.drop("_l_parts", "_r_parts"))

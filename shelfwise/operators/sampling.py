@@ -30,7 +30,7 @@ def mark_smallest_hashes(
     """
     stored = settle(df.withColumn("_hash", key_hash(key, seed)), "hashed")
     order = ["_hash", *key]
-    copies = settle(stored.groupBy(*dict.fromkeys([*by, *order])).agg(F.count(F.lit(1)).alias("_n")), "copies")
+    copies = stored.groupBy(*dict.fromkeys([*by, *order])).agg(F.count(F.lit(1)).alias("_n"))
     ends = settle(_quota_ends(copies, by, order, quota), "quota_ends")
     file, row = F.col("_metadata.file_name"), F.col("_metadata.row_index")
     placed = _with_group(stored.withColumns({"_file": file, "_row": row}), ends, by)
@@ -73,7 +73,7 @@ def _quota_ends(copies: DataFrame, by: list[str], order: list[str], quota: Colum
         .select(*by, "_bucket", (F.col("_quota") - F.col("_until") + F.col("_rows")).alias("_rest"))
     )
     # One bucket per group: its distinct keys are ranked, whatever their numbers of copies.
-    edge = lookup_join(bucketed, cuts, [*by, "_bucket"], "inner")
+    edge = bucketed.join(cuts, [*by, "_bucket"])
     ranked = W.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     reached = edge.withColumn("_sum", F.sum("_n").over(ranked))
     at_end = reached.filter((F.col("_sum") - F.col("_n") < F.col("_rest")) & (F.col("_rest") <= F.col("_sum"))).select(
@@ -90,7 +90,7 @@ def _quota_ends(copies: DataFrame, by: list[str], order: list[str], quota: Colum
 def _with_group(stored: DataFrame, ends: DataFrame, by: list[str]) -> DataFrame:
     """Every row with the end of its group; without groups that is one row."""
     if by:
-        return lookup_join(stored, ends, by)
+        return lookup_join(stored, ends, by, stored=True)
     return stored.join(F.broadcast(ends.limit(1)), F.lit(True), "left")
 
 
