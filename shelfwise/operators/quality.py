@@ -6,11 +6,13 @@ aggregation over one scan, and the clean view is one filter.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.text import quoted
 from shelfwise.operators.joins import lookup_join
 from shelfwise.schema import LIMITED, MANDATORY
 from shelfwise.session import settle
@@ -46,12 +48,14 @@ def margin_rule(tolerance: float = TOLERANCE) -> dict[str, str]:
 
 
 def weight_rules(tolerance: float = TOLERANCE) -> dict[str, str]:
-    """Kilograms against pack weight times quantity, tons against kilograms.
+    """Pack weights that are no number, kilograms against pack weight times quantity, tons against kilograms.
 
     Both figures have three decimals, so half a unit of the last one is always allowed.
     """
-    pack = "try_cast(weight as decimal(18,3)) * sales_quantity * 0.001BD"
+    grams = "try_cast(weight as decimal(18,3))"
+    pack = f"{grams} * sales_quantity * 0.001BD"
     return {
+        "weight:text": f"weight is not null and {grams} is null",
         "weight:kg": _apart("sales_weight_kg", pack, tolerance, HALF_GRAM_UNIT),
         "weight:tons": _apart("sales_tons", "sales_weight_kg * 0.001BD", tolerance, HALF_GRAM_UNIT),
     }
@@ -186,3 +190,29 @@ def publish_clear_view(df: DataFrame, name: str = "clear_sales", **limits) -> Da
     clean = clean_sales(df, **limits)
     clean.createOrReplaceTempView(name)
     return clean
+
+
+def publish_lasting_view(
+    df: DataFrame, schema: str, folder: str, name: str = "clear_sales", **limits
+) -> dict[str, str]:
+    """Store the record and its mixed barcodes, and let a catalog view give the clean rows to any session.
+
+    The record is evaluated and written once; the view is SQL over the stored files and filters as it is read, so
+    readers need neither this library nor its session. Both folders are new versions below ``folder`` and the view's
+    text names them: replacing the view is the one step that readers see. Returns the names and folders.
+    """
+    spark = df.sparkSession
+    version = uuid.uuid4().hex
+    places = {part: f"{folder.rstrip('/')}/{part}/{version}" for part in ("record", "mixed_barcodes")}
+    df.write.parquet(places["record"])
+    record = spark.read.schema(df.schema).parquet(places["record"])
+    mixed_barcodes(record).write.parquet(places["mixed_barcodes"])
+    broken = " or ".join(f"({p})" for p in row_rules(**limits).values())
+    columns = ", ".join(f"r.{quoted(c)}" for c in df.columns)
+    view = f"{quoted(schema)}.{quoted(name)}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(schema)}")
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {view} AS SELECT {columns} FROM parquet.{quoted(places['record'])} r "
+        f"LEFT ANTI JOIN parquet.{quoted(places['mixed_barcodes'])} m ON r.barcode = m.barcode WHERE NOT ({broken})"
+    )
+    return {"view": view, **places}

@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from shelfwise.functions.text import packaging_type
 from shelfwise.operators import quality, reports, standard
 from shelfwise.plans.bindings import FIRST_DATE, LAST_DATE, REPORTED, SALES, reported_sales, sales, table
+from shelfwise.plans.load import load_chain
 from shelfwise.plans.registry import query, sales_cte
+from shelfwise.profiles import MAGNIT, ChainProfile
 from shelfwise.schema import LIMITED, MANDATORY, STANDARD
-from shelfwise.session import settle
+from shelfwise.session import scratch_path
+from shelfwise.sources import published
+from shelfwise.sources.files import CSV_OPTIONS
 
 ALL_FIELDS = tuple(f.name for f in STANDARD)
 MEASURES = reports.MEASURES
@@ -149,6 +153,7 @@ LENGTH_SQL = {f"length:{f.name}": f"length({f.name}) > {f.max_length}" for f in
 AMOUNT_SQL = {"sales_amount": _apart_sql("sales_amount_rub", PAID_SQL)}
 MARGIN_RULE_SQL = {"margin": _apart_sql("margin_amount_rub", MARGIN_SQL)}
 WEIGHT_SQL = {
+    "weight:text": "weight is not null and try_cast(weight as decimal(18,3)) is null",
     "weight:kg": _apart_sql("sales_weight_kg", PACK_SQL, SLACK),
     "weight:tons": _apart_sql("sales_tons", "sales_weight_kg * cast(0.001 as decimal(4,3))", SLACK),
 }
@@ -234,16 +239,22 @@ def quality_report(spark, sf_dir):
 BROKEN_SQL = " or ".join(f"coalesce({test}, false)" for test in ROW_RULES_SQL.values())
 
 
+CLEAN_SQL = (
+    f"not ({BROKEN_SQL}) and barcode not in "
+    "(select barcode from sales where barcode is not null group by 1 having count(distinct product_article) > 1)"
+)
+
+
 @query(
     f"with {REPORTED_CTE} select retail_chain, product_type, count(*) as rows, {MEASURE_SQL} from sales "
-    f"where not ({BROKEN_SQL}) and barcode not in "
-    "(select barcode from sales where barcode is not null group by 1 having count(distinct product_article) > 1) "
-    "group by 1, 2"
+    f"where {CLEAN_SQL} group by 1, 2"
 )
 def publish_clear_view(spark, sf_dir):
-    record = settle(reported_sales(spark, sf_dir), "record")
-    quality.publish_clear_view(record, "clear_sales", first=FIRST_DATE, last=LAST_DATE)
-    clear = spark.table("clear_sales").groupBy("retail_chain", "product_type")
+    """The lasting view, read by another session."""
+    record = reported_sales(spark, sf_dir)
+    folder = scratch_path(spark, "clear")
+    made = quality.publish_lasting_view(record, "shelfwise_clear", folder, first=FIRST_DATE, last=LAST_DATE)
+    clear = spark.newSession().table(made["view"]).groupBy("retail_chain", "product_type")
     return _plain_measures(clear.agg(F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(m) for m in MEASURES]))
 
 
@@ -304,3 +315,34 @@ def build_facts(spark, sf_dir):
     keys = [f"{d}_key" for d in reports.DIMENSIONS]
     sums = [F.sum(m).cast("double").alias(m) for m in (*MEASURES, "avg_cost_price")]
     return facts.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), *sums)
+
+
+# From files to facts: every field of the record as a chain would name it; the rest keep their names.
+DROP_NAMES = {
+    "product_name": "Наименование", "product_code": "Код", "address": "Адрес", "city": "Город", "region": "Регион",
+    "branch": "Филиал", "supplier": "Поставщик", "product_article": "мерчандайзинг", "product_type": "вид",
+    "product_level_1": "уровень 1", "product_level_2": "уровень 2", "product_level_3": "уровень 3", "product_level_4": "уровень 4",
+}
+READ_AS = {"supplier": "supplier_name"} | {f: n for f, n in DROP_NAMES.items() if f.startswith("product_") and n not in ("Наименование", "Код")}
+FACT_KEYS = ("product", "store", "supplier", "date")
+
+
+@query(
+    f"with {REPORTED_CTE} select {', '.join(f'{_key_sql(d)} as {d}_key' for d in FACT_KEYS)}, count(*) as rows, {FACT_SUMS} "
+    f"from sales where {CLEAN_SQL} group by 1, 2, 3, 4"
+)
+def files_to_facts(spark, sf_dir):
+    """The whole path: drop files of every line, loaded and published, read as the standard record, checked, and as facts."""
+    drop, sink, clear = (scratch_path(spark, name) for name in ("drop", "sink", "clear"))
+    fields = tuple(REPORTED)
+    rows = reported_sales(spark, sf_dir, *fields)
+    texts = rows.select([F.col(f).cast("string").alias(DROP_NAMES.get(f, f)) for f in fields])
+    texts.write.options(**CSV_OPTIONS, header=True, emptyValue="").csv(drop)
+    load_chain(spark, drop, ChainProfile("facts", "part-", "facts", MAGNIT.rules), {}, sink, register=False)
+    kinds = {f.name: f.type for f in STANDARD}
+    mapping = {f: standard.typed(READ_AS.get(f, f), kinds[f]) for f in fields}
+    record = standard.to_standard(published.read(spark, sink), mapping)
+    made = quality.publish_lasting_view(record, "shelfwise_facts", clear, first=FIRST_DATE, last=LAST_DATE)
+    facts = reports.build_facts(spark.table(made["view"]))
+    sums = [F.sum(m).cast("double").alias(m) for m in (*MEASURES, "avg_cost_price")]
+    return facts.groupBy(*[f"{d}_key" for d in FACT_KEYS]).agg(F.count(F.lit(1)).alias("rows"), *sums)

@@ -4,6 +4,7 @@ from datetime import date
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.operators import quality, reports, standard
 from shelfwise.schema import STANDARD, standard_struct
@@ -23,6 +24,7 @@ VIOLATIONS = [
     ({"sales_amount_rub": Decimal("5123.63"), "margin_amount_rub": Decimal("2057.59")}, "sales_amount"),
     ({"margin_amount_rub": Decimal("1904.61")}, "margin"),
     ({"weight": "200"}, "weight:kg"),
+    ({"weight": "два кг"}, "weight:text"),
     ({"sales_tons": Decimal("0.080")}, "weight:tons"),
     ({"sale_date": date(1924, 12, 1)}, "date:bounds"),
     ({"sale_month": 13}, "date:month"),
@@ -91,3 +93,19 @@ def test_surrogate_keys_tell_rows_apart(spark):
     keys = {r["supplier_key"] for r in reports.build_dimension(df, "supplier").collect()}
     assert len(keys) == 3
     assert {r["supplier_key"] for r in reports.build_facts(df).collect()} == keys
+
+
+def test_a_lasting_view(spark, tmp_path):
+    """Another session reads it; a new record replaces what it shows, and one that fails does not."""
+    folder = str(tmp_path / "it's clear")
+    rows = ({}, {"supplier": None}, {"barcode": "47"}, {"product_article": 2, "barcode": "47"})
+    made = quality.publish_lasting_view(_table(spark, *rows), "unit_clear", folder)
+    session = spark.newSession()
+    assert [tuple(r) for r in session.table("unit_clear.clear_sales").collect()] == [tuple(_table(spark, {}).first())]
+    broken = _table(spark, {}).withColumn("brand", F.raise_error(F.lit("broken row")).cast("string"))
+    with pytest.raises(Exception, match="broken row"):
+        quality.publish_lasting_view(broken, "unit_clear", folder)
+    assert session.table("unit_clear.clear_sales").count() == 1
+    again = quality.publish_lasting_view(_table(spark, {}, {}), "unit_clear", folder, tolerance=0.5)
+    assert spark.newSession().table("unit_clear.clear_sales").count() == 2
+    assert again["record"] != made["record"] and spark.read.parquet(made["record"]).count() == 4
