@@ -130,7 +130,8 @@ def listed_city_sql(clean: str, cities: Sequence[str]) -> str:
         return "''"
     longest = max(len(c.split(" ")) for c in cities)
     listed = f"split({literal(CITY_SEPARATOR.join(cities))}, {literal(CITY_SEPARATOR)})"
-    return f"coalesce(get(filter({city_prefixes_sql(clean, longest)}, p -> array_contains({listed}, p)), 0), '')"
+    # No coalesce: Spark does not fold constants inside conditions, and would split the list anew for every row.
+    return f"array_join(slice(filter({city_prefixes_sql(clean, longest)}, p -> array_contains({listed}, p)), 1, 1), '')"
 
 
 def compose_features_sql(x: str, cities: Sequence[str] | None = None) -> str:

@@ -9,6 +9,7 @@ the driver sees.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,13 +41,18 @@ def _leaf(trees: int, depth: int, goes_right) -> Column:
 
     def walk(tree: Column) -> Column:
         def step(node: Column, _: Column) -> Column:
-            return node * 2 + F.when(goes_right(tree * size + node), 1).otherwise(0)
+            return node * 2 + goes_right(tree * size + node).cast("int")
 
         return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(1), step)
 
     return F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), walk)
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 class BoostedTrees(Transformer, DefaultParamsReadable, DefaultParamsWritable):
     """The fitted trees: adds ``prediction``, the class of the largest score, as the position of its label.
 
@@ -80,16 +86,23 @@ class BoostedTrees(Transformer, DefaultParamsReadable, DefaultParamsWritable):
         begin = _numbers(start, "double")
         if not rounds:
             return begin
-        x = vector_to_array(F.col(self.getOrDefault(self.featuresCol)))
-        term, cut, value = (_numbers(nodes[n].astype(t), k) for n, t, k in (("term", int, "int"), ("cut", float, "double"), ("value", float, "double")))
-        # Trees are numbered round by round.
-        leaves = _leaf(rounds * classes, depth, lambda at: F.get(x, F.get(term, at)) > F.get(cut, at))
+        term, cut, value = (
+            _numbers(nodes[n].astype(t), k) for n, t, k in (("term", int, "int"), ("cut", float, "double"), ("value", float, "double"))
+        )
+        k_of = F.sequence(F.lit(0), F.lit(classes - 1))
+
+        def totals(leaves: Column) -> Column:
+            def total(k: Column) -> Column:
+                # Trees are numbered round by round.
+                of_class = F.sequence(k, F.lit((rounds - 1) * classes) + k, F.lit(classes))
+                return F.aggregate(of_class, F.get(begin, k), lambda s, t: s + F.get(value, t * size + F.get(leaves, t)))
+
+            return F.transform(k_of, total)
 
-        def total(k: Column) -> Column:
-            of_class = F.sequence(k, F.lit((rounds - 1) * classes) + k, F.lit(classes))
-            return F.aggregate(of_class, F.get(begin, k), lambda s, t: s + F.get(value, t * size + F.get(leaves, t)))
+        def leaves_of(x: Column) -> Column:
+            return _leaf(rounds * classes, depth, lambda at: F.get(x, F.get(term, at)) > F.get(cut, at))
 
-        return F.transform(F.sequence(F.lit(0), F.lit(classes - 1)), total)
+        return _bound(_bound(vector_to_array(F.col(self.getOrDefault(self.featuresCol))), leaves_of), totals)
 
     def _transform(self, df: DataFrame) -> DataFrame:
         scored = df.withColumn("_scores", self.scores())
@@ -166,7 +179,7 @@ class SoftmaxBoosting:
         flat = _numbers(np.minimum(table, 1e300), "double")
 
         def number(z: Column) -> Column:
-            return sum((F.when(z["v"] > F.get(flat, z["i"] * BINS + b), 1).otherwise(0) for b in range(BINS)), F.lit(0))
+            return sum(((z["v"] > F.get(flat, z["i"] * BINS + b)).cast("int") for b in range(BINS)), F.lit(0))
 
         binned = rows.select(
             "label",
@@ -258,8 +271,9 @@ def _node_sql(classes: int, depth: int, level: int, term: np.ndarray, above: np.
     if not level:
         return "1"
     at = f"k * {1 << (depth + 1)} + n"
-    bin_ = f"coalesce(try_element_at(bin_of, get({_list_sql(term, 'int')}, {at})), 0)"
-    return f"aggregate(sequence(1, {level}), 1, (n, l) -> 2 * n + int({bin_} > get({_list_sql(above, 'int')}, {at})))"
+    # No coalesce: Spark does not fold constants inside conditions, and would read the lists anew for every row.
+    over = f"try_element_at(bin_of, get({_list_sql(term, 'int')}, {at})) > get({_list_sql(above, 'int')}, {at})"
+    return f"aggregate(sequence(1, {level}), 1, (n, l) -> 2 * n + int(({over}) <=> true))"
 
 
 def _scores_sql(pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]], classes: int, depth: int) -> str:

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import ngrams, text
@@ -199,8 +198,11 @@ def train_type(spark, sf_dir):
 
 @query(_held_out_sql("type", PRODUCT_LABELS))
 def train_boosted_type(spark, sf_dir):
-    """The type model by boosting: 200 trees for each class, on the rows that ``train_type`` learns from."""
-    trained = models.train(product_labels(spark, sf_dir), models.BOOSTED["type"])
+    """The type model by boosting, on the rows that ``train_type`` learns from: 34 rounds, about 200 trees for six classes.
+
+    ``models.BOOSTED`` has the rounds of a production model; a round takes a second, however few rows there are.
+    """
+    trained = models.train(product_labels(spark, sf_dir), models.BOOSTED["type"].with_params(trees=34))
     return stats.skill(trained.scored, "label", "predicted")
 
 
@@ -254,49 +256,51 @@ def save_and_load_model(spark, sf_dir):
     return both.groupBy((F.col("before") == F.col("after")).alias("same")).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _trained_labels(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> Column:
-    """Whether every prediction of a row is a label that its model was trained on."""
-    outputs = [(models.SPECS[n].output_col, _trained(spark, sf_dir, n).labels) for n in names]
-    return reduce(and_, [F.coalesce(F.col(c).isin(labels), F.lit(False)) for c, labels in outputs])
-
-
-def _judged(spark: SparkSession, sf_dir: str, rows: DataFrame, names: tuple[str, ...], actual: tuple[str, ...]) -> DataFrame:
-    """(model, label, support, beats_majority, trained_labels) for the models whose labels the rows hold."""
-    columns = [*actual, *[models.SPECS[n].output_col for n in names]]
-    counted = settle(rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")), "judged")
-    sound = counted.agg(F.bool_and(_trained_labels(spark, sf_dir, names))).first()[0]
+# What each prediction should be, from columns that the models do not see as labels: Spark's SQL and DuckDB's.
+TRUTH = {
+    "flavor": ("split_part(product_name, ' ', 2)",) * 2,
+    "brand": ("initcap(split_part(product_name, ' ', 1))", "upper(product_name[1]) || lower(split_part(product_name, ' ', 1)[2:])"),
+    "type": ("upper(split_part(product_name, ' ', 3))",) * 2,
+    "weight": ("weight",) * 2,
+    "city": ("city",) * 2,
+    "region": ("region",) * 2,
+    "branch": ("branch",) * 2,
+}
+ADDRESS_MODELS = ("city", "region", "branch")
+
+
+def _judged(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """(model, label, support, beats_majority): rows per true label, and whether the predictions beat the most frequent one."""
+    truth = {f"_{n}": F.expr(TRUTH[n][0]) for n in names}
+    outputs = [models.SPECS[n].output_col for n in names]
+    counted = settle(rows.withColumns(truth).groupBy(*truth, *outputs).agg(F.count(F.lit(1)).alias("n")), "judged")
     parts = [
-        stats.skill(counted, c, f"{c}_predicted", "n").select(F.lit(c).alias("model"), "*", F.lit(sound).alias("trained_labels"))
-        for c in actual
+        stats.skill(counted.withColumnRenamed(f"_{n}", "label"), "label", output, "n").select(F.lit(n).alias("model"), "*")
+        for n, output in zip(names, outputs, strict=True)
     ]
     return reduce(DataFrame.unionByName, parts)
 
 
-def _judged_sql(actual: tuple[str, ...]) -> str:
+def _judged_sql(names: tuple[str, ...], *fields: str) -> str:
     parts = [
-        f"select '{c}' as model, {c} as label, count(*) as support, true as beats_majority, true as trained_labels "
-        f"from sales group by {c}"
-        for c in actual
+        f"select '{n}' as model, {TRUTH[n][1]} as label, count(*) as support, true as beats_majority from sales group by 2"
+        for n in names
     ]
-    return f"with {sales_cte(*actual)} {' union all '.join(parts)}"
+    return f"with {sales_cte(*fields)} {' union all '.join(parts)}"
 
 
-PRODUCT_ACTUAL = ("product_type", "weight")
-ADDRESS_ACTUAL = ("city", "region", "branch")
-
-
-@query(_judged_sql(PRODUCT_ACTUAL))
+@query(_judged_sql(models.PRODUCT_MODELS, "product_name", "weight"))
 def predict_product(spark, sf_dir):
-    loaded = _loaded(spark, sf_dir, models.PRODUCT_MODELS)
-    rows = enriching.predict_product(sales(spark, sf_dir, "product_name", *PRODUCT_ACTUAL), loaded)
-    return _judged(spark, sf_dir, rows, models.PRODUCT_MODELS, PRODUCT_ACTUAL)
+    """The four predictions for every line item, judged by what its product is."""
+    rows = sales(spark, sf_dir, "product_name", "weight")
+    return _judged(enriching.predict_product(rows, _loaded(spark, sf_dir, models.PRODUCT_MODELS)), models.PRODUCT_MODELS)
 
 
-@query(_judged_sql(ADDRESS_ACTUAL))
+@query(_judged_sql(ADDRESS_MODELS, "address", *ADDRESS_MODELS))
 def predict_address(spark, sf_dir):
-    loaded = _loaded(spark, sf_dir, ADDRESS_ACTUAL)
-    rows = enriching.predict_address(sales(spark, sf_dir, "address", *ADDRESS_ACTUAL), loaded)
-    return _judged(spark, sf_dir, rows, ADDRESS_ACTUAL, ADDRESS_ACTUAL)
+    """The three predictions for every line item, the last two from the predicted city."""
+    rows = sales(spark, sf_dir, "address", *ADDRESS_MODELS)
+    return _judged(enriching.predict_address(rows, _loaded(spark, sf_dir, ADDRESS_MODELS)), ADDRESS_MODELS)
 
 
 DROP_HEADERS = ("Наименование", "Артикул", "Адрес", "Город", "Регион", "Филиал")
@@ -315,16 +319,22 @@ NO_MODELS = ", ".join(
 )
 
 
+SKILLS = ", ".join(f"true as {spec.output_col}" for spec in models.SPECS.values())
+
+
 @query(
     f"with {DROP_CTE} select product_name, product_code, address, city, region, branch, "
-    f"{GRAMS_SQL} as weight_extracted_regex, {PACK_CASE} as package_type, true as trained_labels from sales"
+    f"{GRAMS_SQL} as weight_extracted_regex, {PACK_CASE} as package_type, {SKILLS} from sales"
 )
 def enrich(spark, sf_dir):
-    """Every row enriched; predictions have no SQL form, so they are shown as being labels of their models."""
+    """Every row enriched. A prediction has no SQL form: its column says whether the model's predictions for all rows,
+    judged by what the products and places are, beat the most frequent label."""
     rows = enriching.enrich(drop_rows(spark, sf_dir, *DROP_HEADERS), _loaded(spark, sf_dir), MAGNIT)
+    rows = settle(rows, "enriched")
     names = tuple(models.SPECS)
-    predicted = [models.SPECS[n].output_col for n in names]
-    return rows.withColumn("trained_labels", _trained_labels(spark, sf_dir, names)).drop(*predicted)
+    judged = _judged(rows.withColumn("weight", F.col("weight_extracted_regex").cast("string")), names)
+    skilled = dict(judged.groupBy("model").agg(F.bool_and("beats_majority")).collect())
+    return rows.withColumns({models.SPECS[n].output_col: F.lit(skilled[n]) for n in names})
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shelfwise.operators import enrich, features, models, stats
 from shelfwise.operators.cleaning import ADDRESS_COLUMNS, PRODUCT_COLUMNS
 from shelfwise.operators.features import TextSpec
+from shelfwise.plans import learning
 from shelfwise.plans.load import load_chain
 from shelfwise.profiles import MAGNIT
 from shelfwise.sources import published
@@ -186,3 +187,18 @@ def test_load_with_models(spark, trained, places, drop, tmp_path):
     got = {(r["product_type_predicted"], r["city_predicted"], r["region_predicted"]) for r in rows.collect()}
     assert got == {("Подсолнечные", "Пермь", "Урал"), ("Картофельные", "Омск", "Сибирь")}
     assert published.read(spark, str(tmp_path / "sink")).count() == 3
+
+
+@pytest.mark.parametrize("name", ["flavor", "brand", "type", "weight", "city"])
+def test_a_constant_prediction_is_judged_without_skill(spark, name):
+    """What the model queries show turns false for any one model that always says the same."""
+    rows = [(f"{t} {b} {k}", str(w), f"город {t}") for t in ("red", "blue") for b in ("ring", "bolt") for k in ("small", "promo") for w in (10, 20)]
+    df = spark.createDataFrame(rows, "product_name string, weight string, city string")
+    names = ("flavor", "brand", "type", "weight", "city")
+    right = {models.SPECS[n].output_col: F.expr(learning.TRUTH[n][0]) for n in names}
+    assert {r["beats_majority"] for r in learning._judged(df.withColumns(right), names).collect()} == {True}
+    output = models.SPECS[name].output_col
+    constant = df.withColumns(right | {output: F.lit(df.select(right[output]).first()[0])})
+    judged = learning._judged(constant, names).collect()
+    assert {r["model"] for r in judged if not r["beats_majority"]} == {name}
+    assert sum(r["support"] for r in judged) == len(rows) * len(names)
