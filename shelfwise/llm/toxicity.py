@@ -16,14 +16,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.session import settle
+
 WORD = re.compile(r"\w+")
 SENTENCE = re.compile(r"(?<=[.!?\n])\s+")
 BITS = 18
 PREFIXES = (4, 5)
 SAMPLE = 3000  # labelled documents of each label that the model is fitted on, at most
+COUNTED = 50_000  # labelled documents of each label that features are counted over, at most
 STEPS = 300
 RATE = 0.1
 PENALTY = 1e-4
+SURE, LEAST_RATE = 5.0, 0.01
 
 
 class _Features(dict):
@@ -59,7 +63,9 @@ def fit(labelled: list[tuple[str | None, int]]) -> np.ndarray:
     seen = np.zeros((2, 2**BITS))
     for column, _, mark in coded:
         seen[mark, np.unique(column)] += 1
-    return fit_encoded(coded, more_toxic(seen, np.bincount([m for _, _, m in coded], minlength=2)))
+    docs = np.bincount([m for _, _, m in coded], minlength=2)
+    kept = more_toxic(seen, docs)
+    return fit_encoded(coded, kept, reliance(seen, docs, kept))
 
 
 def more_toxic(seen: np.ndarray, docs: np.ndarray) -> np.ndarray:
@@ -71,11 +77,24 @@ def more_toxic(seen: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return np.flatnonzero(share[1] > share[0])
 
 
-def fit_encoded(coded: list[tuple[np.ndarray, np.ndarray, int]], kept: np.ndarray) -> np.ndarray:
+def reliance(seen: np.ndarray, docs: np.ndarray, kept: np.ndarray) -> np.ndarray:
+    """How fast the weights of the features ``kept`` may grow: their smoothed log-odds in standard errors, squared.
+
+    A word seen in one toxic document says little, one seen in many of them and in few clean ones a lot. Nothing is
+    cut: every feature has a rate above 0.
+    """
+    toxic, clean = seen[1, kept] + 0.5, seen[0, kept] + 0.5
+    odds = np.log(toxic / (docs[1] + 1)) - np.log(clean / (docs[0] + 1))
+    return np.minimum((np.maximum(odds, 0.0) / np.sqrt(1 / toxic + 1 / clean) / SURE) ** 2, 1.0) + LEAST_RATE
+
+
+def fit_encoded(coded: list[tuple[np.ndarray, np.ndarray, int]], kept: np.ndarray, rate: np.ndarray | None = None) -> np.ndarray:
     """The weights, last the bias, by gradient ascent (Adam) on the documents' noisy-or likelihood.
 
-    ``coded`` has each document's ``_encode`` and label; only the features ``kept`` can make a sentence offend.
+    ``coded`` has each document's ``_encode`` and label; only the features ``kept`` can make a sentence offend, and
+    their weights are ``rate`` times what is learned for them.
     """
+    rate = np.ones(len(kept)) if rate is None else rate
     weights = np.zeros(2**BITS + 1)
     if not coded:
         weights[-1] = -3.0
@@ -94,27 +113,28 @@ def fit_encoded(coded: list[tuple[np.ndarray, np.ndarray, int]], kept: np.ndarra
     theta[-1] = -3.0
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
-        z = theta[-1] + np.bincount(of_instance, theta[column], instances)
+        z = theta[-1] + np.bincount(of_instance, (rate * theta[:-1])[column], instances)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         # log(1 - p) summed over a document is the log-probability that nothing offends.
         clean = np.bincount(of_doc, np.log1p(-np.minimum(p, 1 - 1e-12)), len(label))
         toxic = -np.expm1(clean)
         pull = np.where(label == 1, np.exp(clean) / np.maximum(toxic, 1e-9), -1.0) * balance
         dz = pull[of_doc] * p
-        slope = np.append(np.bincount(column, dz[of_instance], len(kept)), dz.sum()) / len(label)
+        slope = np.append(rate * np.bincount(column, dz[of_instance], len(kept)), dz.sum()) / len(label)
         slope[:-1] -= PENALTY * theta[:-1]
         first = 0.9 * first + 0.1 * slope
         second = 0.999 * second + 0.001 * slope**2
         theta += RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
-    weights[kept] = theta[:-1]
+    weights[kept] = rate * theta[:-1]
     weights[-1] = theta[-1]
     return weights
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarray:
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, counted: int = COUNTED) -> np.ndarray:
     """Fit on at most ``sample`` documents of each label, those with the smallest hashes of their ids.
 
-    Which features can mark toxic documents is counted over all labelled rows.
+    Which features can mark toxic documents is counted over at most ``counted`` documents of each label, chosen
+    alike. The ids are chosen on the labels' side and broadcast: the documents are scanned, no text is shuffled.
 
     Rows whose crc32(doc_id as text) mod 5 is 0 are held out and never seen. Ids with both labels, or with
     more than one text, count once per pair. Null labels and ids are left out.
@@ -123,14 +143,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
     marks = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).filter(
         F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & (F.crc32(name) % 5 != 0)
     )
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+
+    def smallest(n: int) -> DataFrame:
+        parts = [marks.filter(F.col("toxic") == mark).distinct().orderBy(*order).limit(n) for mark in (0, 1)]
+        # At most 2 * n ids.
+        return settle(parts[0].unionByName(parts[1]), "chosen-ids")
+
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seen, numbers = _document_counts(texts.join(marks.distinct(), "doc_id"))
+    seen, numbers = _document_counts(texts.join(F.broadcast(smallest(counted)), "doc_id"))
     kept = more_toxic(seen, numbers)
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = None
-    for mark in (0, 1):
-        part = marks.filter(F.col("toxic") == mark).distinct().orderBy(*order).limit(sample)
-        chosen = part if chosen is None else chosen.unionByName(part)
+    chosen = smallest(sample)
     # At most 2 * sample ids: a bounded broadcast, and as many arrays for the driver.
     shared = docs.sparkSession.sparkContext.broadcast(kept.astype(np.int32))
 
@@ -145,13 +168,16 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> np.ndarra
                 of = np.repeat(np.arange(len(n)), n)[good]
                 columns.append(column[good].astype(np.int32).tobytes())
                 counts.append(np.bincount(of, minlength=len(n)).astype(np.int32).tobytes())
-            yield pa.record_batch([pa.array(columns, pa.binary()), pa.array(counts, pa.binary()), batch["toxic"]], ["columns", "counts", "toxic"])
+            arrays = [batch["doc_id"], pa.array(columns, pa.binary()), pa.array(counts, pa.binary()), batch["toxic"]]
+            yield pa.record_batch(arrays, ["doc_id", "columns", "counts", "toxic"])
 
-    rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "toxic", F.xxhash64("text")).limit(2 * sample)
-    table = rows.select("text", "toxic").mapInArrow(encode, "columns binary, counts binary, toxic int").toArrow()
+    # Rows are encoded where they are read; one id may have many texts, so as many rows as ids are taken.
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
+    coded = rows.mapInArrow(encode, "doc_id long, columns binary, counts binary, toxic int")
+    table = coded.orderBy("doc_id", "toxic", F.xxhash64("columns", "counts")).limit(2 * sample).drop("doc_id").toArrow()
     columns = (np.frombuffer(c.as_py(), np.int32) for c in table["columns"])
     counts = (np.frombuffer(c.as_py(), np.int32) for c in table["counts"])
-    return fit_encoded(list(zip(columns, counts, table["toxic"].to_pylist(), strict=True)), kept)
+    return fit_encoded(list(zip(columns, counts, table["toxic"].to_pylist(), strict=True)), kept, reliance(seen, numbers, kept))
 
 
 def _document_counts(labelled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
