@@ -29,6 +29,7 @@ WIDTH = 64
 RUNS = 20
 LEAF = 32
 DEPTH = 4
+DENSE = 0.75  # of the members above: a node that keeps as many is a leaf, whatever its size
 BLOCK = 512
 CHUNK = 1 << 20
 #: Pairs with fewer equal minimum hashes are not compared: five standard deviations below 0.8.
@@ -127,14 +128,18 @@ def _leaves(reps: DataFrame) -> DataFrame:
         chance = np.random.default_rng([20, run]).random(WIDTH)
         roots += [(run, i) for i in np.flatnonzero(chance < max(rate, chance.min() + 1e-12)).tolist()]
     split = F.explode(F.array(*[F.xxhash64(F.lit(run), F.lit(i), F.col("sig")[i]) for run, i in roots]))
-    rows = settle(reps.select("sid", split.alias("key")), "paths")
+    rows = settle(reps.select("sid", split.alias("key"), F.lit(None).cast("long").alias("above")), "paths")
     leaves = None
     for depth in range(1, DEPTH + 1):
-        sizes = settle(rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "path-sizes")
-        end = sizes if depth == DEPTH else sizes.filter(F.col("m") <= LEAF)
-        found = rows.join(end, "key")
+        counts = rows.groupBy("key").agg(F.count("*").alias("m"), F.first("above").alias("above")).filter("m > 1")
+        # A node that kept nearly all members of the one above holds near copies: splitting it again would only
+        # repeat them.
+        dense = F.coalesce(F.col("m") >= DENSE * F.col("above"), F.lit(False))
+        ends = F.lit(depth == DEPTH) | (F.col("m") <= LEAF) | dense
+        sizes = settle(counts.select("key", "m", ends.alias("ends")), "path-sizes")
+        found = rows.select("key", "sid").join(sizes.filter("ends").select("key", "m"), "key")
         leaves = found if leaves is None else leaves.unionByName(found)
-        large = sizes.filter(F.col("m") > LEAF).select("key")
+        large = sizes.filter("not ends").select("key", F.col("m").alias("above"))
         if depth == DEPTH or large.isEmpty():
             break
         chosen = F.filter(
@@ -142,7 +147,8 @@ def _leaves(reps: DataFrame) -> DataFrame:
             lambda i: F.shiftrightunsigned(F.xxhash64("key", i), 11) / F.lit(float(2**53)) < rate,
         )
         child = F.explode(F.transform(chosen, lambda i: F.xxhash64("key", i, F.element_at("sig", i + 1))))
-        rows = settle(rows.join(large, "key").join(reps.select("sid", "sig"), "sid").select("sid", child.alias("key")), "paths")
+        members = rows.select("key", "sid").join(large, "key").join(reps.select("sid", "sig"), "sid")
+        rows = settle(members.select("sid", child.alias("key"), "above"), "paths")
     return settle(leaves.select("key", "sid", "m"), "leaves")
 
 

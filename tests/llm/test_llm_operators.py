@@ -332,3 +332,47 @@ def test_queries_keep_their_contracts(spark):
     from shelfwise.llm.queries import QUERIES
 
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+def test_join_of_a_group_larger_than_a_block(spark):
+    """Near copies in more than one block, each similar to some of the others only: links and classes by brute force."""
+    from shelfwise.llm import chosen_path
+
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(760):
+        words = list(base)
+        for at in rng.integers(0, 120, int(rng.integers(0, 4))):
+            words[at] = f"x{rng.integers(0, 40)}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, " ".join(f"y{i}z{j}" for j in range(30))) for i in range(40)]
+    assert len({t for _, t in rows}) > chosen_path.BLOCK
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for _, t in rows]
+    links, group = Counter(), list(range(len(rows)))
+
+    def find(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 5 * both >= 4 * (len(sets[i]) + len(sets[j]) - both):
+                links[i] += 1
+                links[j] += 1
+                a, b = sorted((find(i), find(j)))
+                group[b] = a
+    got = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in join_near(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {doc: (rows[find(i)][0], links[i]) for i, (doc, _) in enumerate(rows)}
+
+
+def test_labels_of_held_out_documents_change_no_score(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    own = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    turned = labels.selectExpr("doc_id", "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - toxic, toxic) as toxic")
+    odd = spark.createDataFrame([(None, 1), (3, None), (4, 9)], "doc_id long, toxic int")
+    one, two = (Counter(map(str, toxicity_scores(own, x).collect())) for x in (labels, turned.unionByName(odd)))
+    assert one == two
