@@ -79,8 +79,3 @@ def filter_min_length(df: DataFrame, col: str, more_than: int) -> DataFrame:
 def drop_null_labels(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Drop rows with a null in ``cols``, or in any column."""
     return df.dropna(how="any", subset=cols)
-
-
-def clean_rows(df: DataFrame) -> DataFrame:
-    """Missing-value tokens, empty rows and unnamed columns, in that order."""
-    return drop_unnamed_columns(drop_all_null_rows(normalize_null_tokens(df)))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shelfwise.functions.text import quoted
 from shelfwise.operators.joins import lookup_join
 from shelfwise.session import settle
 
@@ -38,7 +39,7 @@ def mark_smallest_hashes(
     last = F.coalesce(position == F.col("_end"), F.lit(False))
     inside = F.coalesce(F.col("_all") | (position < F.col("_end")), F.lit(False))
     if ends.filter("_take < _n").isEmpty():
-        return placed.withColumn(flag, inside | last).select(*df.columns, flag)
+        return placed.withColumn(flag, inside | last).select(*[F.col(quoted(c)) for c in df.columns], flag)
     # Copies of the last key: whole files first, then rows up to one in the file where the number is reached.
     split = placed.filter(last & (F.col("_take") < F.col("_n")))
     per_file = split.groupBy(*by, "_take", "_file").agg(F.count(F.lit(1)).alias("_here"))
@@ -56,7 +57,7 @@ def mark_smallest_hashes(
     marked = lookup_join(placed, limits, [*by, "_file"])
     whole = F.col("_take") >= F.col("_n")
     of_last = last & (whole | F.coalesce(F.col("_row") <= F.col("_until"), F.lit(False)))
-    return marked.withColumn(flag, inside | of_last).select(*df.columns, flag)
+    return marked.withColumn(flag, inside | of_last).select(*[F.col(quoted(c)) for c in df.columns], flag)
 
 
 def _quota_ends(copies: DataFrame, by: list[str], order: list[str], quota: Column) -> DataFrame:

@@ -325,9 +325,9 @@ def _placed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 @query(
-    f"with {LISTED_CTE}, c as (select address, concat(clean, ' natasha:', {FOUND_SQL}) as full_features, clean from "
+    f"with {LISTED_CTE}, c as (select address, concat(clean, '{text.CITY_FEATURE_MARK}', {FOUND_SQL}) as full_features, clean from "
     f"(select address, {_normalized_sql('address')} as clean from ({PLACED}))) "
-    "select c.address, full_features, concat(clean, ' natasha:', coalesce(found, '')) as listed_features "
+    f"select c.address, full_features, concat(clean, '{text.CITY_FEATURE_MARK}', coalesce(found, '')) as listed_features "
     "from c left join f on c.address = f.address"
 )
 def compose_features(spark, sf_dir):

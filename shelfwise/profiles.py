@@ -9,6 +9,8 @@ SUPPLIER = ("поставщика", "поставщик")
 NAME = ("наименование", "товар")
 CODE = ("код товара", "артикул", "код")
 BRANCH = ("филиал", "отделение")
+ADDRESS, CITY, REGION = ("адрес",), ("город",), ("регион",)
+LATIN_NAME = ("product",)
 
 
 @dataclass(frozen=True)
@@ -44,9 +46,9 @@ class ChainProfile:
 
 def _place_rules(region_none_of: tuple[str, ...] = ()) -> tuple[HeaderRule, ...]:
     return (
-        HeaderRule("address", ("адрес",)),
-        HeaderRule("city", ("город",)),
-        HeaderRule("region", ("регион",), none_of=region_none_of),
+        HeaderRule("address", ADDRESS),
+        HeaderRule("city", CITY),
+        HeaderRule("region", REGION, none_of=region_none_of),
         HeaderRule("branch", BRANCH),
     )
 
@@ -57,7 +59,7 @@ def _usual_rules(supplier: HeaderRule, names: tuple[str, ...] = NAME) -> tuple[H
         HeaderRule("product_name", names),
         HeaderRule("product_code", CODE),
         *_place_rules(),
-        HeaderRule("product_name", ("product",)),
+        HeaderRule("product_name", LATIN_NAME),
     )
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,11 +11,15 @@ from shelfwise.functions.text import literal, quoted
 from shelfwise.operators.cleaning import cast_all_to_string, truncate_strings
 from shelfwise.operators.headers import dedupe_names, export_header
 from shelfwise.operators.joins import semi_join
+from shelfwise.operators.sampling import mark_smallest_hashes
 from shelfwise.sources.files import CSV_OPTIONS
 
 # Column width and insert batch of a database sink.
 SINK_COLUMN_TYPE = "NVARCHAR(255)"
 INSERT_BATCH = 1000
+# End of fixed values.
+
+EXPORT_SEED = 42
 
 
 def table_id(chain: str, table: str) -> str:
@@ -150,16 +153,18 @@ def sheet_suffix(col: str):
 def export_csv(df: DataFrame, path: str, max_rows: int | None = None, sheet: str | None = None) -> None:
     """Text files with cleaned headers, every cell quoted; ``sheet`` makes one folder per value.
 
-    ``max_rows`` caps the export, as a whole or per sheet.
+    ``max_rows`` caps the export, as a whole or per sheet, to the same rows each time: those whose cells have the
+    smallest hashes. All sheets are capped together, and none is sorted.
     """
     names = dedupe_names([c if c == sheet else export_header(c) for c in df.columns])
     out = cast_all_to_string(df).toDF(*names)
     if sheet is not None:
         out = out.withColumn(sheet, sheet_suffix(sheet))
     if max_rows is not None:
-        # A workbook has few sheets; each one is capped by a limit of its own.
-        sheets = [r[0] for r in out.select(sheet).distinct().collect()] if sheet else []
-        parts = [out.filter(F.col(quoted(sheet)).eqNullSafe(F.lit(s))).limit(max_rows) for s in sheets]
-        out = reduce(DataFrame.unionByName, parts) if parts else out.limit(max_rows)
+        cells = F.to_json(F.struct(*[F.col(quoted(c)) for c in names]))
+        group = F.lit("") if sheet is None else F.to_json(F.struct(F.col(quoted(sheet))))
+        keyed = out.withColumns({"_cells": cells, "_group": group})
+        marked = mark_smallest_hashes(keyed, ["_group"], ["_cells"], F.lit(max_rows).cast("bigint"), EXPORT_SEED, "_taken")
+        out = marked.filter("_taken").select(*[F.col(quoted(c)) for c in names])
     writer = out.write.mode("overwrite").options(**CSV_OPTIONS).options(header=True, quoteAll=True)
     (writer.partitionBy(sheet) if sheet else writer).csv(path)

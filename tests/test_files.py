@@ -78,6 +78,16 @@ def test_export_caps_each_sheet(spark, tmp_path):
     assert {(r["sheet"], r["count"]) for r in back.groupBy("sheet").count().collect()} == {("s_0", 4), ("s_1", 4), ("s_2", 4)}
 
 
+def test_export_is_capped_to_the_same_rows(spark, tmp_path):
+    df = spark.range(30).selectExpr("id as `a.b`", "if(id < 20, null, 'x') as sheet")
+    for name, parts in (("one", 2), ("two", 5)):
+        sinks.export_csv(df.repartition(parts), str(tmp_path / name), max_rows=6, sheet="sheet")
+    one, two = (_rows(spark.read.options(**files.CSV_OPTIONS).option("header", True).csv(str(tmp_path / n))) for n in ("one", "two"))
+    assert one == two and len(one) == 12
+    sinks.export_csv(df, str(tmp_path / "all"), max_rows=7)
+    assert spark.read.options(**files.CSV_OPTIONS).option("header", True).csv(str(tmp_path / "all")).count() == 7
+
+
 def test_append_keeps_copies_and_repeats_nothing(spark, tmp_path):
     df = spark.createDataFrame([("f", "a"), ("f", "a"), ("g", "b")], "file string, v string")
     sinks.write_replace(df.limit(1), "unit", "appended", str(tmp_path / "t"))
@@ -88,6 +98,19 @@ def test_append_keeps_copies_and_repeats_nothing(spark, tmp_path):
     assert spark.table("unit.appended").count() == 4
 
 
+def test_options_of_a_database_writer(spark, monkeypatch):
+    """Without a connection: what the writer would be given."""
+    given = {}
+    kind = type(spark.range(1).write)
+    monkeypatch.setattr(kind, "options", lambda self, **options: given.update(options) or self)
+    monkeypatch.setattr(kind, "format", lambda self, name: given.update(format=name) or self)
+    sinks.jdbc_writer(spark.range(1).selectExpr("id as `a``b`", "id as c"), "jdbc:x://h/db", "s.t", user="u", batchsize="7")
+    assert given == {
+        "format": "jdbc", "url": "jdbc:x://h/db", "dbtable": "s.t", "batchsize": "7", "truncate": "true", "user": "u",
+        "createTableColumnTypes": "`a``b` NVARCHAR(255), `c` NVARCHAR(255)",
+    }
+
+
 def test_sink_text_is_cut(spark):
     df = spark.createDataFrame([("x" * 300, 1, None)], "a string, b int, c string")
     assert tuple(sinks.sink_text(df).first()) == ("x" * 250, "1", None)
