@@ -1,4 +1,4 @@
-"""Exact top-k search by the no-random-access method over sorted lists, in blocks of queries and candidates."""
+"""Exact top-k search by no-random-access aggregation over sorted lists, in blocks of queries and candidates."""
 
 from __future__ import annotations
 
@@ -11,54 +11,92 @@ from pyspark.sql import functions as F
 
 from shelfwise.session import settle
 
-SAFE = 2.0**52  # up to here float64 sums of whole numbers are exact
+SAFE = 2.0**50  # up to here float64 sums of whole numbers, and of their gaps, are exact
+STEPS = 4  # parts in which a list is read
+RESOLVED = 16  # times k: as many candidates are resolved without reading on
+
+
+class SortedLists:
+    """A cell's items as one ascending list a component: ``order`` names the items, ``values`` what they hold there."""
+
+    def __init__(self, items: np.ndarray) -> None:
+        self.items = items
+        self.order = np.argsort(items, axis=0, kind="stable").T.copy()
+        self.values = np.take_along_axis(items.T, self.order, axis=1)
+        self.place = np.empty(items.shape, np.int32)
+        np.put_along_axis(self.place, self.order.T, np.arange(len(items), dtype=np.int32)[:, None], axis=0)
+
+    def top(self, weights: np.ndarray, k: int, own: int, tie: np.ndarray) -> tuple[np.ndarray, int]:
+        """The positions of the k best inner products with ``weights``, best first, and how many entries were read.
+
+        Lists of positive weight are read from the high end, of negative weight from the low end, a part at a time, always
+        the one whose unread rest leaves the widest gap between what it can add at most and at least. An item's lower bound
+        is what was read of it, and the far ends of the other lists; its upper bound exceeds that by the gaps of the
+        lists in which it was not read. Items never met have one common upper bound: once it is below the k-th best
+        lower bound, only items met so far stay, and each whose upper bound falls below goes for good. When few are
+        left, or nothing is unread, their scores are resolved. ``own`` is the query's own position or -1, ``tie``
+        orders items of equal score.
+        """
+        n = len(self.items)
+        high = weights > 0
+        far = np.where(high, self.values[:, 0], self.values[:, -1])
+        gap = weights * (np.where(high, self.values[:, -1], self.values[:, 0]) - far)
+        least = (weights * far).sum()
+        lower = np.full(n, least, self.items.dtype)
+        depth = np.zeros(len(weights), np.int64)
+        met, alive, all_met = np.zeros(n, bool), np.ones(n, bool), False
+        if own >= 0:
+            alive[own] = False
+        part, read, closed, unread = -(-n // STEPS), 0, False, gap.sum()
+        while unread > 0:
+            goal = unread - unread // 6
+            while unread > 0 and unread >= goal:
+                j = int(gap.argmax())
+                begin = int(depth[j])
+                end = min(n, begin + part)
+                span = slice(n - end, n - begin) if high[j] else slice(begin, end)
+                entries, values = self.order[j, span], self.values[j, span]
+                lower[entries] += weights[j] * (values - far[j])
+                if not all_met:
+                    met[entries] = True
+                depth[j], read = end, read + end - begin
+                all_met = all_met or end == n
+                rest = weights[j] * ((values[0] if high[j] else values[-1]) - far[j]) if end < n else 0
+                unread += rest - gap[j]
+                gap[j] = rest
+            candidates = np.flatnonzero(alive & met)
+            if len(candidates) < k:
+                continue
+            low = lower[candidates]
+            reached = np.partition(low, len(low) - k)[len(low) - k]
+            if not closed and least + unread < reached:
+                closed = True
+                alive &= met
+            if closed:
+                place = self.place[candidates]
+                first, last = np.where(high, n - depth, 0), np.where(high, n, depth)
+                seen = (place >= first.astype(np.int32)) & (place < last.astype(np.int32))
+                alive[candidates[low + (unread - seen @ gap) < reached]] = False
+                if np.count_nonzero(alive) <= RESOLVED * k:
+                    break
+        candidates = np.flatnonzero(alive)
+        scores = self.items[candidates] @ weights
+        if len(scores) > k:
+            some = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            candidates, scores = candidates[some], scores[some]
+        best = sorted(range(len(candidates)), key=lambda i: (-scores[i], tie[candidates[i]]))[:k]
+        return candidates[best], read
 
 
-def _exact_scores(queries: np.ndarray, items: np.ndarray) -> np.ndarray:
-    """Inner products where float64 could round: whole Python numbers, kept inside the range of a long."""
-    scores = queries.astype(object) @ items.astype(object).T
-    return np.clip(scores, -(2**63), 2**63 - 1)
+def nra_top(queries: np.ndarray, items: np.ndarray, k: int, skip: np.ndarray, tie: np.ndarray) -> list[np.ndarray]:
+    """For each query, positions in ``items`` of its k best inner products, by sequential reads of sorted lists."""
+    lists = SortedLists(items)
+    return [lists.top(query, k, int(own), tie)[0] for query, own in zip(queries, skip, strict=True)]
 
 
-def nra_top(queries: np.ndarray, items: np.ndarray, k: int, skip: np.ndarray, tie: np.ndarray) -> list[np.ndarray]:
-    """For each query, positions in ``items`` that hold its k best inner products, ties included.
-
-    Each component is a list of the items sorted by that component, read from the high end for queries with
-    a positive weight and from the low end for negative ones. After reading ``depth`` entries of every list,
-    an item's unread components are bounded by the value last read (upper bound) and by the list's far end
-    (lower bound). A query stops as soon as few items' upper bounds reach the k-th best lower bound:
-    no other item, seen or not, can qualify, and only these items' scores are resolved. ``skip[q]`` is the
-    query's own position or -1; ``tie`` orders items of equal score.
-    """
-    n = len(items)
-    found: list[np.ndarray] = [np.empty(0, np.int64)] * len(queries)
-    ascending = np.sort(items, axis=0)
-    low_end, high_end = ascending[0], ascending[-1]
-    positive, negative = np.maximum(queries, 0.0), np.minimum(queries, 0.0)
-    active = np.arange(len(queries))
-    depth = max(1, min(n, n // 4 + k))
-    while len(active):
-        top, bottom = ascending[n - depth], ascending[depth - 1]  # the values last read
-        seen_top, seen_bottom = items >= top, items <= bottom
-        weights = np.concatenate([positive[active], negative[active]], axis=1)
-        upper = weights @ np.concatenate([np.maximum(items, top), np.minimum(items, bottom)], axis=1).T
-        known = [np.where(seen_top, items, low_end), np.where(seen_bottom, items, high_end)]
-        lower = upper if depth == n else weights @ np.concatenate(known, axis=1).T
-        own = skip[active]
-        rows = np.flatnonzero(own >= 0)
-        upper[rows, own[rows]] = -np.inf
-        lower[rows, own[rows]] = -np.inf
-        kth = min(k, n) - 1
-        reached = -np.partition(-lower, kth, axis=1)[:, kth]
-        open_ = upper >= reached[:, None]
-        done = (open_.sum(axis=1) <= 16 * k) | (depth == n)
-        for row in np.flatnonzero(done):
-            q, candidates = active[row], np.flatnonzero(open_[row] & np.isfinite(upper[row]))
-            scores = items[candidates] @ queries[q]
-            found[q] = candidates[np.lexsort((tie[candidates], -scores))[:k]]
-        active = active[~done]
-        depth = min(n, 2 * depth)
-    return found
+def _longs(scores: np.ndarray) -> np.ndarray:
+    """Scores as longs; those beyond the range are held at its ends."""
+    return np.clip(scores, -(2**63), 2**63 - 1).astype(np.int64) if scores.dtype == object else scores.astype(np.int64)
 
 
 def _search_cells(cells: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFrame]:
@@ -81,18 +119,10 @@ def _search_cells(cells: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFram
         tie = np.argsort(np.argsort(items["vec_id"].fillna(np.inf).to_numpy(), kind="stable"), kind="stable")
         place = {row: at for at, row in enumerate(items["row"])}
         skip = np.array([place.get(row, -1) for row in queries["row"]], dtype=np.int64)
-        biggest = max(1.0, np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * width)
-        best: list[tuple[np.ndarray, np.ndarray]] = []
-        if biggest < SAFE:
-            for first in range(0, len(q), 256):
-                part = slice(first, first + 256)
-                for query, at in zip(q[part], nra_top(q[part], x, k, skip[part], tie), strict=True):
-                    best.append((at, (x[at] @ query).astype(np.int64)))
-        else:
-            for query, own in zip(q, skip, strict=True):
-                scores = _exact_scores(query[None, :], x)[0]
-                order = sorted((i for i in range(len(x)) if i != own), key=lambda i: (-scores[i], tie[i]))[:k]
-                best.append((np.array(order, dtype=np.int64), np.array([scores[i] for i in order], dtype=np.int64)))
+        if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * width >= SAFE:
+            # float64 could round: whole Python numbers go through the same lists.
+            q, x = (np.vectorize(int, otypes=[object])(side) for side in (q, x))
+        best = [(at, _longs(x[at] @ query)) for query, at in zip(q, nra_top(q, x, k, skip, tie), strict=True)]
         times = [len(at) for at, _ in best]
         at = np.concatenate([at for at, _ in best])
         yield pd.DataFrame(

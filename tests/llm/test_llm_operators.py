@@ -196,6 +196,43 @@ def test_top_k(spark):
     assert "order by score desc" in topk.COMPARISON
 
 
+@pytest.mark.parametrize("kind", ["normal", "ties", "unlike scales", "beyond float64", "constant", "one item"])
+def test_sorted_lists(kind):
+    rng = np.random.default_rng(4)
+    items = np.floor(256 * rng.normal(size=(1 if kind == "one item" else 300, 8)))
+    if kind == "ties":
+        items = np.floor(items / 200)
+    if kind == "unlike scales":
+        items *= 4.0 ** np.arange(8)
+    if kind == "beyond float64":
+        items = np.vectorize(int, otypes=[object])(items * 2.0**30)
+    if kind == "constant":
+        items[:] = 5
+    tie = rng.permutation(len(items))
+    lists, read = topk.SortedLists(items), 0
+    for turn in range(40):
+        query, own = items[rng.integers(len(items))], int(rng.integers(-1, len(items)))
+        if turn % 4 == 0:
+            query = query * 0
+        got, entries = lists.top(query, 5, own, tie)
+        scores = items @ query
+        assert got.tolist() == sorted((i for i in range(len(items)) if i != own), key=lambda i: (-scores[i], tie[i]))[:5]
+        read += entries
+    if kind == "unlike scales":
+        assert read < 0.5 * 40 * items.size  # lists that cannot decide are left unread
+
+
+def test_top_k_beyond_float64(spark):
+    rows = [(i, [float(2**40 + i), float(-(2**39) + 3 * i)]) for i in range(100)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(256 * x) for x in v] for i, v in rows}
+    want = set()
+    for q in (0, 50):
+        scores = {i: min(2**63 - 1, sum(a * b for a, b in zip(v, whole[q]))) for i, v in whole.items() if i != q}
+        want |= {(q, n + 1, i, scores[i]) for n, i in enumerate(sorted(scores, key=lambda i: (-scores[i], i))[:5])}
+    assert {tuple(r)[::3] for r in top_k(table).collect()} == {r[::3] for r in want}
+
+
 def shingles(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
