@@ -7,7 +7,9 @@ value in each of them. Small nodes are leaves, whose members are compared; large
 of the threshold similarity shares a leaf of one run with a chance of at least 0.6 (0.35 below several splits); the
 runs are repeated until the chance to miss it is below 2e-4 there, and 1e-8 elsewhere. A pair is judged in
 the first leaf that it shares, by the exact sets. Large leaves are cut into blocks, and pairs of blocks are
-separate work; links are counted and never written out as pairs.
+separate work; links are counted and never written out as pairs. Near copies meet in large leaves of every run:
+each set therefore belongs to the bundle of its largest leaf, pairs of one bundle are judged in that leaf alone,
+and the blocks of other leaves that hold one bundle only are not compared with each other.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
@@ -30,6 +32,7 @@ RUNS = 20
 LEAF = 32
 DEPTH = 4
 DENSE = 0.75  # of the members above: a node that keeps as many is a leaf, whatever its size
+BUNDLE = 64  # members at least of a leaf that makes a bundle
 BLOCK = 512
 CHUNK = 1 << 20
 #: Pairs with fewer equal minimum hashes are not compared: five standard deviations below 0.8.
@@ -152,8 +155,29 @@ def _leaves(reps: DataFrame) -> DataFrame:
     return settle(leaves.select("key", "sid", "m"), "leaves")
 
 
+def _bundle() -> Column:
+    """The largest of a set's leaves, if it is large at all."""
+    size = F.struct("m", "key")
+    return F.max_by(F.when(F.col("m") > BUNDLE, F.col("key")), size)
+
+
+def _parts(leaves: DataFrame) -> DataFrame:
+    """The leaves' members with their bundle and how their leaf is cut: ``majors`` blocks of its most frequent bundle
+    (``major`` members, in their ``own`` leaf or not) and ``rests`` blocks of all others. Leaves of one bundle alone
+    have no pair left to judge but their own."""
+    bundles = leaves.filter(F.col("m") > BUNDLE).groupBy("sid").agg(_bundle().alias("bundle"))
+    rows = leaves.join(bundles, "sid", "left")
+    counts = rows.filter((F.col("m") > LEAF) & F.col("bundle").isNotNull()).groupBy("key", "bundle").agg(F.count("*").alias("n"))
+    most = counts.groupBy("key").agg(F.max(F.struct("n", "bundle")).alias("most")).select("key", "most.*").withColumnRenamed("bundle", "top")
+    major = F.coalesce(F.col("bundle") == F.col("top"), F.lit(False))
+    n = F.coalesce("n", F.lit(0))
+    blocks = [F.ceil(c / BLOCK).cast("long").alias(a) for c, a in ((n, "majors"), (F.col("m") - n, "rests"))]
+    cut = rows.join(most, "key", "left").select("sid", "bundle", "key", *blocks, major.alias("major"), (F.col("key") == F.col("top")).alias("own"))
+    return cut.withColumn("own", F.coalesce("own", F.lit(False)))
+
+
 def _rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
-    """The rows of sorted batches: cell, block, sid, copies, keys, and the sig or the set."""
+    """The rows of sorted batches: cell, block, sid, copies, keys, the sig or the set, and the bundle."""
     for batch in batches:
         cells = zip(batch["key"].to_pylist(), batch["lo"].to_pylist(), batch["hi"].to_pylist(), strict=True)
         keys = [np.asarray(k.values) for k in batch["keys"]]
@@ -161,7 +185,8 @@ def _rows(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple]:
             last = batch["sig"].flatten().to_numpy().reshape(-1, width)
         else:
             last = [np.frombuffer(s.as_py(), np.uint64) for s in batch["shingles"]]
-        yield from zip(cells, batch["mine"].to_pylist(), batch["sid"].to_pylist(), batch["copies"].to_pylist(), keys, last, strict=True)
+        plain = [batch[c].to_pylist() for c in ("mine", "sid", "copies")]
+        yield from zip(cells, *plain, keys, last, batch["bundle"].to_pylist(), strict=True)
 
 
 def _met_before(key: int, left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -187,7 +212,14 @@ def _sides(cell: tuple, rows: list[tuple]) -> tuple[list[tuple], list[tuple], np
     right = left if lo == hi else [r for r in rows if r[1] == hi]
     if not left or not right:
         return left, right, np.zeros((len(left), len(right)), bool)
-    pairs = ~_met_before(key, [r[4] for r in left], [r[4] for r in right])
+    # Bundles by number: those without one differ from all others.
+    names = {b: i for i, b in enumerate({r[6] for r in left + right if r[6] is not None})}
+    a, b = (np.array([names.get(r[6], none) for r in side]) for side, none in ((left, -1), (right, -2)))
+    own = names.get(key, -3)
+    same = a[:, None] == b[None, :]
+    pairs = np.where(same, (a == own)[:, None], True)
+    if (pairs & ~same).any():
+        pairs &= same | ~_met_before(key, [r[4] for r in left], [r[4] for r in right])
     return left, right, np.triu(pairs, 1) if lo == hi else pairs
 
 
@@ -306,14 +338,24 @@ def _classes(docs: DataFrame) -> DataFrame:
         "near-sets",
     )
     leaves = _leaves(reps.filter("sid <> 0"))
-    homes = leaves.groupBy("sid").agg(F.collect_set(F.struct("key", "m")).alias("homes")).join(reps, "sid")
-    blocks = F.ceil(F.col("home.m") / BLOCK).cast("long")
+    homes = (
+        _parts(leaves)
+        .groupBy("sid", "bundle")
+        .agg(F.collect_set(F.struct("key", "majors", "rests", "major", "own")).alias("homes"))
+        .join(reps, "sid")
+    )
+    last = F.col("home.majors") + F.col("home.rests") - 1
+    mixed = F.xxhash64("sid", "home.key")
+    mine = F.when(F.col("home.major"), F.pmod(mixed, "home.majors")).otherwise(F.col("home.majors") + F.pmod(mixed, "home.rests"))
+    # Blocks of one bundle meet the others, and each other only in their own leaf.
+    first = F.when(F.col("home.major") & ~F.col("home.own"), F.col("home.majors")).otherwise(F.lit(0).cast("long"))
     cells = (
-        homes.select("sid", "copies", "sig", F.array_sort("homes.key").alias("keys"), F.explode("homes").alias("home"))
-        .select("*", F.pmod(F.xxhash64("sid", "home.key"), blocks).alias("mine"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+        homes.select("sid", "copies", "sig", "bundle", F.array_sort("homes.key").alias("keys"), F.explode("homes").alias("home"))
+        .filter(first <= last)
+        .select("*", mine.alias("mine"), F.explode(F.sequence(first, last)).alias("other"))
         .select(
             F.col("home.key").alias("key"), F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"),
-            "mine", "sid", "copies", "keys", "sig",
+            "mine", "sid", "copies", "keys", "bundle", "sig",
         )
     )
     place = "key long, lo long, hi long, mine long, sid long"
@@ -321,10 +363,12 @@ def _classes(docs: DataFrame) -> DataFrame:
     wanted = (
         chosen.groupBy("sid")
         .agg(F.collect_list(F.struct("key", "lo", "hi", "mine")).alias("cells"))
-        .join(leaves.groupBy("sid").agg(F.array_sort(F.collect_set("key")).alias("keys")), "sid")
+        .join(leaves.groupBy("sid").agg(F.array_sort(F.collect_set("key")).alias("keys"), _bundle().alias("bundle")), "sid")
         .join(reps.select("sid", "rep_row", "copies"), "sid")
     )
-    texts = rows.join(wanted, F.col("row") == F.col("rep_row")).select("text", "sid", "copies", "keys", "cells")
+    texts = rows.join(wanted, F.col("row") == F.col("rep_row")).select("text", "sid", "copies", "keys", "bundle", "cells")
+
+    carried = ["sid", "copies", "keys", "bundle", "cells"]
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _chunks(batches):
@@ -334,14 +378,14 @@ def _classes(docs: DataFrame) -> DataFrame:
             own = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             keep = part.filter(pa.array(right))
             yield pa.record_batch(
-                [keep["sid"], keep["copies"], keep["keys"], keep["cells"], pa.array([s for s, r in zip(own, right, strict=True) if r], pa.binary())],
-                names=["sid", "copies", "keys", "cells", "shingles"],
+                [*(keep[c] for c in carried), pa.array([s for s, r in zip(own, right, strict=True) if r], pa.binary())],
+                names=[*carried, "shingles"],
             )
 
     cell = "array<struct<key:long,lo:long,hi:long,mine:long>>"
     # Repeated rows of the set's own document give the same set; one is enough.
-    sets = texts.mapInArrow(with_sets, f"sid long, copies long, keys array<long>, cells {cell}, shingles binary").dropDuplicates(["sid"])
-    laid = sets.select("sid", "copies", "keys", "shingles", F.inline("cells"))
+    sets = texts.mapInArrow(with_sets, f"sid long, copies long, keys array<long>, bundle long, cells {cell}, shingles binary").dropDuplicates(["sid"])
+    laid = sets.select("sid", "copies", "keys", "bundle", "shingles", F.inline("cells"))
     judged = settle(_by_cell(laid).mapInArrow(_judge, "sid long, links long, parent long"), "near-judged")
     links = judged.groupBy("sid").agg(F.sum("links").alias("links"))
     roots = components(judged.filter("parent is not null").select(F.col("sid").alias("u"), F.col("parent").alias("v")))
