@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 from shelfwise.session import settle
 
 SAFE = 2.0**50  # up to here float64 sums of whole numbers, and of their gaps, are exact
+NO_FLOOR = -(2**63)  # scores are never below
 STEPS = 4  # parts in which a list is read
-RESOLVED = 16  # times k: as many candidates are resolved without reading on
+RESOLVED = 8  # reading ends when no more than this part of the items are candidates
 
 
 class SortedLists:
@@ -23,10 +24,11 @@ class SortedLists:
         self.items = items
         self.order = np.argsort(items, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(items.T, self.order, axis=1)
-        self.place = np.empty(items.shape, np.int32)
-        np.put_along_axis(self.place, self.order.T, np.arange(len(items), dtype=np.int32)[:, None], axis=0)
+        kind = np.int16 if len(items) < 1 << 15 else np.int32
+        self.place = np.empty(items.shape, kind)
+        np.put_along_axis(self.place, self.order.T, np.arange(len(items), dtype=kind)[:, None], axis=0)
 
-    def top(self, weights: np.ndarray, k: int, own: int, tie: np.ndarray) -> tuple[np.ndarray, int]:
+    def top(self, weights: np.ndarray, k: int, own: int, tie: np.ndarray, floor: int | None = None) -> tuple[np.ndarray, int]:
         """The positions of the k best inner products with ``weights``, best first, and how many entries were read.
 
         Lists of positive weight are read from the high end, of negative weight from the low end, a part at a time, always
@@ -35,7 +37,7 @@ class SortedLists:
         lists in which it was not read. Items never met have one common upper bound: once it is below the k-th best
         lower bound, only items met so far stay, and each whose upper bound falls below goes for good. When few are
         left, or nothing is unread, their scores are resolved. ``own`` is the query's own position or -1, ``tie``
-        orders items of equal score.
+        orders items of equal score. Items below ``floor`` may be left out.
         """
         n = len(self.items)
         high = weights > 0
@@ -49,7 +51,7 @@ class SortedLists:
             alive[own] = False
         part, read, closed, unread = -(-n // STEPS), 0, False, gap.sum()
         while unread > 0:
-            goal = unread - unread // 6
+            goal = unread - unread // 3
             while unread > 0 and unread >= goal:
                 j = int(gap.argmax())
                 begin = int(depth[j])
@@ -65,19 +67,22 @@ class SortedLists:
                 unread += rest - gap[j]
                 gap[j] = rest
             candidates = np.flatnonzero(alive & met)
-            if len(candidates) < k:
+            if len(candidates) < k and floor is None:
                 continue
             low = lower[candidates]
-            reached = np.partition(low, len(low) - k)[len(low) - k]
+            reached = floor
+            if len(low) >= k:
+                own_kth = np.partition(low, len(low) - k)[len(low) - k]
+                reached = own_kth if floor is None else max(floor, own_kth)
             if not closed and least + unread < reached:
                 closed = True
                 alive &= met
             if closed:
                 place = self.place[candidates]
                 first, last = np.where(high, n - depth, 0), np.where(high, n, depth)
-                seen = (place >= first.astype(np.int32)) & (place < last.astype(np.int32))
+                seen = (place >= first.astype(place.dtype)) & (place < last.astype(place.dtype))
                 alive[candidates[low + (unread - seen @ gap) < reached]] = False
-                if np.count_nonzero(alive) <= RESOLVED * k:
+                if np.count_nonzero(alive) <= max(k, n // RESOLVED):
                     break
         candidates = np.flatnonzero(alive)
         scores = self.items[candidates] @ weights
@@ -88,10 +93,13 @@ class SortedLists:
         return candidates[best], read
 
 
-def nra_top(queries: np.ndarray, items: np.ndarray, k: int, skip: np.ndarray, tie: np.ndarray) -> list[np.ndarray]:
+def nra_top(
+    queries: np.ndarray, items: np.ndarray, k: int, skip: np.ndarray, tie: np.ndarray, floors: list[int | None] | None = None
+) -> list[np.ndarray]:
     """For each query, positions in ``items`` of its k best inner products, by sequential reads of sorted lists."""
     lists = SortedLists(items)
-    return [lists.top(query, k, int(own), tie)[0] for query, own in zip(queries, skip, strict=True)]
+    floors = floors or [None] * len(queries)
+    return [lists.top(q, k, int(own), tie, floor)[0] for q, own, floor in zip(queries, skip, floors, strict=True)]
 
 
 def _longs(scores: np.ndarray) -> np.ndarray:
@@ -122,7 +130,8 @@ def _search_cells(cells: Iterator[pd.DataFrame], k: int) -> Iterator[pd.DataFram
         if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * width >= SAFE:
             # float64 could round: whole Python numbers go through the same lists.
             q, x = (np.vectorize(int, otypes=[object])(side) for side in (q, x))
-        best = [(at, _longs(x[at] @ query)) for query, at in zip(q, nra_top(q, x, k, skip, tie), strict=True)]
+        floors = [None if f == NO_FLOOR else int(f) for f in queries["floor"]]
+        best = [(at, _longs(x[at] @ query)) for query, at in zip(q, nra_top(q, x, k, skip, tie, floors), strict=True)]
         times = [len(at) for at, _ in best]
         at = np.concatenate([at for at, _ in best])
         yield pd.DataFrame(
@@ -146,7 +155,9 @@ def top_k(
     another row with the same vec_id may be. Scores beyond the range of a long are held at its ends. An
     empty table, or one without queries, gives no rows.
 
-    Both sides are cut into blocks of bounded size; each pair of blocks is one cell of the search.
+    Both sides are cut into blocks of bounded size; each pair of blocks is one cell of the search. The first block of
+    items is searched before the others: the k-th best score there is a floor for theirs. The work is that of
+    all pairs of a query and a row, less what the bounds leave unread (about half of the entries, where components are random).
     """
     whole = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("double"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x.cast("double")) == float("inf")))
@@ -162,21 +173,31 @@ def top_k(
     query_blocks = -(-size["queries"] // query_block) or 1
     mixed = F.xxhash64("row")
     # The smaller side is copied to each block of the other: rows times blocks, not rows times rows.
-    queries = rows.filter(is_query).select(
-        F.lit(True).alias("is_query"), "row", "vec_id", "vector", F.pmod(mixed, F.lit(query_blocks)).alias("qb"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(item_blocks - 1).cast("long"))).alias("ib"),
-    )
-    items = rows.select(
-        F.lit(False).alias("is_query"), "row", "vec_id", "vector",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_blocks - 1).cast("long"))).alias("qb"), F.pmod(mixed, F.lit(item_blocks)).alias("ib"),
-    )
     schema = "row long, query_id long, vec_id long, score long"
 
     def search(cell: pd.DataFrame) -> pd.DataFrame:
         out = list(_search_cells(iter([cell]), k))
         return out[0] if out else pd.DataFrame({c.split()[0]: pd.Series(dtype="int64") for c in schema.split(", ")})
 
-    found = queries.unionByName(items).groupBy("qb", "ib").applyInPandas(search, schema)
+    def cells(first: int, last: int, floors: DataFrame | None) -> DataFrame:
+        """The best of each query in the item blocks from ``first`` to ``last``."""
+        none, own = F.lit(NO_FLOOR), rows.filter(is_query)
+        own = own.withColumn("floor", none) if floors is None else own.join(floors, "row", "left").withColumn("floor", F.coalesce("floor", none))
+        every = [F.explode(F.sequence(F.lit(a).cast("long"), F.lit(b).cast("long"))) for a, b in ((first, last), (0, query_blocks - 1))]
+        queries = own.select(
+            F.lit(True).alias("is_query"), "row", "vec_id", "vector", "floor", F.pmod(mixed, F.lit(query_blocks)).alias("qb"), every[0].alias("ib")
+        )
+        items = rows.select(
+            F.lit(False).alias("is_query"), "row", "vec_id", "vector", none.alias("floor"),
+            every[1].alias("qb"), F.pmod(mixed, F.lit(item_blocks)).alias("ib"),
+        ).filter(F.col("ib").between(first, last))
+        return queries.unionByName(items).groupBy("qb", "ib").applyInPandas(search, schema)
+
+    found = cells(0, 0, None)
+    if item_blocks > 1:
+        found = settle(found, "topk-first")
+        floors = found.groupBy("row").agg(F.count("*").alias("n"), F.min("score").alias("floor")).filter(F.col("n") >= k).select("row", "floor")
+        found = found.unionByName(cells(1, item_blocks - 1, floors))
     best = Window.partitionBy("row").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     return (
         found.withColumn("rank", F.row_number().over(best))

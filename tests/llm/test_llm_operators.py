@@ -216,7 +216,12 @@ def test_sorted_lists(kind):
             query = query * 0
         got, entries = lists.top(query, 5, own, tie)
         scores = items @ query
-        assert got.tolist() == sorted((i for i in range(len(items)) if i != own), key=lambda i: (-scores[i], tie[i]))[:5]
+        want = sorted((i for i in range(len(items)) if i != own), key=lambda i: (-scores[i], tie[i]))[:5]
+        assert got.tolist() == want
+        if want:  # a floor drops nothing that reaches it
+            floor = scores[want[len(want) // 2]]
+            above = [i for i in want if scores[i] >= floor]
+            assert lists.top(query, 5, own, tie, int(floor))[0].tolist()[: len(above)] == above
         read += entries
     if kind == "unlike scales":
         assert read < 0.5 * 40 * items.size  # lists that cannot decide are left unread
