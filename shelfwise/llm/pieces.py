@@ -363,3 +363,32 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, objective: str =
 
     texts = docs.selectExpr("cast(doc_id as bigint) doc_id", "text")
     return texts.mapInArrow(encode, "doc_id long, n_ids int, ids array<int>, decoded_equal boolean")
+
+
+def decode_documents(encoded: DataFrame, model_path: str = MODEL) -> DataFrame:
+    """One row per row of ``encoded``: doc_id, text. ``ids`` may be integers of any width.
+
+    Null or empty ids give an empty text. A null among the ids, or a number that the model does not have, is an
+    error that names the document: there is no text that it stands for. Repeated rows and null doc_ids are ordinary rows;
+    only doc_id and ids are read. Decoding what ``encode_documents`` made gives the text back wherever it says so.
+    """
+    with open(model_path, "rb") as file:
+        shared = encoded.sparkSession.sparkContext.broadcast(file.read())
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _pieces(shared.value, "merge")
+        known = len(pieces.bytes_of)
+        for batch in batches:
+            for first in range(0, len(batch), 256):
+                part = batch.slice(first, 256)
+                texts = []
+                for doc_id, ids in zip(part.column("doc_id"), part.column("ids"), strict=True):
+                    own = ids.values if ids.is_valid else pa.array([], pa.int64())
+                    numbers = own.fill_null(-1).to_numpy()
+                    if ((numbers < 0) | (numbers >= known)).any():
+                        raise ValueError(f"document {doc_id.as_py()}: an id that is not one of the model's {known}")
+                    texts.append(pieces.decode(numbers))
+                yield pa.record_batch({"doc_id": part.column("doc_id"), "text": pa.array(texts, pa.string())})
+
+    ids = encoded.selectExpr("cast(doc_id as bigint) doc_id", "cast(ids as array<bigint>) ids")
+    return ids.mapInArrow(decode, "doc_id long, text string")

@@ -18,7 +18,7 @@ from shelfwise.llm.dialogues import rotate_perspectives
 from shelfwise.llm.licences import scan_licences
 from shelfwise.llm.mixing import mix_sources, repeat_documents
 from shelfwise.llm.phrases import fingerprint_documents
-from shelfwise.llm.pieces import MODEL, Pieces, encode_documents
+from shelfwise.llm.pieces import MODEL, Pieces, decode_documents, encode_documents
 from shelfwise.llm.repeats import cut_repeats, remove_repeats
 from shelfwise.llm.sharding import shard_documents
 from shelfwise.llm.topk import top_k
@@ -72,6 +72,24 @@ def test_pieces_equal_the_library(spark, docs):
     assert got == Counter((i, tuple(library.encode(t or "")), True) for i, t, _, _ in TEXTS)
 
 
+def test_decode_documents(spark, docs):
+    import sentencepiece
+
+    back = Counter(tuple(r) for r in decode_documents(encode_documents(docs)).collect())
+    assert back == Counter((i, t or "") for i, t, _, _ in TEXTS)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rng = np.random.default_rng(6)
+    letters = [i for i in range(library.get_piece_size()) if not library.is_byte(i)]
+    rows = [(n, rng.choice(letters, n).tolist()) for n in range(40)] + [(None, [letters[5]]), (7, None), (7, None)]
+    table = spark.createDataFrame(rows, "doc_id long, ids array<int>").withColumn("text", F.lit("clash"))
+    got = Counter(tuple(r) for r in decode_documents(table).collect())
+    assert got == Counter((i, library.decode(ids) if ids else "") for i, ids in rows)
+    assert decode_documents(table.limit(0)).count() == 0
+    for wrong in ([-1], [library.get_piece_size()], [5, None]):
+        with pytest.raises(Exception, match="document 3: an id that is not"):
+            decode_documents(spark.createDataFrame([(3, wrong)], "doc_id long, ids array<long>")).collect()
+
+
 def test_pieces_by_score_are_the_best_path():
     pieces = Pieces(open(MODEL, "rb").read(), "score")
     text = "▁wherever" * 30
