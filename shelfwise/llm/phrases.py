@@ -88,7 +88,8 @@ def fingerprint_documents(docs: DataFrame, ranges: int | None = None) -> DataFra
         .withColumn("follows", F.lit(1))
     )
     every = dealt.withColumn("follows", F.lit(0)).unionByName(sent)
-    ordered = every.repartition(ranges, "range").sortWithinPartitions("range", "follows", F.col("doc_id").desc_nulls_last(), F.desc("tie"))
+    # Range numbers are partition numbers, so no task gets two ranges.
+    ordered = every.repartitionById(ranges, F.col("range").cast("int")).sortWithinPartitions("range", "follows", F.col("doc_id").desc_nulls_last(), F.desc("tie"))
     return ordered.select("range", "follows", "doc_id", "text").mapInArrow(_parse_in_order, SCHEMA)
 
 
