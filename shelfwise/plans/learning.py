@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import ngrams, text
@@ -269,11 +269,14 @@ TRUTH = {
 ADDRESS_MODELS = ("city", "region", "branch")
 
 
-def _judged(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """(model, label, support, beats_majority): rows per true label, and whether the predictions beat the most frequent one."""
+def _judged(rows: DataFrame, names: tuple[str, ...], n_rows: Column | None = None) -> DataFrame:
+    """(model, label, support, beats_majority): rows per true label, and whether the predictions beat the most frequent one.
+
+    ``n_rows`` counts the rows of a group that are counted already.
+    """
     truth = {f"_{n}": F.expr(TRUTH[n][0]) for n in names}
     outputs = [models.SPECS[n].output_col for n in names]
-    counted = settle(rows.withColumns(truth).groupBy(*truth, *outputs).agg(F.count(F.lit(1)).alias("n")), "judged")
+    counted = settle(rows.withColumns(truth).groupBy(*truth, *outputs).agg((F.count(F.lit(1)) if n_rows is None else n_rows).alias("n")), "judged")
     parts = [
         stats.skill(counted.withColumnRenamed(f"_{n}", "label"), "label", output, "n").select(F.lit(n).alias("model"), "*")
         for n, output in zip(names, outputs, strict=True)
@@ -281,9 +284,15 @@ def _judged(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _judged_sql(names: tuple[str, ...], *fields: str) -> str:
+def _trained_labels(rows: DataFrame, labels: dict[str, list[str]]) -> bool | None:
+    """Whether every prediction of every row is a label that its model was trained on."""
+    known = [F.coalesce(F.col(models.SPECS[n].output_col).isin(own), F.lit(False)) for n, own in labels.items()]
+    return rows.agg(F.bool_and(reduce(Column.__and__, known))).first()[0]
+
+
+def _judged_sql(names: tuple[str, ...], *fields: str, more: str = "") -> str:
     parts = [
-        f"select '{n}' as model, {TRUTH[n][1]} as label, count(*) as support, true as beats_majority from sales group by 2"
+        f"select '{n}' as model, {TRUTH[n][1]} as label, count(*) as support, true as beats_majority{more} from sales group by 2"
         for n in names
     ]
     return f"with {sales_cte(*fields)} {' union all '.join(parts)}"
@@ -296,11 +305,15 @@ def predict_product(spark, sf_dir):
     return _judged(enriching.predict_product(rows, _loaded(spark, sf_dir, models.PRODUCT_MODELS)), models.PRODUCT_MODELS)
 
 
-@query(_judged_sql(ADDRESS_MODELS, "address", *ADDRESS_MODELS))
+@query(_judged_sql(ADDRESS_MODELS, "address", *ADDRESS_MODELS, more=", true as trained_labels"))
 def predict_address(spark, sf_dir):
-    """The three predictions for every line item, the last two from the predicted city."""
+    """The three predictions for every line item, the last two from the predicted city, and whether all are trained labels."""
     rows = sales(spark, sf_dir, "address", *ADDRESS_MODELS)
-    return _judged(enriching.predict_address(rows, _loaded(spark, sf_dir, ADDRESS_MODELS)), ADDRESS_MODELS)
+    outputs = [models.SPECS[n].output_col for n in ADDRESS_MODELS]
+    predicted = enriching.predict_address(rows, _loaded(spark, sf_dir, ADDRESS_MODELS))
+    counted = settle(predicted.groupBy(*ADDRESS_MODELS, *outputs).agg(F.count(F.lit(1)).alias("n")), "predicted")
+    sound = _trained_labels(counted, {n: _trained(spark, sf_dir, n).labels for n in ADDRESS_MODELS})
+    return _judged(counted, ADDRESS_MODELS, F.sum("n")).withColumn("trained_labels", F.lit(sound))
 
 
 DROP_HEADERS = ("Наименование", "Артикул", "Адрес", "Город", "Регион", "Филиал")

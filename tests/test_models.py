@@ -202,3 +202,14 @@ def test_a_constant_prediction_is_judged_without_skill(spark, name):
     judged = learning._judged(constant, names).collect()
     assert {r["model"] for r in judged if not r["beats_majority"]} == {name}
     assert sum(r["support"] for r in judged) == len(rows) * len(names)
+
+
+def test_predictions_outside_the_trained_labels_are_told(spark):
+    rows = [("Омск", "Сибирь", ""), ("Казань", "Волга", "Центр")]
+    df = spark.createDataFrame(rows, "city_predicted string, region_predicted string, branch_predicted string")
+    labels = {"city": ["Омск", "Казань"], "region": ["Сибирь", "Волга"], "branch": ["", "Центр"]}
+    assert learning._trained_labels(df, labels) is True
+    assert learning._trained_labels(df, labels | {"branch": ["Центр"]}) is False
+    missing = df.unionByName(df.limit(1).withColumn("region_predicted", F.lit(None).cast("string")))
+    assert learning._trained_labels(missing, labels) is False
+    assert "trained_labels" in learning._judged_sql(learning.ADDRESS_MODELS, "address", more=", true as trained_labels")
