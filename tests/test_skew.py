@@ -166,3 +166,18 @@ def test_stored_sketches_answer_for_any_period(spark):
         for r in got:
             assert r["article"] == pytest.approx(exact[tuple(r[c] for c in by)], rel=0.05)
             assert r["none"] == 0
+
+
+def test_pair_sums_equal_the_pairs_without_making_them(spark):
+    """A key of a million pairs, keys of one side, a null key and null values."""
+    left = spark.createDataFrame([("hot", i % 7 + 0.0) for i in range(1000)] + [("a", 2.0), ("a", None), (None, 1.0), ("l", 1.0)], "key string, a double")
+    right = spark.createDataFrame([("hot", i % 5 + 0.0) for i in range(1000)] + [("a", 3.0), ("a", 4.0), (None, 1.0), ("r", 1.0)], "key string, b double")
+    product = (F.col("a") * F.col("b")).alias("p")
+    pairs = joins.join_by_key(left, right, "key").select("key", "a", "b", product)
+    want = pairs.groupBy("key").agg(F.count("*"), F.sum("a"), F.sum("b"), F.sum("p")).collect()
+    # More pairs than these rows are refused where pairs are made.
+    got = joins.pair_sums(left, right, "key", "a", "b", most_rows=2)
+    assert got.columns == ["key", "pairs", "a", "b", "product"]
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
+    none = joins.pair_sums(left.filter("key = 'l'"), right, "key", "a", "b")
+    assert none.count() == 0
