@@ -86,12 +86,15 @@ def _load_version(
     for group in files.header_groups(spark, paths, skip_empty=True):
         raw = files.read_group(spark, group)
         parsed = settle(files.prepare(raw, mode, lambda df: _canonical(df, profile, rules)), "parsed")
-        parsed = parsed.withColumns({"chain": F.lit(profile.schema), "table_name": files.table_name_for(FILE)})
         is_bad = F.col(BAD_ROW).isNotNull()
+        per_file = parsed.groupBy(FILE).agg(F.count_if(~is_bad).alias("rows"), F.count_if(is_bad).alias("bad_rows"))
+        # A table's name is made once per file, not once per row.
+        per_file = settle(per_file.withColumn("table_name", files.table_name_for(FILE)), "file_counts")
+        counts = per_file.groupBy("table_name").agg(F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
+        parsed = parsed.join(F.broadcast(per_file.select(FILE, "table_name")), FILE).withColumn("chain", F.lit(profile.schema))
         good = sinks.sink_text(enrich_columns(parsed.filter(~is_bad).drop(BAD_ROW, FILE), models))
         rows.append(good)
         bad.append(parsed.filter(is_bad).select(F.col(FILE).alias("file"), F.col(BAD_ROW).alias("row"), "chain", "table_name"))
-        counts = parsed.groupBy("table_name").agg(F.count_if(~is_bad).alias("rows"), F.count_if(is_bad).alias("bad_rows"))
         columns = [c for c in good.columns if c not in published.PLACE]
         added = [c for c in columns if c not in parsed.columns]
         # One row per file of the group, also for one without rows.
