@@ -41,3 +41,11 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_fact_keys_are_shuffled_as_bytes(spark):
+    """Nearly every row has keys of its own: their digests make most of what is shuffled."""
+    facts = QUERIES["build_facts"](spark, SF_DIR)
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("unhex(") >= 4
+    assert facts.filter("product_key rlike '^[0-9a-f]{32}$'").count() == facts.count()
