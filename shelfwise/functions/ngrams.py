@@ -43,10 +43,11 @@ def word_ngrams_sql(tokens: str, low: int, high: int) -> str:
 
 def char_ngrams_sql(x: str, low: int, high: int) -> str:
     """Character n-grams of each blank-padded word; a word shorter than n counts once."""
-    words = f"filter(split(lower({x}), {literal(SPACES)}), w -> w <> '')"
-    sizes = f"sequence({low}, least({high}, greatest({low}, length(w) + 2)))"
-    starts = "sequence(0, greatest(0, length(w) + 2 - n))"
-    grams = f"transform({starts}, i -> substring(concat(' ', w, ' '), i + 1, n))"
+    # Each word is padded once, not once per gram.
+    words = f"transform(filter(split(lower({x}), {literal(SPACES)}), w -> w <> ''), w -> concat(' ', w, ' '))"
+    sizes = f"sequence({low}, least({high}, greatest({low}, length(w))))"
+    starts = "sequence(0, greatest(0, length(w) - n))"
+    grams = f"transform({starts}, i -> substring(w, i + 1, n))"
     return f"flatten(transform({words}, w -> flatten(transform({sizes}, n -> {grams}))))"
 
 

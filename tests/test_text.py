@@ -72,3 +72,17 @@ def test_word_ngrams_of_short_texts(spark):
     tokens = df.withColumn("k", ngrams.word_tokens("t", ngrams.BRAND_STOP_WORDS))
     got = [r["g"] for r in tokens.select(ngrams.word_ngrams("k", 1, 3).alias("g")).collect()]
     assert got == [["сырный", "чипс", "сырный чипс"], ["один"], []]
+
+
+def test_char_ngrams_pad_each_word_once(spark):
+    """Nothing is joined per gram; grams equal brute force, also of words shorter than n."""
+    assert "substring(concat" not in ngrams.char_ngrams_sql("t", 3, 6)
+    texts = ["", None, " a  Ёж\tсыр🧀 ", "x", "abcdefgh"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = dict(df.select("id", ngrams.char_ngrams("t", 3, 6)).collect())
+    for i, t in enumerate(texts):
+        want = []
+        for w in (f" {w} " for w in (t or "").lower().split()):
+            for n in range(3, min(6, max(3, len(w))) + 1):
+                want += [w[k : k + n] for k in range(max(1, len(w) - n + 1))]
+        assert got[i] == (None if t is None else want)
