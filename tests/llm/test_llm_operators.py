@@ -428,6 +428,34 @@ def test_join_of_a_group_larger_than_a_block(spark):
     assert got == {doc: (rows[find(i)][0], links[i]) for i, (doc, _) in enumerate(rows)}
 
 
+def test_near_copies_are_not_split_below_a_root(spark, monkeypatch):
+    """A root's child full of near copies is a leaf: no path is made for its members again. Others are still split."""
+    from shelfwise.llm import chosen_path
+
+    rng = np.random.default_rng(11)
+    base = rng.integers(-(2**31), 2**31, chosen_path.WIDTH)
+
+    def paths(share):
+        other = rng.integers(-(2**31), 2**31, (300, chosen_path.WIDTH))
+        sigs = np.where(rng.random(other.shape) < share, base, other)
+        made, settle = [], chosen_path.settle
+
+        def counted(df, name):
+            out = settle(df, name)
+            made.append((name, out.count()))
+            return out
+
+        monkeypatch.setattr(chosen_path, "settle", counted)
+        reps = spark.createDataFrame([(i + 1, s.tolist()) for i, s in enumerate(sigs)], "sid long, sig array<int>")
+        leaves = chosen_path._leaves(reps)
+        monkeypatch.setattr(chosen_path, "settle", settle)
+        assert leaves.filter("m < 2").isEmpty() and leaves.groupBy("key", "m").count().filter("m <> count").isEmpty()
+        return [n for name, n in made if name == "paths"]
+
+    assert len(paths(0.9)) == 1
+    assert len(paths(0.4)) > 1
+
+
 def test_labels_of_held_out_documents_change_no_score(spark):
     sf_dir = "/root/testdata/sf0.001"
     own = spark.read.parquet(f"{sf_dir}/documents.parquet")
