@@ -41,6 +41,27 @@ def word_ngrams_sql(tokens: str, low: int, high: int) -> str:
     return f"transform(array({tokens}), words -> {united})[0]"
 
 
+def sized_ngrams_sql(tokens: str, n: int, parts: dict[int, list[str]] | None = None) -> str:
+    """The n-grams of one size by the position of their first word, null beyond the last.
+
+    ``parts`` lists, by size, shorter n-grams: an n-gram that contains another one of these sizes is null, too.
+    """
+
+    def grams(k: int) -> str:
+        if k == 1:
+            return "words"
+        if parts is None or k - 1 not in parts:
+            following = "".join(f", ' ', get(words, i + {j})" for j in range(1, k))
+            return f"transform(words, (word, i) -> concat(word{following}))"
+        listed = ", ".join(literal(p) for p in parts[k - 1]) or "null"
+        shorter = f"transform({grams(k - 1)}, g -> if(g in ({listed}), g, cast(null as string)))"
+        # Both parts must be listed; the second gives the last word. As the only element of an array, they are found once.
+        longer = f"if(get(part, i + 1) is null, cast(null as string), concat(g, ' ', get(words, i + {k - 1})))"
+        return f"transform(array({shorter}), part -> transform(part, (g, i) -> {longer}))[0]"
+
+    return f"transform(array({tokens}), words -> {grams(n)})[0]"
+
+
 def char_ngrams_sql(x: str, low: int, high: int) -> str:
     """Character n-grams of each blank-padded word; a word shorter than n counts once."""
     # Each word is padded once, not once per gram.

@@ -21,6 +21,9 @@ CLEANERS = {
     "address": text.compose_features_sql,
 }
 
+# Frequent n-grams, in multiples of ``max_terms``, up to which longer ones are sought by them.
+LISTED = 4
+
 
 @dataclass(frozen=True)
 class TextSpec:
@@ -72,36 +75,63 @@ def with_terms(df: DataFrame, spec: TextSpec, source: str) -> DataFrame:
 def term_counts(df: DataFrame, terms: str = "terms") -> DataFrame:
     """(term, tf, df): occurrences and documents per term.
 
-    Each row sends its terms and its distinct terms through one aggregation that combines on
-    the map side, so a term found everywhere costs one row per task. Exploding with ``outer``
-    keeps Spark from testing the array for emptiness first, which would compute it twice.
+    Each row sends its terms in order, the first of equal ones marked as the document's, through one
+    aggregation that combines on the map side, so a term found everywhere costs one row per task. Exploding
+    with ``outer`` keeps Spark from testing the array for emptiness first, which would compute it twice.
     """
-
-    def entry(tf: int, df_: int):
-        return lambda t: F.struct(
-            t.alias("term"), F.lit(tf).cast("bigint").alias("tf"), F.lit(df_).cast("bigint").alias("df")
-        )
-
-    both = F.concat(
-        F.transform(F.col(terms), entry(1, 0)), F.transform(F.array_distinct(F.col(terms)), entry(0, 1))
-    )
+    first = "if(i > 0 and get(s, i - 1) = t, 0L, 1L)"
+    # As the only element of an array, the sorted terms are computed once.
+    ordered = f"transform(array(sort_array(array_compact({text.quoted(terms)}))), s -> transform(s, (t, i) -> struct(t as term, {first} as df)))[0]"
     return (
-        df.select(F.explode_outer(both).alias("e"))
+        df.select(F.explode_outer(F.expr(ordered)).alias("e"))
         .select("e.*")
         .filter("term is not null")
         .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+        .agg(F.count(F.lit(1)).alias("tf"), F.sum("df").alias("df"))
     )
 
 
 def vocabulary(df: DataFrame, spec: TextSpec, n_docs: int, terms: str = "terms") -> DataFrame:
-    """The ``max_terms`` most frequent terms within the document-frequency bounds, with their idf."""
-    kept = term_counts(df, terms).filter(
-        (F.col("df") >= spec.min_df) & (F.col("df") <= F.lit(spec.max_df * n_docs))
-    )
-    return kept.orderBy(F.desc("tf"), "term").limit(spec.max_terms).withColumn(
-        "idf", F.log((1 + F.lit(n_docs)) / (1 + F.col("df"))) + 1
-    )
+    """The ``max_terms`` most frequent terms within the document-frequency bounds, with their idf.
+
+    Word n-grams of several sizes are counted size by size, from the tokens that ``with_terms`` leaves beside its terms.
+    """
+    if spec.analyzer == "word" and spec.low < spec.high and terms == "terms" and "tokens" in df.columns:
+        kept = _kept_by_size(df.select("tokens"), spec, n_docs)
+    else:
+        kept = _within_bounds(term_counts(df, terms), spec, n_docs)
+    return _most_frequent(kept, spec).withColumn("idf", F.log((1 + F.lit(n_docs)) / (1 + F.col("df"))) + 1)
+
+
+def _within_bounds(counts: DataFrame, spec: TextSpec, n_docs: int) -> DataFrame:
+    return counts.filter((F.col("df") >= spec.min_df) & (F.col("df") <= F.lit(spec.max_df * n_docs)))
+
+
+def _most_frequent(counts: DataFrame, spec: TextSpec) -> DataFrame:
+    return counts.orderBy(F.desc("tf"), "term").limit(spec.max_terms)
+
+
+def _kept_by_size(df: DataFrame, spec: TextSpec, n_docs: int) -> DataFrame:
+    """(term, tf, df): the terms within the bounds that may be among the ``max_terms`` most frequent.
+
+    An n-gram occurs no more often than the two shorter ones within it. Once ``max_terms`` terms are found, one that is
+    rarer than the last of them is left out, and so are all longer ones that contain it: most long n-grams are rare, and
+    these are never built or shuffled. Until then, or if too many are as frequent as the last, all are counted.
+    """
+    kept, parts = None, None
+    for n in range(spec.low, spec.high + 1):
+        grams = F.expr(ngrams.sized_ngrams_sql("tokens", n, parts))
+        counts = settle(term_counts(df.select(grams.alias("terms"))), "term_counts")
+        best = _most_frequent(_within_bounds(counts, spec, n_docs), spec)
+        kept = settle(best if kept is None else _most_frequent(kept.unionByName(best), spec), "kept_terms")
+        if n < spec.high:
+            found, least = kept.agg(F.count(F.lit(1)), F.min("tf")).first()
+            frequent = counts.filter((F.col("tf") >= least) & (F.col("df") >= spec.min_df)) if found == spec.max_terms else None
+            most = LISTED * spec.max_terms
+            listed = [] if frequent is None else [r["term"] for r in frequent.select("term").limit(most + 1).collect()]
+            usable = frequent is not None and len(listed) <= most
+            parts = {**({} if parts is None else parts), n: listed} if usable else None
+    return kept
 
 
 def fit_tfidf(df: DataFrame, spec: TextSpec, source: str) -> list:

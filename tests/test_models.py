@@ -34,6 +34,35 @@ def _small(name):
     return spec.with_params(**SMALL[spec.learner])
 
 
+@pytest.mark.parametrize("max_terms", [2, 4, 9, 50])
+def test_vocabulary_by_size_equals_brute_force(spark, monkeypatch, max_terms):
+    """Rare n-grams are left out before they are counted, and the terms are those of a full count all the same."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["лук", "сыр", "краб", "it's", "соль", "мак"]) for _ in range(rng.randrange(9))) for _ in range(40)]
+    texts += [None, "", "лук лук лук лук лук"] + [f"редкий{i} слово{i} лук" for i in range(30)]
+    spec = TextSpec("none", "word", 1, 3, min_df=2, max_df=0.4, max_terms=max_terms)
+    counted, settle = [], features.settle
+
+    def kept(df, name):
+        out = settle(df, name)
+        counted.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(features, "settle", kept)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [tuple(r) for r in features.vocabulary(features.with_terms(df, spec, "t"), spec, len(texts)).select("term", "tf", "df").collect()]
+
+    docs = []
+    for t in texts:
+        words = re.findall(r"\b\w\w+\b", (t or "").lower())
+        docs.append(Counter(" ".join(words[i : i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)))
+    tf, n_docs = sum(docs, Counter()), Counter(term for d in docs for term in d)
+    bounded = [(t, n, n_docs[t]) for t, n in tf.items() if 2 <= n_docs[t] <= 0.4 * len(docs)]
+    assert got == sorted(bounded, key=lambda r: (-r[1], r[0]))[:max_terms]
+    if max_terms == 4:
+        assert [n for name, n in counted if name == "term_counts"][1] < len({t for t in tf if t.count(" ") == 1})
+
+
 def test_tfidf_equals_brute_force(spark):
     texts = ["красный лук лук", "лук сыр", "сыр краб сыр бекон", "", "краб лук сыр", "бекон"]
     spec = TextSpec("product", "word", 1, 2, min_df=2, max_df=0.9, max_terms=50)
