@@ -284,6 +284,15 @@ def _judged(rows: DataFrame, names: tuple[str, ...], n_rows: Column | None = Non
     return reduce(DataFrame.unionByName, parts)
 
 
+def _judged_apart(rows: DataFrame) -> DataFrame:
+    """``_judged`` for all models; each side counts its own distinct inputs and predictions first."""
+    sides = []
+    for names, inputs in ((models.PRODUCT_MODELS, ("product_name", "weight")), (ADDRESS_MODELS, ADDRESS_MODELS)):
+        counted = rows.groupBy(*inputs, *[models.SPECS[n].output_col for n in names]).agg(F.count(F.lit(1)).alias("n"))
+        sides.append(_judged(counted, names, F.sum("n")))
+    return sides[0].unionByName(sides[1])
+
+
 def _trained_labels(rows: DataFrame, labels: dict[str, list[str]]) -> bool | None:
     """Whether every prediction of every row is a label that its model was trained on."""
     known = [F.coalesce(F.col(models.SPECS[n].output_col).isin(own), F.lit(False)) for n, own in labels.items()]
@@ -345,7 +354,8 @@ def enrich(spark, sf_dir):
     rows = enriching.enrich(drop_rows(spark, sf_dir, *DROP_HEADERS), _loaded(spark, sf_dir), MAGNIT)
     rows = settle(rows, "enriched")
     names = tuple(models.SPECS)
-    judged = _judged(rows.withColumn("weight", F.col("weight_extracted_regex").cast("string")), names)
+    # Products and places are judged by themselves: together, their values would be as many as their pairs.
+    judged = _judged_apart(rows.withColumn("weight", F.col("weight_extracted_regex").cast("string")))
     skilled = dict(judged.groupBy("model").agg(F.bool_and("beats_majority")).collect())
     return rows.withColumns({models.SPECS[n].output_col: F.lit(skilled[n]) for n in names})
 

@@ -63,6 +63,32 @@ def test_vocabulary_by_size_equals_brute_force(spark, monkeypatch, max_terms):
         assert [n for name, n in counted if name == "term_counts"][1] < len({t for t in tf if t.count(" ") == 1})
 
 
+def test_products_and_places_are_judged_apart(spark, monkeypatch):
+    """The judgement of all models equals that on whole rows, but no pair of a product and a place is kept."""
+    names = tuple(models.SPECS)
+    fields = ["product_name", "weight", "city", "region", "branch", *[models.SPECS[n].output_col for n in names]]
+    rng, rows = random.Random(5), []
+    for _ in range(400):
+        product, place = rng.randrange(15), rng.randrange(15)
+        right = "a" if product % 2 else "b"
+        outputs = [right, "X", right.upper(), "10"] if product else [None] * 4
+        values = dict(zip(["flavor", "brand", "type", "weight"], outputs, strict=True)) | {n: f"{n}{place % 5}" for n in ("city", "region", "branch")}
+        own = (f"x{product} {right} {right}" if product != 3 else None, "10", f"city{place % 5}", f"region{place % 4}", None if place == 2 else "branch1")
+        rows.append((*own, *[values[n] for n in names]))
+    df = spark.createDataFrame(rows, ", ".join(f"{f} string" for f in fields))
+    whole = sorted(map(str, learning._judged(df, names).collect()))
+    most, settle = [], learning.settle
+
+    def kept(part, name):
+        out = settle(part, name)
+        most.append(out.count())
+        return out
+
+    monkeypatch.setattr(learning, "settle", kept)
+    assert sorted(map(str, learning._judged_apart(df).collect())) == whole
+    assert max(most) <= 15
+
+
 def test_tfidf_equals_brute_force(spark):
     texts = ["красный лук лук", "лук сыр", "сыр краб сыр бекон", "", "краб лук сыр", "бекон"]
     spec = TextSpec("product", "word", 1, 2, min_df=2, max_df=0.9, max_terms=50)
