@@ -126,14 +126,19 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _dense(members: DataFrame) -> DataFrame:
     """key: the nodes whose children would keep ``DENSE`` of the members in the mean of all coordinates.
 
-    One bit of each minimum hash is counted as 1 or -1. Members that differ cancel out and equal ones add up, so the
-    mean's size is the share of the most frequent value; no value is kept.
+    One bit of each minimum hash, as ``_low_bits`` has them, is counted as 1 or -1. Members that differ cancel out and
+    equal ones add up, so the mean's size is the share of the most frequent value; no value is kept.
     """
-    shares = [F.abs(F.avg(1 - 2 * F.col("sig")[i].bitwiseAND(1))) for i in range(WIDTH)]
+    shares = [F.abs(F.avg(1 - 2 * F.shiftrightunsigned("bits", i).bitwiseAND(1))) for i in reversed(range(WIDTH))]
     total = sum(shares[1:], shares[0])
     return members.groupBy("key").agg(total.alias("kept")).filter(F.col("kept") >= DENSE * WIDTH).select("key")
 
 
+def _low_bits() -> Column:
+    """The lowest bit of each minimum hash, in one number: paths carry it, so that no signature is joined to them."""
+    return F.aggregate("sig", F.lit(0).cast("long"), lambda bits, h: F.shiftleft(bits, 1).bitwiseOR(h.bitwiseAND(1)))
+
+
 def _leaves(reps: DataFrame) -> DataFrame:
     """key, sid, m: the leaves of all runs that have two members or more, and their sizes."""
     rate = 1 / (0.8 * WIDTH)
@@ -143,7 +148,8 @@ def _leaves(reps: DataFrame) -> DataFrame:
         roots += [(run, i) for i in np.flatnonzero(chance < max(rate, chance.min() + 1e-12)).tolist()]
     split = F.explode(F.array(*[F.xxhash64(F.lit(run), F.lit(i), F.col("sig")[i]) for run, i in roots]))
     signs = reps.select("sid", "sig")
-    rows = settle(reps.select("sid", split.alias("key"), F.lit(None).cast("long").alias("above")), "paths")
+    marked = reps.select("sid", "sig", _low_bits().alias("bits"))  # once per set, not per path
+    rows = settle(marked.select("sid", "bits", split.alias("key"), F.lit(None).cast("long").alias("above")), "paths")
     leaves = None
     for depth in range(1, DEPTH + 1):
         counts = rows.groupBy("key").agg(F.count("*").alias("m"), F.first("above").alias("above")).filter("m > 1")
@@ -154,9 +160,9 @@ def _leaves(reps: DataFrame) -> DataFrame:
         sizes = settle(counts.select("key", "m", ends.alias("ends")), "path-sizes")
         if depth == 1:
             # A root's child has no node above to be compared with: its members tell how many of them a child would keep.
-            near = _dense(rows.join(sizes.filter("not ends").select("key"), "key").join(signs, "sid"))
-            marked = sizes.join(near.withColumn("near", F.lit(True)), "key", "left")
-            sizes = settle(marked.select("key", "m", (F.col("ends") | F.col("near").isNotNull()).alias("ends")), "path-sizes")
+            near = _dense(rows.join(sizes.filter("not ends").select("key"), "key"))
+            told = sizes.join(near.withColumn("near", F.lit(True)), "key", "left")
+            sizes = settle(told.select("key", "m", (F.col("ends") | F.col("near").isNotNull()).alias("ends")), "path-sizes")
         found = rows.select("key", "sid").join(sizes.filter("ends").select("key", "m"), "key")
         leaves = found if leaves is None else leaves.unionByName(found)
         large = sizes.filter("not ends").select("key", F.col("m").alias("above"))
@@ -164,11 +170,13 @@ def _leaves(reps: DataFrame) -> DataFrame:
             break
         chosen = F.filter(
             F.sequence(F.lit(0), F.lit(WIDTH - 1)),
-            lambda i: F.shiftrightunsigned(F.xxhash64("key", i), 11) / F.lit(float(2**53)) < rate,
+            lambda i: F.shiftrightunsigned(F.xxhash64("node.key", i), 11) / F.lit(float(2**53)) < rate,
         )
-        child = F.explode(F.transform(chosen, lambda i: F.xxhash64("key", i, F.element_at("sig", i + 1))))
-        members = rows.select("key", "sid").join(large, "key").join(signs, "sid")
-        rows = settle(members.select("sid", child.alias("key"), "above"), "paths")
+        child = F.explode(F.transform(chosen, lambda i: F.xxhash64("node.key", i, F.element_at("sig", i + 1))))
+        # All nodes of a set together, so that its signature is moved once and not once per node: a near copy is in many.
+        nodes = rows.select("key", "sid").join(large, "key").groupBy("sid").agg(F.collect_list(F.struct("key", "above")).alias("nodes"))
+        members = nodes.join(signs, "sid").select("sid", "sig", F.explode("nodes").alias("node"))
+        rows = settle(members.select("sid", child.alias("key"), F.col("node.above").alias("above")), "paths")
     return settle(leaves.select("key", "sid", "m"), "leaves")
 
 

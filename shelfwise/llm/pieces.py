@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 STRIDE = 64  # positions between looks for a common boundary
-CACHED = 400_000  # entries of each memo; a full one gives way, its recent entries return
+CACHED = 100_000  # entries of each memo, about 40 MB a worker with the older ones; a full one gives way, its recent entries return
 PAIR_BITS = 21
 LETTERS = 192  # columns of the trie
 MEMO_CHARS = 48  # longer stretches are not remembered

@@ -456,6 +456,56 @@ def test_near_copies_are_not_split_below_a_root(spark, monkeypatch):
     assert len(paths(0.4)) > 1
 
 
+def test_a_signature_is_joined_once_per_set_and_level(spark, monkeypatch):
+    """However many nodes hold a set, no join by sid makes more rows than there are sets."""
+    from shelfwise.llm import chosen_path
+
+    rng = np.random.default_rng(12)
+    base = rng.integers(-(2**31), 2**31, chosen_path.WIDTH)
+    made, kind = [], type(spark.range(0))
+    join = kind.join
+
+    def counted(self, other, on=None, how=None):
+        out = join(self, other, on, how)
+        if on == "sid" and how is None:
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(kind, "join", counted)
+    for share in (0.4, 0.9):  # those that are split again, and near copies
+        other = rng.integers(-(2**31), 2**31, (300, chosen_path.WIDTH))
+        sigs = np.where(rng.random(other.shape) < share, base, other)
+        reps = spark.createDataFrame([(i + 1, s.tolist()) for i, s in enumerate(sigs)], "sid long, sig array<int>")
+        chosen_path._leaves(reps).count()
+    assert made and max(made) <= 300
+
+
+def test_low_bits_tell_dense_nodes(spark):
+    """The bits of a set in one number: a node is dense if its members agree in three quarters of the coordinates."""
+    from shelfwise.llm import chosen_path
+
+    rng = np.random.default_rng(13)
+    sigs = rng.integers(-(2**31), 2**31, (40, chosen_path.WIDTH))
+    near = np.where(rng.random(sigs.shape) < 0.95, sigs[0], sigs)
+    rows = [(key, s.tolist()) for key, some in ((1, sigs), (2, near)) for s in some]
+    marked = spark.createDataFrame(rows, "key long, sig array<int>").select("key", "sig", chosen_path._low_bits().alias("bits"))
+    got = sorted((r["key"], tuple(r["sig"]), r["bits"] & (2**64 - 1)) for r in marked.collect())
+    assert got == sorted((key, tuple(s), int("".join(str(h & 1) for h in s), 2)) for key, s in rows)
+    assert [r["key"] for r in chosen_path._dense(marked).collect()] == [2]
+
+
+def test_the_encoder_remembers_few_words():
+    """Workers outlive a stage and share the executor's memory: the memos do not grow on, and words that went come back equal."""
+    from shelfwise.llm.pieces import MODEL, Pieces
+
+    with open(MODEL, "rb") as file:
+        pieces = Pieces(file.read())
+    texts = [" ".join(f"w{i:x}" for i in range(first, first + 5000)) for first in range(0, 300_000, 5000)]
+    before = [ids.tolist() for text in texts for ids in pieces.encode_all([text])]
+    assert len(pieces.memo) + len(pieces.memo.older) <= 210_000
+    assert [ids.tolist() for ids in pieces.encode_all(texts[:2])] == before[:2]
+
+
 def test_labels_of_held_out_documents_change_no_score(spark):
     sf_dir = "/root/testdata/sf0.001"
     own = spark.read.parquet(f"{sf_dir}/documents.parquet")
