@@ -322,7 +322,7 @@ _LOADED: dict[tuple[int, str], Pieces] = {}
 
 
 def _pieces(model: bytes, objective: str) -> Pieces:
-    """One encoder per worker process, so that its memo outlives the task."""
+    """One decoder per worker process; it needs no trie and no memo."""
     key = (hash(model), objective)
     if key not in _LOADED:
         _LOADED.clear()
@@ -342,7 +342,8 @@ def encode_documents(docs: DataFrame, model_path: str = MODEL, objective: str =
         shared = docs.sparkSession.sparkContext.broadcast(file.read())  # half a megabyte: the vocabulary file
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(shared.value, objective)
+        # Of this task alone: workers outlive a stage, and 100 MB in each would stay.
+        pieces = Pieces(shared.value, objective)
         for batch in batches:
             for first in range(0, len(batch), 256):
                 part = batch.slice(first, 256)

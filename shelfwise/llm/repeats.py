@@ -308,12 +308,11 @@ def _sort_contents(depth: int, blocks: int):
         offset = np.cumsum(size) - size
         row, doc = table[local, 0], table[local, 1]
         marks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        # Keys in turn, some at a time, so that the windows in memory stay few.
+        # Keys in turn, some at a time, so that the bytes in memory stay few: a run has up to ``depth`` bytes a window.
         order = np.argsort(number, kind="stable")
-        windows = (size - depth + 1)[order]
         new = np.append(True, number[order][1:] != number[order][:-1])
         group = np.cumsum(new) - 1
-        per_key = np.bincount(group, windows)
+        per_key = np.bincount(group, size[order])
         turn = (np.cumsum(per_key) // CHUNK).astype(np.int64)[group]
         for some in np.split(order, np.flatnonzero(np.diff(turn)) + 1):
             content = joined[aranges(offset[some], size[some])]

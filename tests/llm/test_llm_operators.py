@@ -8,6 +8,8 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 from comparison import as_bag
 from pyspark.sql import functions as F
@@ -506,6 +508,53 @@ def test_the_encoder_remembers_few_words():
     assert [ids.tolist() for ids in pieces.encode_all(texts[:2])] == before[:2]
 
 
+def test_contents_are_sorted_some_bytes_at_a_time(monkeypatch):
+    """Runs of one window each are mostly bytes: a turn takes those of few keys, and marks what one turn would."""
+    from shelfwise.llm import repeats
+    from shelfwise.llm.rolling import pack, unpack
+
+    rng = np.random.default_rng(14)
+    depth, keys = 200, 300
+    parts = [rng.integers(97, 123, depth, dtype=np.uint8).tobytes() for _ in range(keys)]
+    table = np.array([(1, 1), (2, 2)], np.int64)  # the second document has the windows of every other key of the first
+    data = b"".join(parts) + b"".join(x if i % 2 else x[::-1] for i, x in enumerate(parts))
+    local, number = np.repeat([0, 1], keys), np.tile(np.arange(keys), 2)
+    start, size = np.tile(np.arange(keys) * depth, 2), np.full(2 * keys, depth)
+    frame = pd.DataFrame({"bucket": [0], "contents": [pack(table, local, number, start, size, data)]})
+
+    def marks():
+        found = [unpack(blob) for blob in repeats._sort_contents(depth, 16)(frame)["found"]]
+        return sorted(zip(*(np.concatenate(c).tolist() for c in zip(*found, strict=True)), strict=True))
+
+    whole, sizes, rolling = marks(), [], repeats.Rolling
+    assert whole == [(2, i * depth, (i + 1) * depth) for i in range(1, keys, 2)]
+    monkeypatch.setattr(repeats, "CHUNK", 4096)
+    monkeypatch.setattr(repeats, "Rolling", lambda content, which: sizes.append(len(content)) or rolling(content, which))
+    assert marks() == whole and max(sizes) <= 4096 + 2 * depth
+
+
+def test_encoding_leaves_no_encoder_behind():
+    from shelfwise.llm import pieces
+
+    with open(pieces.MODEL, "rb") as file:
+        model = file.read()
+
+    class Rows:
+        sparkSession = type("Session", (), {"sparkContext": type("Context", (), {"broadcast": lambda self, v: type("Shared", (), {"value": v})})()})
+
+        def selectExpr(self, *columns):
+            return self
+
+        def mapInArrow(self, task, schema):
+            return list(task(iter([pa.record_batch({"doc_id": [1], "text": ["some words"]})])))
+
+    library = pieces.Pieces(model)
+    pieces._LOADED.clear()
+    (out,) = pieces.encode_documents(Rows())
+    assert out["ids"].to_pylist() == [library.encode("some words").tolist()]
+    assert not pieces._LOADED
+
+
 def test_labels_of_held_out_documents_change_no_score(spark):
     sf_dir = "/root/testdata/sf0.001"
     own = spark.read.parquet(f"{sf_dir}/documents.parquet")
