@@ -25,6 +25,10 @@ GRAM = 24
 CHUNK = 1 << 19  # bytes hashed at once; longer texts are hashed in overlapping parts
 BUCKET_BYTES = 8 << 20
 BLOCK_BYTES = 2 << 20
+MOST_BLOCK_BYTES = 8 << 20
+BLOCKS = 400
+BLOB_BYTES = 8 << 10  # of text whose runs go to one bucket at once
+HELD_BYTES = 32 << 20  # of text whose runs a task holds at most
 LAST = 2**63 - 1
 
 
@@ -51,18 +55,35 @@ def _runs(parts: list[np.ndarray], depth: int) -> tuple[np.ndarray, ...]:
     return part[first], start - offsets[part[first]], count, mix(key[first]), content
 
 
+def _dealing(total: int) -> tuple[int, int]:
+    """The digits that name a bucket, and the number of blocks, for so many bytes of text.
+
+    Every bucket has rows for every block: blocks grow to 8 MB first, so that they are fewer where buckets are many.
+    """
+    bits = max(6, (total // BUCKET_BYTES).bit_length())
+    return bits, max(16, total // min(MOST_BLOCK_BYTES, max(BLOCK_BYTES, total // BLOCKS)))
+
+
 def _hash_runs(depth: int, bits: int):
-    """Map side of the first pass: runs of a few documents at a time, dealt by the key's first digits."""
+    """Map side of the first pass: the runs of many documents, dealt by the key's first digits.
+
+    Texts are hashed some at a time, and their runs are held until each bucket gets a fair share: the blobs of a task are
+    as many as its buckets, not as its buckets times its texts.
+    """
+    hold = min(HELD_BYTES, max(CHUNK, BLOB_BYTES << bits))
 
-    def emit(ids: list[tuple[int, int]], parts: list[np.ndarray], owner: list[int], shift: list[int]):
+    def hashed(parts: list[np.ndarray], owner: list[int], shift: list[int]) -> tuple[np.ndarray, ...]:
         part, start, count, key, content = _runs(parts, depth)
         start = start + np.array(shift, np.int64)[part]
-        doc = np.array(owner, np.int64)[part]
-        bucket = (key >> np.uint64(64 - bits)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(2**bits + 1))
+        bucket = (key >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.uint32)
         rest = ((key << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
         low, high = (content >> np.uint64(48)).astype(np.uint16), (content >> np.uint64(16)).astype(np.uint32)
+        return bucket, rest, low, high, np.array(owner, np.int32)[part], start.astype(np.int32), count.astype(np.uint32)
+
+    def emit(ids: list[tuple[int, int]], held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        bucket, rest, low, high, doc, start, count = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.searchsorted(bucket[order], np.arange(2**bits + 1))
         table = np.array(ids, np.int64).reshape(-1, 2)
         name, check = table[:, 1], ((table[:, 0] ^ table[:, 1]) >> 31).astype(np.uint32)
         out: dict[str, list] = {"bucket": [], "runs": []}
@@ -72,12 +93,13 @@ def _hash_runs(depth: int, bits: int):
             out["bucket"].append(int(b))
             # Differences of what rises, so that the blob packs well.
             rising = [np.diff(x, prepend=0).astype(np.int32) for x in (local, start[own])]
-            out["runs"].append(pack(name[used], check[used], rest[own], low[own], high[own], *rising, count[own].astype(np.uint32)))
+            names = np.diff(name[used], prepend=0)
+            out["runs"].append(pack(names, check[used], rest[own], low[own], high[own], *rising, count[own]))
         return pa.record_batch({"bucket": pa.array(out["bucket"], pa.int32()), "runs": pa.array(out["runs"], pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, parts, owner, shift, fresh, held, size = [], [], [], [], 0, [], 0
         for batch in batches:
-            ids, parts, owner, shift, held = [], [], [], [], 0
             for row, doc_id, text in zip(batch["row"].to_pylist(), batch["doc_id"].to_pylist(), batch["text"], strict=True):
                 data = np.frombuffer((text.as_py() or "").encode(), np.uint8)
                 if len(data) < depth:
@@ -87,16 +109,19 @@ def _hash_runs(depth: int, bits: int):
                     parts.append(data[begin : begin + CHUNK + depth - 1])
                     owner.append(len(ids) - 1)
                     shift.append(begin)
-                    held += len(parts[-1])
-                    if held >= CHUNK:
-                        yield emit(ids, parts, owner, shift)
-                        parts, owner, shift, held = [], [], [], 0
-                        ids = ids[-1:]
-                        # The text goes on: its number in the new table is 0.
-                if not parts:
-                    ids = []
-            if parts:
-                yield emit(ids, parts, owner, shift)
+                    fresh += len(parts[-1])
+                    if fresh >= CHUNK:
+                        held.append(hashed(parts, owner, shift))
+                        size += fresh
+                        parts, owner, shift, fresh = [], [], [], 0
+                        if size >= hold:
+                            yield emit(ids, held)
+                            # The text may go on: its number in the new table is 0.
+                            ids, held, size = ids[-1:], [], 0
+        if parts:
+            held.append(hashed(parts, owner, shift))
+        if held:
+            yield emit(ids, held)
 
     return run
 
@@ -109,7 +134,7 @@ def _sort_bucket(blocks: int):
         for blob in bucket["runs"]:
             name, check, rest, low, high, local, start, count = unpack(blob)
             local = np.cumsum(local)
-            owner = name[local]
+            owner = np.cumsum(name)[local]
             row = owner ^ (check[local].astype(np.int64) << 31)
             pieces.append((rest, high.astype(np.uint64) << np.uint64(16) | low, row, owner, np.cumsum(start), count))
         rest, content, row, doc, start, count = (np.concatenate(c) for c in zip(*pieces, strict=True))
@@ -135,7 +160,8 @@ def _to_blocks(row: np.ndarray, blocks: int, chosen: np.ndarray, columns: tuple[
     chosen = np.flatnonzero(chosen)
     columns = tuple(x.astype(np.uint32) if x.max(initial=0) < 2**32 and x.min(initial=0) >= 0 else x for x in columns)
     block = row[chosen] % blocks
-    order = np.argsort(block, kind="stable")
+    # By row and first column within a block, so that the blobs pack well.
+    order = np.lexsort((columns[0][chosen], row[chosen], block))
     chosen, block = chosen[order], block[order]
     found, first = np.unique(block, return_index=True)
     blobs = [pack(row[c], *(x[c] for x in columns)) for c in np.split(chosen, first[1:])] if len(chosen) else []
@@ -212,8 +238,7 @@ def remove_repeats(docs: DataFrame, min_bytes: int = 50, keep: tuple[str, ...] =
     row: Column = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).bitwiseXOR(F.shiftleft(check, 31))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"), *keep)
     total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(6, (total // BUCKET_BYTES).bit_length())
-    blocks = max(16, total // BLOCK_BYTES)
+    bits, blocks = _dealing(total)
     block = F.pmod("row", F.lit(blocks)).alias("block")
     runs = rows.select("row", "doc_id", "text").mapInArrow(_hash_runs(min_bytes, bits), "bucket int, runs binary")
     found = runs.groupBy("bucket").applyInPandas(_sort_bucket(blocks), "block long, found binary")

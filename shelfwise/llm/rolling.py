@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pickle
+import marshal
+import math
 
 import numpy as np
 import zstandard
@@ -66,9 +67,34 @@ def aranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
+_PACKER, _UNPACKER = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(*arrays: np.ndarray | bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(pickle.dumps(arrays, protocol=5))
+    """Arrays in one blob: kinds and shapes first, then each array's first bytes, second bytes and so on, as they pack well."""
+    kinds, parts = [], []
+    for a in arrays:
+        if isinstance(a, bytes):
+            kinds.append(("", len(a)))
+            parts.append(a)
+        else:
+            kinds.append((a.dtype.str, a.shape))
+            parts.append(np.frombuffer(a.tobytes(), np.uint8).reshape(-1, a.itemsize).T.tobytes())
+    head = marshal.dumps(kinds)
+    return _PACKER.compress(b"".join([len(head).to_bytes(4, "little"), head, *parts]))
 
 
 def unpack(blob: bytes) -> tuple:
-    return pickle.loads(zstandard.ZstdDecompressor().decompress(blob))
+    data = _UNPACKER.decompress(blob)
+    at = 4 + int.from_bytes(data[:4], "little")
+    out: list[np.ndarray | bytes] = []
+    for kind, shape in marshal.loads(data[4:at]):
+        if not kind:
+            out.append(data[at : at + shape])
+            at += shape
+            continue
+        size, n = int(kind[2:]), math.prod(shape)
+        planes = np.frombuffer(data, np.uint8, n * size, at).reshape(size, n)
+        out.append(np.frombuffer(planes.T.tobytes(), kind).reshape(shape))
+        at += n * size
+    return tuple(out)

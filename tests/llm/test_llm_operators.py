@@ -533,6 +533,46 @@ def test_contents_are_sorted_some_bytes_at_a_time(monkeypatch):
     assert marks() == whole and max(sizes) <= 4096 + 2 * depth
 
 
+def test_runs_are_dealt_in_as_many_blobs_as_buckets(monkeypatch):
+    """More text makes more buckets: were each bit of text dealt to all of them by itself, blobs would grow with the square."""
+    from shelfwise.llm import repeats
+    from shelfwise.llm.rolling import unpack
+
+    rng = np.random.default_rng(15)
+    texts = ["".join(map(chr, rng.integers(97, 123, n))) for n in (40, 60_000, 1_300_000, 49, 50, 700_000, 200, 600_000)]
+    ids = [3, None, 7, 8, None, -5, 9, 2**62]
+    rows = {"row": pa.array(range(1, 9), pa.int64()), "doc_id": pa.array(ids, pa.int64()), "text": pa.array([*texts[:-1], None])}
+    batches = [pa.record_batch(rows).slice(0, 3), pa.record_batch(rows).slice(3)]
+
+    def runs(depth=50, bits=11):
+        found, blobs = [], 0
+        for out in repeats._hash_runs(depth, bits)(iter(batches)):
+            blobs += out.num_rows
+            for bucket, blob in zip(out["bucket"].to_pylist(), out["runs"].to_pylist(), strict=True):
+                names, check, rest, low, high, local, start, count = unpack(blob)
+                local = np.cumsum(local)
+                name = np.cumsum(names)[local]
+                row = name ^ check[local].astype(np.int64) << 31
+                columns = (row, name, rest, low, high, np.cumsum(start), count)
+                found += [(bucket, *r) for r in zip(*(c.tolist() for c in columns), strict=True)]
+        return sorted(found), blobs
+
+    whole, blobs = runs()
+    assert blobs <= 2**11
+    assert sum(r[-1] for r in whole) == sum(max(0, len(t) - 49) for t in texts[:-1])
+    # Held for less text, the same runs come in more blobs; a long text goes on from one to the next.
+    monkeypatch.setattr(repeats, "HELD_BYTES", 1)
+    again, more = runs()
+    assert again == whole and more > 3 * blobs
+
+
+def test_repeats_are_dealt_to_fewer_blocks_the_more_buckets_there_are():
+    from shelfwise.llm.repeats import _dealing
+
+    assert _dealing(0) == (6, 16) and _dealing(800 << 20) == (7, 400)
+    assert [_dealing(gb << 30) for gb in (3, 6, 48)] == [(9, 400), (10, 768), (13, 6144)]
+
+
 def test_encoding_leaves_no_encoder_behind():
     from shelfwise.llm import pieces
 
