@@ -316,6 +316,37 @@ def _deal_contents(ids: list[tuple[int, int]], columns: list[tuple[np.ndarray, .
         yield int(b), pack(table[used], local, number[own], start[own], size[own], content)
 
 
+def _window_hashes(joined: np.ndarray, offset: np.ndarray, size: np.ndarray, n: np.ndarray, depth: int) -> np.ndarray:
+    """Two hashes of each window of some contents; a key may have many contents, so few bytes are taken at once."""
+    last = np.cumsum(n)
+    out = np.empty((2, last[-1]), np.uint64)
+    piece = np.cumsum(size) // CHUNK
+    for few in np.split(np.arange(len(n)), np.flatnonzero(np.diff(piece)) + 1):
+        content = joined[aranges(offset[few], size[few])]
+        at_byte = aranges(np.cumsum(size[few]) - size[few], n[few])
+        own = slice(last[few[0]] - n[few[0]], last[few[-1]])
+        for which in (0, 1):
+            out[which, own] = Rolling(content, which).spans(at_byte, at_byte + depth)
+    return out
+
+
+def _late(hashes: np.ndarray, doc: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Which windows also lie in an earlier document; ``doc`` is each content's. Sorted by the hash's first digits, some at a time."""
+    late = np.zeros(last[-1], bool)
+    parts = int(last[-1]) // CHUNK + 1
+    digit = ((hashes[0] >> np.uint64(48)) * np.uint64(parts) >> np.uint64(16)).astype(np.uint16)
+    for part in range(parts):
+        at = np.flatnonzero(digit == part)
+        if not len(at):
+            continue
+        own, a, b = doc[np.searchsorted(last, at, side="right")], hashes[0][at], hashes[1][at]
+        by = np.lexsort((own, b, a))
+        own, a, b = own[by], a[by], b[by]
+        fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
+        late[at[by]] = own > own[fresh][np.cumsum(fresh) - 1]
+    return late
+
+
 def _sort_contents(depth: int, blocks: int):
     """Last pass: the windows of contents that share a key, by two hashes of all their bytes."""
 
@@ -330,6 +361,7 @@ def _sort_contents(depth: int, blocks: int):
         table = np.concatenate(tables)
         local, number, start, size = (np.concatenate(c) for c in zip(*pieces, strict=True))
         joined = np.frombuffer(b"".join(data), np.uint8)
+        del data
         offset = np.cumsum(size) - size
         row, doc = table[local, 0], table[local, 1]
         marks: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -340,26 +372,18 @@ def _sort_contents(depth: int, blocks: int):
         per_key = np.bincount(group, size[order])
         turn = (np.cumsum(per_key) // CHUNK).astype(np.int64)[group]
         for some in np.split(order, np.flatnonzero(np.diff(turn)) + 1):
-            content = joined[aranges(offset[some], size[some])]
-            base = np.cumsum(size[some]) - size[some]
             n = size[some] - depth + 1
-            at_byte = aranges(base, n)
-            owner = np.repeat(some, n)
-            hashes = [Rolling(content, which).spans(at_byte, at_byte + depth) for which in (0, 1)]
-            by = np.lexsort((doc[owner], hashes[1], hashes[0]))
-            a, b = hashes[0][by], hashes[1][by]
-            fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-            earliest = doc[owner[by]][fresh][np.cumsum(fresh) - 1]
-            late = np.empty(len(by), bool)
-            late[by] = doc[owner[by]] > earliest
-            place = aranges(start[some], n)
+            last = np.cumsum(n)  # the windows up to each content's end
+            late = _late(_window_hashes(joined, offset[some], size[some], n, depth), doc[some], last)
             # Neighbouring windows of one run as one span.
             hit = np.flatnonzero(late)
             if len(hit):
-                cut = np.append(True, (hit[1:] != hit[:-1] + 1) | (owner[hit][1:] != owner[hit][:-1]))
-                begin = hit[cut]
-                end = hit[np.append(np.flatnonzero(cut)[1:] - 1, len(hit) - 1)]
-                marks.append((row[owner[begin]], place[begin], place[end] + depth))
+                of = np.searchsorted(last, hit, side="right")
+                cut = np.append(True, (hit[1:] != hit[:-1] + 1) | (of[1:] != of[:-1]))
+                begin = np.flatnonzero(cut)
+                end = np.append(begin[1:] - 1, len(hit) - 1)
+                place = start[some[of]] + hit - (last - n)[of]
+                marks.append((row[some[of[begin]]], place[begin], place[end] + depth))
         if not marks:
             return pd.DataFrame({"block": pd.Series(dtype="int64"), "found": pd.Series(dtype=object)})
         of, begin, end = (np.concatenate(c) for c in zip(*marks, strict=True))

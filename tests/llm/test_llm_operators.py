@@ -533,6 +533,38 @@ def test_contents_are_sorted_some_bytes_at_a_time(monkeypatch):
     assert marks() == whole and max(sizes) <= 4096 + 2 * depth
 
 
+def test_contents_of_one_key_are_sorted_some_bytes_at_a_time(monkeypatch):
+    """A common key may have more contents than all others together: it is hashed and sorted in parts, with the same marks."""
+    from shelfwise.llm import repeats
+    from shelfwise.llm.rolling import pack, unpack
+
+    rng = np.random.default_rng(16)
+    depth, n = 50, 2000
+    size = rng.integers(depth, depth + 30, n)
+    data = rng.integers(97, 99, int(size.sum()), dtype=np.uint8)
+    data[np.arange(len(data)) % 64 < 60] = 97
+    table = np.stack([np.arange(n), rng.integers(0, 500, n)], axis=1)
+    frame = pd.DataFrame({"bucket": [0], "contents": [pack(table, np.arange(n), np.full(n, 7), np.zeros(n, np.int64), size, data.tobytes())]})
+    first, want, at = {}, Counter(), np.cumsum(size) - size
+    windows = [(i, s, data[at[i] + s : at[i] + s + depth].tobytes()) for i in range(n) for s in range(size[i] - depth + 1)]
+    for i, _, window in windows:
+        first[window] = min(first.get(window, n), table[i, 1])
+    for i, s, window in windows:
+        if first[window] < table[i, 1]:
+            want.update((i, b) for b in range(s, s + depth))
+
+    def marked():
+        spans = [zip(*(c.tolist() for c in unpack(blob)), strict=True) for blob in repeats._sort_contents(depth, 16)(frame)["found"]]
+        return {(i, b) for some in spans for i, start, end in some for b in range(start, end)}
+
+    hashed, rolling = [], repeats.Rolling
+    monkeypatch.setattr(repeats, "Rolling", lambda content, which: hashed.append(len(content)) or rolling(content, which))
+    assert marked() == set(want)
+    monkeypatch.setattr(repeats, "CHUNK", 4096)
+    hashed.clear()
+    assert marked() == set(want) and max(hashed) <= 4096 + 2 * depth
+
+
 def test_runs_are_dealt_in_as_many_blobs_as_buckets(monkeypatch):
     """More text makes more buckets: were each bit of text dealt to all of them by itself, blobs would grow with the square."""
     from shelfwise.llm import repeats
