@@ -31,7 +31,7 @@ def load_chain(
     register: bool = True,
 ) -> DataFrame:
     """Load all drop files of a chain that lie in a folder; see :func:`load_files`. An empty day loads nothing."""
-    found = files.discover_files(spark, folder, profile.file_prefix)
+    found = files.discover_files(spark, folder, profile.file_prefix, profile.file_suffix)
     paths = sorted(r["path"] for r in found.select("path").collect())
     return load_files(spark, paths, profile, models, sink, mode, rules, register=register)
 

@@ -330,6 +330,7 @@ DROP_NAMES = {
     "product_level_1": "уровень 1", "product_level_2": "уровень 2", "product_level_3": "уровень 3", "product_level_4": "уровень 4",
 }
 READ_AS = {"supplier": "supplier_name"} | {f: n for f, n in DROP_NAMES.items() if f.startswith("product_") and n not in ("Наименование", "Код")}
+DROP_RECORDS = 500_000
 FACT_KEYS = ("product", "store", "supplier", "date")
 
 
@@ -343,8 +344,10 @@ def files_to_facts(spark, sf_dir):
     fields = tuple(REPORTED)
     rows = reported_sales(spark, sf_dir, *fields)
     texts = rows.select([F.col(f).cast("string").alias(DROP_NAMES.get(f, f)) for f in fields])
-    texts.write.options(**CSV_OPTIONS, header=True, emptyValue="").csv(drop)
-    load_chain(spark, drop, ChainProfile("facts", "part-", "facts", MAGNIT.rules), {}, sink, register=False)
+    # Files that cannot be split, hence many: plain text would take most of the disk.
+    compressed = {"compression": "gzip", "maxRecordsPerFile": DROP_RECORDS}
+    texts.write.options(**CSV_OPTIONS, header=True, emptyValue="", **compressed).csv(drop)
+    load_chain(spark, drop, ChainProfile("facts", "part-", "facts", MAGNIT.rules, ".csv.gz"), {}, sink, register=False)
     kinds = {f.name: f.type for f in STANDARD}
     mapping = {f: standard.typed(READ_AS.get(f, f), kinds[f]) for f in fields}
     record = standard.to_standard(published.read(spark, sink), mapping)

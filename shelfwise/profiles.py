@@ -38,10 +38,11 @@ class ChainProfile:
     file_prefix: str
     schema: str
     rules: tuple[HeaderRule, ...]
+    file_suffix: str = ".csv"
 
     @property
     def file_glob(self) -> str:
-        return f"{self.file_prefix}*.csv"
+        return f"{self.file_prefix}*{self.file_suffix}"
 
 
 def _place_rules(region_none_of: tuple[str, ...] = ()) -> tuple[HeaderRule, ...]:

@@ -29,11 +29,11 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def discover_files(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
-    """(path, name, length, modified) of the files ``prefix*.csv`` directly in a folder."""
+def discover_files(spark: SparkSession, folder: str, prefix: str, suffix: str = ".csv") -> DataFrame:
+    """(path, name, length, modified) of the files ``prefix*.csv``, or of another ``suffix``, directly in a folder."""
     literal_folder = literal_path(folder.rstrip("/"))
     try:
-        return _listing(spark.read.format("binaryFile").load(f"{literal_folder}/{prefix}*.csv"))
+        return _listing(spark.read.format("binaryFile").load(f"{literal_folder}/{prefix}*{suffix}"))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -246,7 +246,7 @@ def load_many_files(
     spark: SparkSession, folder: str, profile: ChainProfile, mode: str = "strict", rules: str = "compat"
 ) -> DataFrame:
     """Rows of every drop file of a chain under canonical names, with ``_file`` and ``table_name``."""
-    found = discover_files(spark, folder, profile.file_prefix).select("path").collect()
+    found = discover_files(spark, folder, profile.file_prefix, profile.file_suffix).select("path").collect()
     paths = sorted(r["path"] for r in found)
     rows = read_files(spark, paths, mode, rename=lambda df: standardize_columns(df, profile, rules))
     return rows.withColumn("table_name", table_name_for(FILE))

@@ -10,6 +10,7 @@ rows and ``log`` one row per load and table. Folders that are no longer current
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -46,14 +47,22 @@ def table_folder(sink: str, load: str, chain: str, table: str) -> str:
     return f"{version_folder(sink, load)}/chain={chain}/table_name={table}"
 
 
+def is_shuffled(rows: DataFrame) -> bool:
+    """Whether the plan deals rows out anew; a broadcast leaves them where they are."""
+    return re.search(r"\bExchange\b", rows._jdf.queryExecution().executedPlan().toString()) is not None
+
+
 def write_version(rows: DataFrame, sink: str, load: str, part: str = "data") -> None:
     """Write a load's rows, with ``chain`` and ``table_name``, to its version folder; a repetition replaces it.
 
-    Rows are rebalanced by table first: small tables take one file each, large ones as many as they need, however
-    many tasks had rows of them. A small table that shares a shuffle partition with a large one may be cut with it.
+    Rows still lie as they were parsed, file by file, unless something shuffled them: then a table's rows are in few
+    tasks, and are written from there. Shuffled rows are rebalanced by table first: small tables take one file each, large
+    ones as many as they need, however many tasks had rows of them. A small table that shares a shuffle partition with a
+    large one may be cut with it.
     """
-    balanced = rows.hint("rebalance", "chain", "table_name")
-    balanced.write.mode("overwrite").partitionBy("chain", "table_name").parquet(version_folder(sink, load, part))
+    if is_shuffled(rows):
+        rows = rows.hint("rebalance", "chain", "table_name")
+    rows.write.mode("overwrite").partitionBy("chain", "table_name").parquet(version_folder(sink, load, part))
 
 
 def version_counts(spark: SparkSession, sink: str, load: str, part: str = "data") -> DataFrame:

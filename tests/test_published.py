@@ -165,6 +165,55 @@ def test_tables_get_as_many_files_as_they_need(spark, sink, tmp_path):
     assert stored["large"] == 40_000 and sum(stored.values()) == 60_000
 
 
+def test_rows_that_lie_as_parsed_are_not_dealt_out_again(spark, day, sink, tmp_path, monkeypatch):
+    """The shuffle of all rows took more disk than what it sorted; a table's rows are together unless something shuffled them."""
+    frame = type(spark.range(0))
+    seen, hint = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda rows, name, *on: seen.append(name) or hint(rows, name, *on))
+    folder = day("day", **{f"magnit_{i}": f"Товар\nа{i}\nб{i}\n" for i in range(6)})
+    _load(spark, folder, sink)
+    assert "rebalance" not in seen
+    files = [p.parent.name for p in (tmp_path / "sink").rglob("table_name=*/*.parquet")]
+    assert len(files) == len(set(files)) == 6
+    assert _names(published.read(spark, sink)) == sorted(f"{x}{i}" for x in "аб" for i in range(6))
+    rows = spark.range(20).selectExpr("'c' as chain", "concat('t', id % 3) as table_name", "id as k")
+    assert not published.is_shuffled(rows.join(spark.range(9).withColumnRenamed("id", "k").hint("broadcast"), "k", "left"))
+    for shuffled in (rows.join(spark.range(9).withColumnRenamed("id", "k").hint("shuffle_merge"), "k", "left"), rows.repartition(3)):
+        assert published.is_shuffled(shuffled)
+        published.write_version(shuffled, sink, "two")
+        assert seen.pop() == "rebalance"
+
+
+def test_compressed_drop_files_are_found_by_their_suffix(spark, day, sink):
+    import gzip
+    from dataclasses import replace
+    from pathlib import Path
+
+    folder = day("day", magnit_1="Товар\nа\n\"б\nв\"\n")
+    with gzip.open(f"{folder}/magnit_2.csv.gz", "wt", encoding="utf-8-sig") as file:
+        file.write('Товар\nг\n"д\nе"\n')
+    _load(spark, folder, sink)
+    assert _names(published.read(spark, sink)) == ["а", "б\nв"]
+    packed = replace(MAGNIT, file_suffix=".csv.gz")
+    assert Path(f"{folder}/magnit_2.csv.gz").match(packed.file_glob)
+    _load(spark, folder, sink, profile=packed)
+    assert _names(published.read(spark, sink)) == ["а", "б\nв", "г", "д\nе"]
+
+
+def test_files_to_facts_keeps_no_plain_text_on_disk(spark):
+    """Drop files as plain text were half of its disk."""
+    from pathlib import Path
+
+    from shelfwise.plans.summaries import files_to_facts
+    from shelfwise.session import shared_folder
+
+    drops = Path(shared_folder(spark).removeprefix("file:"), "shelfwise")
+    before = set(drops.glob("drop-*"))
+    files_to_facts(spark, "/root/testdata/sf0.001")
+    (made,) = set(drops.glob("drop-*")) - before
+    assert {p.name.split(".", 1)[1] for p in made.glob("part-*")} == {"csv.gz"}
+
+
 def test_the_latest_publication_counts(spark, sink):
     columns = "chain string, table_name string, file string, columns array<string>, added_columns bigint, rows bigint, bad_rows bigint"
     for load, names in (("z", ["a", "b"]), ("y", ["b"]), ("z", ["a"])):
