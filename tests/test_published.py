@@ -200,18 +200,13 @@ def test_compressed_drop_files_are_found_by_their_suffix(spark, day, sink):
     assert _names(published.read(spark, sink)) == ["а", "б\nв", "г", "д\nе"]
 
 
-def test_files_to_facts_keeps_no_plain_text_on_disk(spark):
+def test_files_to_facts_keeps_no_plain_text_on_disk(spark, tmp_path, monkeypatch):
     """Drop files as plain text were half of its disk."""
-    from pathlib import Path
-
-    from shelfwise.plans.summaries import files_to_facts
-    from shelfwise.session import shared_folder
+    from shelfwise.plans import summaries
 
-    drops = Path(shared_folder(spark).removeprefix("file:"), "shelfwise")
-    before = set(drops.glob("drop-*"))
-    files_to_facts(spark, "/root/testdata/sf0.001")
-    (made,) = set(drops.glob("drop-*")) - before
-    assert {p.name.split(".", 1)[1] for p in made.glob("part-*")} == {"csv.gz"}
+    monkeypatch.setattr(summaries, "scratch_path", lambda spark, name: str(tmp_path / name))
+    summaries.files_to_facts(spark, "/root/testdata/sf0.001")
+    assert {p.name.split(".", 1)[1] for p in (tmp_path / "drop").glob("part-*")} == {"csv.gz"}
 
 
 def test_the_latest_publication_counts(spark, sink):
